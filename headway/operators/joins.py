@@ -1,0 +1,25 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be broadcast (a stops table of this
+# size is a few tens of MB).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Counts at most ``max_rows + 1`` rows, so the check itself stays cheap
+    on a large input.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint when the size check passes; otherwise leave the join
+    strategy to the planner (sort-merge or shuffled hash, AQE skew split)."""
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df

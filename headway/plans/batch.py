@@ -23,7 +23,14 @@ from headway.operators.parse import (
     parse_trip_updates,
     parse_vehicle_positions,
 )
-from headway.sources.testdata import load_feed, load_stops
+from headway.operators.hotspots import hotspots_by_stop, hotspots_like
+from headway.operators.models import (
+    route_delay_hourly,
+    route_reliability,
+    stg_cascade_flags,
+    stg_trip_delay_events,
+)
+from headway.sources.testdata import AS_OF, load_feed, load_stops
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,3 +79,30 @@ def cascade_windows(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT,
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_stops(spark, sf_dir)
+
+
+def stg_trips(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT,
+              loaded_at: bool = False) -> DataFrame:
+    return stg_trip_delay_events(trip_delay_windows(spark, sf_dir, th), th, loaded_at=loaded_at)
+
+
+def stg_flags(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT,
+              loaded_at: bool = False) -> DataFrame:
+    return stg_cascade_flags(cascade_windows(spark, sf_dir, th), loaded_at=loaded_at)
+
+
+def hourly(spark: SparkSession, sf_dir: str, by_agency: bool = False) -> DataFrame:
+    return route_delay_hourly(stg_trips(spark, sf_dir), stg_flags(spark, sf_dir),
+                              by_agency=by_agency)
+
+
+def reliability(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    return route_reliability(hourly(spark, sf_dir), **kw)
+
+
+def hotspots_like_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots_like(stg_trips(spark, sf_dir), stops(spark, sf_dir), AS_OF)
+
+
+def hotspots_by_stop_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots_by_stop(stop_rows(spark, sf_dir), stops(spark, sf_dir), AS_OF)

@@ -125,6 +125,134 @@ cascade AS (
 )"""
 
 
+def stg_ctes() -> str:
+    mx = "max_arrival_delay_sec"
+    return f"""
+stg AS (
+    SELECT trip_id, route_id, vehicle_id, agency,
+           CAST(window_start AS TIMESTAMP) AS window_start,
+           CAST({mx} AS INTEGER) AS {mx},
+           CAST(avg_arrival_delay_sec AS DOUBLE) AS avg_arrival_delay_sec,
+           CAST(stops_reporting AS INTEGER) AS stops_reporting,
+           upper(trim(delay_severity)) AS delay_severity,
+           {mx} >= 300 AS is_severe,
+           {mx} BETWEEN 60 AND 299 AS is_moderate,
+           {mx} <= 0 AS is_on_time,
+           CAST(window_start AS DATE) AS event_date,
+           CAST(hour(window_start) AS INTEGER) AS hour_of_day,
+           CAST(dayofweek(window_start) + 1 AS INTEGER) AS day_of_week,
+           {rush('hour(window_start)')} AS is_rush_hour
+    FROM trip_delay
+    WHERE trip_id IS NOT NULL AND route_id IS NOT NULL AND window_start IS NOT NULL
+      AND {mx} BETWEEN -120 AND 7200
+),
+stgc AS (
+    SELECT route_id, agency, CAST(window_start AS TIMESTAMP) AS window_start,
+           CAST(total_trips AS INTEGER) AS total_trips,
+           CAST(delayed_trips AS INTEGER) AS delayed_trips,
+           {round_dec('CAST(delayed_pct AS DOUBLE)', 4)} AS delayed_pct,
+           CAST(is_cascade AS BOOLEAN) AS is_cascade,
+           CAST(cascade_score AS INTEGER) AS cascade_score,
+           CAST(window_start AS DATE) AS event_date
+    FROM cascade
+)"""
+
+
+HOURLY_CTE = f"""
+trip_hourly AS (
+    SELECT route_id, agency, event_date, hour_of_day, is_rush_hour,
+           count(*) AS total_trips,
+           CAST(sum(CASE WHEN is_severe THEN 1 ELSE 0 END) AS BIGINT) AS severe_trips,
+           CAST(sum(CASE WHEN is_moderate THEN 1 ELSE 0 END) AS BIGINT) AS moderate_trips,
+           CAST(sum(CASE WHEN is_on_time THEN 1 ELSE 0 END) AS BIGINT) AS on_time_trips,
+           avg(max_arrival_delay_sec) AS avg_delay_sec,
+           CAST(quantile_cont(max_arrival_delay_sec, 0.5) AS DOUBLE) AS p50_delay_sec,
+           CAST(quantile_cont(max_arrival_delay_sec, 0.95) AS DOUBLE) AS p95_delay_sec,
+           max(max_arrival_delay_sec) AS max_delay_sec
+    FROM stg
+    GROUP BY route_id, agency, event_date, hour_of_day, is_rush_hour
+),
+cascade_hourly AS (
+    SELECT route_id, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,
+           max(CAST(is_cascade AS INTEGER)) AS had_cascade,
+           max(cascade_score) AS max_cascade_score,
+           CAST(sum(CAST(is_cascade AS INTEGER)) AS BIGINT) AS cascade_count
+    FROM stgc
+    GROUP BY 1, 2, 3
+),
+hourly AS (
+    SELECT t.*,
+           COALESCE(c.had_cascade, 0) AS had_cascade,
+           COALESCE(c.max_cascade_score, 0) AS max_cascade_score,
+           COALESCE(c.cascade_count, 0) AS cascade_count,
+           {round_dec(safe_ratio('severe_trips', 'total_trips'), 4)} AS severe_pct,
+           {round_dec(safe_ratio('on_time_trips', 'total_trips'), 4)} AS on_time_pct
+    FROM trip_hourly t
+    LEFT JOIN cascade_hourly c
+      ON t.route_id = c.route_id AND t.event_date = c.event_date
+     AND t.hour_of_day = c.hour_of_day
+)"""
+
+MART_CTE = f"""
+daily AS (
+    SELECT route_id, agency, event_date,
+           CAST(sum(total_trips) AS BIGINT) AS daily_trips,
+           CAST(sum(severe_trips) AS BIGINT) AS daily_severe,
+           CAST(sum(on_time_trips) AS BIGINT) AS daily_on_time,
+           avg(avg_delay_sec) AS daily_avg_delay_sec,
+           max(max_delay_sec) AS daily_max_delay_sec,
+           CAST(quantile_cont(p95_delay_sec, 0.5) AS DOUBLE) AS typical_p95_delay_sec,
+           max(CAST(had_cascade AS INTEGER)) AS had_cascade_event,
+           CAST(sum(cascade_count) AS BIGINT) AS total_cascade_windows,
+           CAST(sum(CASE WHEN is_rush_hour THEN severe_trips ELSE 0 END) AS BIGINT)
+               AS rush_hour_severe,
+           CAST(sum(CASE WHEN is_rush_hour THEN total_trips ELSE 0 END) AS BIGINT)
+               AS rush_hour_trips
+    FROM hourly
+    GROUP BY route_id, agency, event_date
+),
+rolling AS (
+    SELECT *,
+           {round_dec("avg(" + round_dec(safe_ratio('daily_on_time', 'daily_trips') + ' * 100', 1)
+                      + ") OVER w", 1)} AS rolling_7d_on_time_pct,
+           {round_dec('avg(daily_avg_delay_sec) OVER w', 1)} AS rolling_7d_avg_delay_sec,
+           CAST(sum(had_cascade_event) OVER w AS BIGINT) AS rolling_7d_cascade_count
+    FROM daily
+    WINDOW w AS (PARTITION BY route_id ORDER BY event_date, agency
+                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+),
+mart AS (
+    SELECT route_id, agency, event_date, daily_trips, daily_on_time, daily_severe,
+           {round_dec(safe_ratio('daily_on_time', 'daily_trips') + ' * 100', 1)} AS on_time_pct,
+           {round_dec(safe_ratio('daily_severe', 'daily_trips') + ' * 100', 1)} AS severe_pct,
+           daily_avg_delay_sec, daily_max_delay_sec, typical_p95_delay_sec,
+           had_cascade_event, total_cascade_windows, rush_hour_severe, rush_hour_trips,
+           {round_dec(safe_ratio('rush_hour_severe', 'rush_hour_trips') + ' * 100', 1)}
+               AS rush_hour_severe_pct,
+           rolling_7d_on_time_pct, rolling_7d_avg_delay_sec, rolling_7d_cascade_count,
+           greatest(0.0, least(100.0, {round_dec(
+               'rolling_7d_on_time_pct - rolling_7d_cascade_count * 5 '
+               '- rolling_7d_avg_delay_sec / 60', 1)})) AS reliability_score
+    FROM rolling
+)"""
+
+
+def hotspot_select(src: str, join_on: str, where: str, delay: str, severe: str) -> str:
+    avg = f"avg(e.{delay})"
+    return f"""
+    SELECT s.stop_id, s.stop_name, s.latitude, s.longitude, s.route_id,
+           count(*) AS delay_events,
+           {avg} AS avg_delay_sec,
+           max(e.{delay}) AS max_delay_sec,
+           CAST(sum({severe}) AS BIGINT) AS severe_events,
+           {round_dec(avg + ' / 60', 1)} AS avg_delay_min,
+           {round_dec('ln(1 + count(*)) * ' + avg + ' / 60', 2)} AS hotspot_score
+    FROM {src} e JOIN stops s ON {join_on}
+    WHERE {where}
+    GROUP BY 1, 2, 3, 4, 5
+    HAVING count(*) >= 5"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -137,8 +265,37 @@ def q_cascade_flags() -> str:
     return with_(ADAPTER, trip_delay_cte(), CASCADE_CTE) + "\nSELECT * FROM cascade"
 
 
+BASE = (ADAPTER, trip_delay_cte(), CASCADE_CTE)
+
+
+def r9(c: str) -> str:
+    return f"{round_dec(c, 9)} AS {c}"
+
+
 def all_sql() -> dict[str, str]:
+    stg_full = with_(*BASE, stg_ctes())
+    hourly = with_(*BASE, stg_ctes(), HOURLY_CTE)
+    mart = with_(*BASE, stg_ctes(), HOURLY_CTE, MART_CTE)
+    recent = "DATE '2024-01-31' - 7"
     return {
         "trip_delay": q_trip_delay(),
         "cascade_flags": q_cascade_flags(),
+        "stg_trip_delay_events": stg_full + "\nSELECT * FROM stg",
+        "stg_cascade_flags": stg_full + "\nSELECT * FROM stgc",
+        "route_delay_hourly": hourly + f"""
+SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
+       {r9('avg_delay_sec')}, {r9('p50_delay_sec')}, {r9('p95_delay_sec')}
+FROM hourly""",
+        "route_reliability": mart + f"""
+SELECT * EXCLUDE (daily_avg_delay_sec), {r9('daily_avg_delay_sec')} FROM mart""",
+        "hotspots_like": with_(*BASE, stg_ctes()) + hotspot_select(
+            "stg", "e.trip_id LIKE '%' || s.stop_id || '%'",
+            f"e.event_date >= {recent}", "max_arrival_delay_sec",
+            "CAST(e.is_severe AS INTEGER)"),
+        "hotspots_by_stop": with_(ADAPTER) + hotspot_select(
+            "stu", "e.stop_id = s.stop_id AND e.route_id = s.route_id",
+            f"CAST(e.event_ts AS DATE) >= {recent} "
+            "AND e.arrival_delay_sec BETWEEN -120 AND 7200",
+            "arrival_delay_sec",
+            "CASE WHEN e.arrival_delay_sec >= 300 THEN 1 ELSE 0 END"),
     }

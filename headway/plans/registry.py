@@ -7,14 +7,29 @@ DuckDB twins of :mod:`headway.plans.oracle`.
 
 from __future__ import annotations
 
-from headway.plans import batch, oracle
+from headway.functions.columns import round_dec
+from headway.plans import batch
+from headway.plans import oracle as duck_sql
+
+
+def _r9(df, *cols):
+    """Raw averages and percentiles rounded to 9 places for the parity
+    check (engines differ in the last bit of a mean of means)."""
+    return df.select(*[round_dec(c, 9).alias(c) if c in cols else c for c in df.columns])
 
 QUERIES = {
     "trip_delay": batch.trip_delay_windows,
     "cascade_flags": batch.cascade_windows,
+    "stg_trip_delay_events": batch.stg_trips,
+    "stg_cascade_flags": batch.stg_flags,
+    "route_delay_hourly": lambda s, d: _r9(batch.hourly(s, d), "avg_delay_sec",
+                                           "p50_delay_sec", "p95_delay_sec"),
+    "route_reliability": lambda s, d: _r9(batch.reliability(s, d), "daily_avg_delay_sec"),
+    "hotspots_like": batch.hotspots_like_q,
+    "hotspots_by_stop": batch.hotspots_by_stop_q,
 }
 
 
 def oracle() -> dict[str, str]:
-    sql = oracle.all_sql()
+    sql = duck_sql.all_sql()
     return {k: v for k, v in sql.items() if k in QUERIES}

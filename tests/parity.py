@@ -17,6 +17,28 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _scalar(v):
+    import datetime as dt
+    import decimal
+
+    if v is None or (isinstance(v, float) and pd.isna(v)):
+        return None
+    if isinstance(v, str):
+        return v
+    if isinstance(v, dt.datetime):
+        return str(pd.Timestamp(v).tz_localize(None) if v.tzinfo is None else
+                   pd.Timestamp(v).tz_convert("UTC").tz_localize(None))
+    if isinstance(v, dt.date):
+        return str(pd.Timestamp(v))
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    if isinstance(v, bytes):
+        return v.decode("utf-8", "replace")
+    if hasattr(v, "tolist"):
+        v = v.tolist()
+    return repr(v)
+
+
 def _norm(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
@@ -24,10 +46,9 @@ def _norm(df: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_datetime64_any_dtype(s):
             if getattr(s.dt, "tz", None) is not None:
                 s = s.dt.tz_convert("UTC").dt.tz_localize(None)
-            df[c] = s.astype("datetime64[us]").astype(str)
+            df[c] = s.astype("datetime64[us]").map(lambda v: None if pd.isna(v) else str(v))
         elif s.dtype == object:
-            df[c] = s.map(lambda v: None if v is None or (isinstance(v, float) and pd.isna(v))
-                          else (repr(v) if not isinstance(v, str) else v))
+            df[c] = s.map(_scalar)
         elif pd.api.types.is_float_dtype(s):
             df[c] = s.astype("float64")
         elif pd.api.types.is_bool_dtype(s):
