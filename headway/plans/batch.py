@@ -30,7 +30,10 @@ from headway.operators.models import (
     stg_cascade_flags,
     stg_trip_delay_events,
 )
-from headway.sources.testdata import AS_OF, load_feed, load_stops
+from headway.operators.ingest import ingest_counts
+from headway.operators.parse import feed_entities
+from headway.operators.state import latest_route_state
+from headway.sources.testdata import AS_OF, landed_feed, load_feed, load_stops
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,3 +109,30 @@ def hotspots_like_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hotspots_by_stop_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hotspots_by_stop(stop_rows(spark, sf_dir), stops(spark, sf_dir), AS_OF)
+
+
+def feed_vehicle_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON feed -> entities -> vehicle position rows."""
+    ents = feed_entities(landed_feed(load_feed(spark, sf_dir)), keep=["agency"])
+    return normalize_vehicle_positions(ents, F.col("agency"))
+
+
+def feed_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed JSON feed -> entities -> trip update rows (stop list as JSON)."""
+    ents = feed_entities(landed_feed(load_feed(spark, sf_dir)), keep=["agency"])
+    rows = normalize_trip_updates(ents, F.col("agency"))
+    return rows.withColumn("stop_time_updates", F.to_json("stop_time_updates"))
+
+
+def trip_topic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = trip_topic(spark, sf_dir)
+    return m.select(F.col("key").cast("string").alias("key"),
+                    F.col("value").cast("string").alias("value"), "topic", "timestamp")
+
+
+def topic_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_counts(vehicle_topic(spark, sf_dir).unionByName(trip_topic(spark, sf_dir)))
+
+
+def route_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_route_state(cascade_windows(spark, sf_dir))

@@ -60,7 +60,7 @@ vp AS (
     SELECT vehicle_id, trip_id, route_id,
            38.9 + k / 1000 AS latitude,
            -77.0 - k / 1000 AS longitude,
-           k * 3.6 AS bearing,
+           k * 36 / 10 AS bearing,
            CASE WHEN value / 2.237 <> 0 THEN round(value / 2.237 * 2.237, 2) ELSE 0.0 END
                AS speed_mph,
            lpad(CAST(k AS VARCHAR), 3, '0') AS current_stop,
@@ -267,6 +267,21 @@ def q_cascade_flags() -> str:
 
 BASE = (ADAPTER, trip_delay_cte(), CASCADE_CTE)
 
+TRIP_ROWS = """,
+trip_rows AS (
+    SELECT t.trip_id, t.route_id, t.vehicle_id,
+           strftime(t.event_ts, '%Y%m%d') AS start_date,
+           COALESCE((SELECT list({'stop_id': s.stop_id, 'stop_sequence': CAST(s.i AS INTEGER),
+                                  'arrival_delay_sec': s.a, 'departure_delay_sec': s.a + 30,
+                                  'schedule_relationship': 'SCHEDULED'} ORDER BY s.i)
+                     FROM (SELECT i, lpad(CAST(t.k + i AS VARCHAR), 3, '0') AS stop_id,
+                                  CAST(t.base + 30 * (i - 1) + t.bump AS INTEGER) AS a
+                           FROM generate_series(1, t.k % 4) g(i)) s), []) AS stop_time_updates,
+           strftime(t.event_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
+           t.agency, t.event_ts
+    FROM tu t
+)"""
+
 
 def r9(c: str) -> str:
     return f"{round_dec(c, 9)} AS {c}"
@@ -288,6 +303,47 @@ SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
 FROM hourly""",
         "route_reliability": mart + f"""
 SELECT * EXCLUDE (daily_avg_delay_sec), {r9('daily_avg_delay_sec')} FROM mart""",
+        "feed_vehicle_positions": with_(ADAPTER) + f"""
+SELECT * EXCLUDE (event_ts) FROM vp""",
+        "vehicle_positions": with_(ADAPTER) + f"""
+SELECT *, event_ts AS kafka_ts FROM vp""",
+        "feed_trip_updates": with_(ADAPTER) + TRIP_ROWS + """
+SELECT trip_id, route_id, vehicle_id, start_date, to_json(stop_time_updates) AS stop_time_updates,
+       timestamp, agency
+FROM trip_rows""",
+        "trip_topic_messages": with_(ADAPTER) + TRIP_ROWS + """
+SELECT agency || ':' || trip_id AS key,
+       to_json({'trip_id': trip_id, 'route_id': route_id, 'vehicle_id': vehicle_id,
+                'start_date': start_date, 'stop_time_updates': stop_time_updates,
+                'timestamp': timestamp, 'agency': agency}) AS value,
+       'gtfs.trip_updates' AS topic,
+       event_ts AS timestamp
+FROM trip_rows""",
+        "stop_updates": with_(ADAPTER) + "\nSELECT * FROM stu",
+        "ingest_counts": with_(ADAPTER) + """
+SELECT topic, agency, CAST(count(*) AS BIGINT) AS published
+FROM (SELECT agency FROM tu), (VALUES ('gtfs.vehicle_positions'), ('gtfs.trip_updates')) t(topic)
+GROUP BY topic, agency""",
+        "route_speed_agg": with_(ADAPTER) + f"""
+SELECT route_id, agency,
+       {round_dec('avg(speed_mph)', 9)} AS avg_speed_mph,
+       min(speed_mph) AS min_speed_mph,
+       count(*) AS vehicle_count,
+       {round_dec('stddev_samp(speed_mph)', 9)} AS speed_stddev,
+       avg(speed_mph) < 5.0 AS is_slow_route,
+       window_start, window_start + INTERVAL '5 minutes' AS window_end
+FROM ({sliding('vp', 'route_id, agency, speed_mph', 5, 1)})
+GROUP BY window_start, route_id, agency""",
+        "latest_route_state": with_(*BASE) + """
+SELECT route_id, agency,
+       arg_max(delayed_pct, window_start) AS delayed_pct,
+       arg_max(is_cascade, window_start) AS is_cascade,
+       arg_max(cascade_score, window_start) AS cascade_score,
+       arg_max(total_trips, window_start) AS total_trips,
+       arg_max(delayed_trips, window_start) AS delayed_trips,
+       max(window_start) AS window_start
+FROM cascade
+GROUP BY route_id, agency""",
         "hotspots_like": with_(*BASE, stg_ctes()) + hotspot_select(
             "stg", "e.trip_id LIKE '%' || s.stop_id || '%'",
             f"e.event_date >= {recent}", "max_arrival_delay_sec",

@@ -25,6 +25,15 @@ QUERIES = {
     "route_delay_hourly": lambda s, d: _r9(batch.hourly(s, d), "avg_delay_sec",
                                            "p50_delay_sec", "p95_delay_sec"),
     "route_reliability": lambda s, d: _r9(batch.reliability(s, d), "daily_avg_delay_sec"),
+    "feed_vehicle_positions": batch.feed_vehicle_positions,
+    "vehicle_positions": batch.vehicles,
+    "feed_trip_updates": batch.feed_trip_updates,
+    "trip_topic_messages": batch.trip_topic_text,
+    "stop_updates": batch.stop_rows,
+    "ingest_counts": batch.topic_ingest_counts,
+    "route_speed_agg": lambda s, d: _r9(batch.speed_windows(s, d), "avg_speed_mph",
+                                        "speed_stddev"),
+    "latest_route_state": batch.route_state,
     "hotspots_like": batch.hotspots_like_q,
     "hotspots_by_stop": batch.hotspots_by_stop_q,
 }

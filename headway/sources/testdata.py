@@ -17,7 +17,7 @@ rows can be rebuilt by the DuckDB oracle.  Fixed mapping:
   speed             value mph (sent as value / 2.237 m/s)
   latitude          38.9 + k/1000
   longitude         -77.0 - k/1000
-  bearing           k * 3.6
+  bearing           k * 36 / 10
   stops             stop_id = s_suppkey left-padded to 3, stop_name = s_name,
                     route_id = the five event types in alphabetical order
                     indexed by s_nationkey mod 5,
@@ -85,7 +85,7 @@ def transit_feed(events: DataFrame) -> DataFrame:
                 F.struct(
                     (F.lit(38.9) + F.col("k") / 1000).alias("latitude"),
                     (F.lit(-77.0) - F.col("k") / 1000).alias("longitude"),
-                    (F.col("k") * 3.6).alias("bearing"),
+                    (F.col("k") * 36 / 10).alias("bearing"),
                     (F.col("value") / 2.237).alias("speed"),
                 ).alias("position"),
                 F.lpad(F.col("k").cast("string"), 3, "0").alias("stop_id"),
@@ -102,6 +102,18 @@ def transit_feed(events: DataFrame) -> DataFrame:
     )
 
 
+def landed_feed(entities: DataFrame) -> DataFrame:
+    """Feed entities -> landed JSON FeedMessages (column ``value``), one
+    entity per message, with the ``agency`` landing column."""
+    msg = F.struct(
+        F.struct(F.lit("2.0").alias("gtfs_realtime_version"),
+                 F.coalesce(F.col("vehicle.timestamp"), F.col("trip_update.timestamp"))
+                 .alias("timestamp")).alias("header"),
+        F.array(F.struct("id", "vehicle", "trip_update")).alias("entity"),
+    )
+    return entities.select("agency", F.to_json(msg).alias("value"))
+
+
 def stops_table(supplier: DataFrame) -> DataFrame:
     """supplier -> static ``stops`` dimension."""
     idx = (F.col("s_nationkey") % 5).cast("int")
