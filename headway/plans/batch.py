@@ -33,7 +33,11 @@ from headway.operators.models import (
 from headway.operators.ingest import ingest_counts
 from headway.operators.parse import feed_entities
 from headway.operators.state import latest_route_state
-from headway.sources.testdata import AS_OF, landed_feed, load_feed, load_stops
+from headway.operators import dashboard as dash
+from headway.operators import ml
+from headway.operators.quality import check_freshness, quality_report
+from headway.sinks.tables import incremental_filter, merge_rows
+from headway.sources.testdata import AS_OF, landed_feed, load_feed, load_stops, transit_feed
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,3 +140,92 @@ def topic_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_route_state(cascade_windows(spark, sf_dir))
+
+
+def _stg_from_events(events: DataFrame) -> DataFrame:
+    """Staged trip windows from an events DataFrame (full chain)."""
+    feed = transit_feed(events)
+    msgs = trip_messages(normalize_trip_updates(feed, F.col("agency")))
+    return stg_trip_delay_events(
+        trip_delay(explode_stop_updates(parse_trip_updates(msgs))), loaded_at=False)
+
+
+def incremental_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged rows newer than a target loaded up to 2024-01-16."""
+    stg = stg_trips(spark, sf_dir)
+    target = stg.filter(F.col("window_start") < F.lit("2024-01-16").cast("timestamp"))
+    return incremental_filter(stg, target)
+
+
+def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target staged from events before 2024-01-20, upserted with a batch
+    staged from events since 2024-01-19 (overlapping windows replaced)."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    old = _stg_from_events(ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
+    new = _stg_from_events(ev.filter(F.col("ts") >= F.lit("2024-01-19").cast("timestamp_ntz")))
+    return merge_rows(old, new, ["trip_id", "route_id", "vehicle_id", "agency", "window_start"])
+
+
+def quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report({
+        "trip_delay_events": trip_delay_windows(spark, sf_dir),
+        "route_speed_agg": speed_windows(spark, sf_dir),
+        "cascade_flags": cascade_windows(spark, sf_dir),
+    }, as_of=AS_OF)
+
+
+def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_freshness(trip_delay_windows(spark, sf_dir), AS_OF, ts_col="window_start")
+
+
+def kpi_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.kpi_summary(vehicles(spark, sf_dir), trip_delay_windows(spark, sf_dir),
+                            route_state(spark, sf_dir), trips(spark, sf_dir), AS_OF, minutes=60)
+
+
+def distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.delay_distribution(trip_delay_windows(spark, sf_dir), "1 minute")
+
+
+def active_cascades_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.active_cascades(route_state(spark, sf_dir), trip_delay_windows(spark, sf_dir))
+
+
+def route_status_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.route_status(trip_delay_windows(spark, sf_dir))
+
+
+def route_trend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.route_trend(trip_delay_windows(spark, sf_dir), AS_OF, minutes=24 * 60)
+
+
+def reliability_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.reliability_latest(reliability(spark, sf_dir))
+
+
+def throughput_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = vehicle_topic(spark, sf_dir).unionByName(trip_topic(spark, sf_dir))
+    return dash.ingest_throughput(msgs, "1 hour")
+
+
+def profiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml.route_profiles(stg_trips(spark, sf_dir), AS_OF)
+
+
+def features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    td = trip_delay_windows(spark, sf_dir)
+    return ml.cascade_features(td, profiles=profiles_q(spark, sf_dir),
+                               flags=cascade_windows(spark, sf_dir))
+
+
+def labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ml.cascade_labels(trip_delay_windows(spark, sf_dir), cascade_windows(spark, sf_dir))
+
+
+def model_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on the labelled windows, score, evaluate, gate (one row)."""
+    labeled = ml.cascade_labels(ml.cascade_features(trip_delay_windows(spark, sf_dir)),
+                                cascade_windows(spark, sf_dir))
+    train = ml.training_set(labeled, AS_OF)
+    model = ml.train_cascade_model(train, max_iter=10)
+    return ml.model_gate(ml.model_metrics(ml.score_cascades(train, model)))

@@ -8,6 +8,8 @@ double -> int casts truncate first; ``ROUND_DEC`` mirrors ``round_dec``.
 
 from __future__ import annotations
 
+import re
+
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
@@ -125,7 +127,12 @@ cascade AS (
 )"""
 
 
-def stg_ctes() -> str:
+def stg_ctes(with_flags: bool = True) -> str:
+    text = stg_trip_cte()
+    return text + STGC if with_flags else text
+
+
+def stg_trip_cte() -> str:
     mx = "max_arrival_delay_sec"
     return f"""
 stg AS (
@@ -145,7 +152,10 @@ stg AS (
     FROM trip_delay
     WHERE trip_id IS NOT NULL AND route_id IS NOT NULL AND window_start IS NOT NULL
       AND {mx} BETWEEN -120 AND 7200
-),
+)"""
+
+
+STGC = f""",
 stgc AS (
     SELECT route_id, agency, CAST(window_start AS TIMESTAMP) AS window_start,
            CAST(total_trips AS INTEGER) AS total_trips,
@@ -283,6 +293,103 @@ trip_rows AS (
 )"""
 
 
+def staged_chain(sfx: str, where: str) -> str:
+    """Adapter -> trip delay -> staging over a subset of events, with every
+    CTE name suffixed so two chains can share one query."""
+    text = ",".join([ADAPTER.replace("FROM events", f"FROM events WHERE {where}"),
+                     trip_delay_cte(), stg_trip_cte()])
+    for name in ("ev", "tu", "stu", "vp", "stops", "tw", "trip_delay", "stg"):
+        text = re.sub(rf"\b{name}\b", f"{name}{sfx}", text)
+    return text
+
+
+SPEED_CTE = f"""
+speed AS (
+    SELECT route_id, agency, avg(speed_mph) AS avg_speed_mph, min(speed_mph) AS min_speed_mph,
+           count(*) AS vehicle_count, stddev_samp(speed_mph) AS speed_stddev,
+           avg(speed_mph) < 5.0 AS is_slow_route,
+           window_start, window_start + INTERVAL '5 minutes' AS window_end
+    FROM ({sliding('vp', 'route_id, agency, speed_mph', 5, 1)})
+    GROUP BY window_start, route_id, agency
+)"""
+
+STATE_CTE = """
+state AS (
+    SELECT route_id, agency,
+           arg_max(delayed_pct, window_start) AS delayed_pct,
+           arg_max(is_cascade, window_start) AS is_cascade,
+           arg_max(cascade_score, window_start) AS cascade_score,
+           arg_max(total_trips, window_start) AS total_trips,
+           arg_max(delayed_trips, window_start) AS delayed_trips,
+           max(window_start) AS window_start
+    FROM cascade
+    GROUP BY route_id, agency
+)"""
+
+PROFILE_CTE = f"""
+profiles AS (
+    SELECT route_id, agency, day_of_week, hour_of_day,
+           count(*) AS n,
+           avg(max_arrival_delay_sec) AS avg_delay_sec,
+           stddev_samp(max_arrival_delay_sec) AS stddev_delay_sec,
+           CAST(quantile_cont(max_arrival_delay_sec, 0.5) AS DOUBLE) AS p50_delay_sec,
+           CAST(quantile_cont(max_arrival_delay_sec, 0.95) AS DOUBLE) AS p95_delay_sec,
+           avg(CASE WHEN max_arrival_delay_sec >= 300 THEN 1.0 ELSE 0.0 END) AS severe_share
+    FROM stg
+    WHERE window_start >= {AS_OF} - INTERVAL '84 days'
+    GROUP BY route_id, agency, day_of_week, hour_of_day
+)"""
+
+
+def qrow(table: str, check: str, col: str, observed: str, thr: float, passed: str,
+         src: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{col}' AS column_name, "
+            f"CAST({observed} AS DOUBLE) AS observed, CAST({thr} AS DOUBLE) AS threshold, "
+            f"CAST({observed} AS DOUBLE) {passed} AS passed FROM {src}")
+
+
+def quality_sql() -> str:
+    recent = f"count(*) FILTER (WHERE window_start >= {AS_OF} - INTERVAL '1 hour')"
+    nulls = "count(*) FILTER (WHERE route_id IS NULL) / greatest(count(*), 1)"
+    rows = [
+        qrow("trip_delay_events", "min_rows_per_hour", "window_start", recent, 1000,
+             ">= 1000.0", "trip_delay"),
+        qrow("trip_delay_events", "max_null_pct_route_id", "route_id", nulls, 0.01,
+             "<= 0.01", "trip_delay"),
+        qrow("trip_delay_events", "max_delay_sec", "max_arrival_delay_sec",
+             "count(*) FILTER (WHERE max_arrival_delay_sec > 7200)", 7200, "= 0", "trip_delay"),
+        qrow("route_speed_agg", "min_rows_per_hour", "window_start", recent, 200,
+             ">= 200.0", "speed"),
+        qrow("route_speed_agg", "max_null_pct_route_id", "route_id", nulls, 0.0,
+             "<= 0.0", "speed"),
+        qrow("route_speed_agg", "min_speed_mph", "min_speed_mph",
+             "count(*) FILTER (WHERE min_speed_mph < -1.0)", -1.0, "= 0", "speed"),
+        qrow("cascade_flags", "min_rows_per_hour", "window_start", recent, 50,
+             ">= 50.0", "cascade"),
+        qrow("cascade_flags", "max_cascade_score", "cascade_score",
+             "count(*) FILTER (WHERE cascade_score > 100)", 100, "= 0", "cascade"),
+    ]
+    return with_(*BASE, SPEED_CTE) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+def kpi_sql(minutes: int = 60) -> str:
+    since = f"{AS_OF} - INTERVAL '{minutes} minutes'"
+    return with_(*BASE, STATE_CTE) + f"""
+SELECT 'active_vehicles' AS metric, CAST(count(DISTINCT vehicle_id) AS DOUBLE) AS value
+FROM vp WHERE event_ts >= {since}
+UNION ALL
+SELECT 'on_time_rate', {round_dec("avg(CASE WHEN delay_severity = 'ON_TIME' THEN 1.0 ELSE 0.0 END)", 9)}
+FROM trip_delay WHERE window_start >= {since}
+UNION ALL
+SELECT 'avg_delay_min', {round_dec('avg(max_arrival_delay_sec) / 60', 9)}
+FROM trip_delay WHERE window_start >= {since}
+UNION ALL
+SELECT 'routes_in_cascade', CAST(count(*) FILTER (WHERE is_cascade) AS DOUBLE) FROM state
+UNION ALL
+SELECT 'events_per_min', {round_dec(f'count(*) / {float(minutes)}', 9)}
+FROM tu WHERE event_ts >= {since}"""
+
+
 def r9(c: str) -> str:
     return f"{round_dec(c, 9)} AS {c}"
 
@@ -344,6 +451,114 @@ SELECT route_id, agency,
        max(window_start) AS window_start
 FROM cascade
 GROUP BY route_id, agency""",
+        "incremental_filter": stg_full + """
+SELECT * FROM stg
+WHERE window_start > (SELECT max(window_start) FROM stg
+                      WHERE window_start < TIMESTAMP '2024-01-16')""",
+        "merge_upsert": "WITH " + staged_chain("_a", "ts < TIMESTAMP '2024-01-20'") + ","
+        + staged_chain("_b", "ts >= TIMESTAMP '2024-01-19'") + """
+SELECT * FROM stg_a a
+WHERE NOT EXISTS (SELECT 1 FROM stg_b b
+                  WHERE a.trip_id = b.trip_id AND a.route_id = b.route_id
+                    AND a.vehicle_id = b.vehicle_id AND a.agency = b.agency
+                    AND a.window_start = b.window_start)
+UNION ALL
+SELECT * FROM stg_b""",
+        "quality_report": quality_sql(),
+        "freshness": with_(*BASE) + f"""
+SELECT max(window_start) AS last_write,
+       (epoch_us({AS_OF}) - epoch_us(max(window_start))) / 3.6e9 AS lag_hours,
+       COALESCE((epoch_us({AS_OF}) - epoch_us(max(window_start))) / 3.6e9 < 2.0, false)
+           AS passed
+FROM trip_delay""",
+        "kpi_summary": kpi_sql(60),
+        "delay_distribution": with_(*BASE) + """
+SELECT time_bucket(INTERVAL '1 minute', window_start, TIMESTAMP '1970-01-01') AS window_start,
+       time_bucket(INTERVAL '1 minute', window_start, TIMESTAMP '1970-01-01')
+           + INTERVAL '1 minute' AS window_end,
+       count(*) FILTER (WHERE delay_severity = 'SEVERE') AS "SEVERE",
+       count(*) FILTER (WHERE delay_severity = 'MODERATE') AS "MODERATE",
+       count(*) FILTER (WHERE delay_severity = 'MINOR') AS "MINOR",
+       count(*) FILTER (WHERE delay_severity = 'ON_TIME') AS "ON_TIME"
+FROM trip_delay
+GROUP BY 1, 2""",
+        "active_cascades": with_(*BASE, STATE_CTE) + f"""
+SELECT s.route_id, s.agency, s.window_start, s.cascade_score,
+       {round_dec('d.a / 60', 1)} AS avg_delay_min,
+       {round_dec('s.delayed_pct * 100', 1)} AS pct_affected,
+       CASE WHEN s.cascade_score > 60 THEN 'high' ELSE 'moderate' END AS alert_level
+FROM state s
+LEFT JOIN (SELECT route_id, agency, window_start, avg(max_arrival_delay_sec) AS a
+           FROM trip_delay GROUP BY 1, 2, 3) d
+  ON s.route_id = d.route_id AND s.agency = d.agency AND s.window_start = d.window_start
+WHERE s.is_cascade""",
+        "route_status": with_(*BASE) + f"""
+SELECT route_id, agency, trip_windows, on_time_pct, avg_delay_min,
+       CASE WHEN avg_delay_min > 6 THEN 'SEVERE' WHEN avg_delay_min > 3 THEN 'MODERATE'
+            WHEN avg_delay_min > 1 THEN 'MINOR' ELSE 'ON_TIME' END AS display_severity,
+       CASE WHEN on_time_pct > 80 THEN 'good' WHEN on_time_pct > 60 THEN 'warn'
+            ELSE 'bad' END AS band
+FROM (
+    SELECT route_id, agency, count(*) AS trip_windows,
+           {round_dec("avg(CASE WHEN delay_severity = 'ON_TIME' THEN 1.0 ELSE 0.0 END) * 100", 1)}
+               AS on_time_pct,
+           {round_dec('avg(max_arrival_delay_sec) / 60', 1)} AS avg_delay_min
+    FROM trip_delay GROUP BY route_id, agency
+)""",
+        "route_trend": with_(*BASE) + f"""
+SELECT route_id, agency,
+       CAST(floor((epoch_us(window_start) - epoch_us(TIMESTAMP '2024-01-30 00:00:00'))
+                  / 8640000000) AS INTEGER) AS bucket,
+       {round_dec('avg(max_arrival_delay_sec)', 9)} AS avg_delay_sec,
+       count(*) AS trip_windows
+FROM trip_delay
+WHERE window_start >= TIMESTAMP '2024-01-30 00:00:00' AND window_start < {AS_OF}
+GROUP BY 1, 2, 3""",
+        "reliability_latest": mart + """
+SELECT route_id, agency, event_date, reliability_score, rolling_7d_on_time_pct,
+       CASE WHEN reliability_score > 75 THEN 'good' WHEN reliability_score > 55 THEN 'fair'
+            ELSE 'poor' END AS band
+FROM (SELECT *, row_number() OVER (PARTITION BY route_id, agency ORDER BY event_date DESC) AS rn
+      FROM mart)
+WHERE rn = 1""",
+        "ingest_throughput": with_(ADAPTER) + """
+SELECT window_start, topic, messages,
+       CAST(sum(messages) OVER (PARTITION BY topic ORDER BY window_start
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+           AS total_messages
+FROM (
+    SELECT time_bucket(INTERVAL '1 hour', event_ts, TIMESTAMP '1970-01-01') AS window_start,
+           topic, count(*) AS messages
+    FROM tu, (VALUES ('gtfs.vehicle_positions'), ('gtfs.trip_updates')) t(topic)
+    GROUP BY 1, 2
+)""",
+        "route_profiles": with_(*BASE, stg_ctes(False), PROFILE_CTE) + f"""
+SELECT route_id, agency, day_of_week, hour_of_day, n,
+       {r9('avg_delay_sec')}, {r9('stddev_delay_sec')}, {r9('p50_delay_sec')},
+       {r9('p95_delay_sec')}, {r9('severe_share')}
+FROM profiles""",
+        "cascade_features": with_(*BASE, stg_ctes(False), PROFILE_CTE) + f"""
+SELECT t.*,
+       CAST(hour(t.window_start) AS INTEGER) AS hour_of_day,
+       {rush('hour(t.window_start)')} AS is_rush_hour,
+       t.max_arrival_delay_sec / 3600.0 AS delay_norm,
+       CAST(dayofweek(t.window_start) + 1 AS INTEGER) AS day_of_week,
+       {round_dec('p.avg_delay_sec', 9)} AS profile_avg_delay_sec,
+       {round_dec('p.p95_delay_sec', 9)} AS profile_p95_delay_sec,
+       c.total_trips AS route_load
+FROM trip_delay t
+LEFT JOIN profiles p
+  ON t.route_id = p.route_id AND t.agency = p.agency
+ AND CAST(dayofweek(t.window_start) + 1 AS INTEGER) = p.day_of_week
+ AND CAST(hour(t.window_start) AS INTEGER) = p.hour_of_day
+LEFT JOIN cascade c
+  ON t.route_id = c.route_id AND t.agency = c.agency AND t.window_start = c.window_start""",
+        "cascade_labels": with_(*BASE) + """
+SELECT t.*, COALESCE(CAST(c.is_cascade AS DOUBLE), 0.0) AS label
+FROM trip_delay t
+LEFT JOIN cascade c
+  ON t.route_id = c.route_id AND t.agency = c.agency
+ AND t.window_start = c.window_start - INTERVAL '10 minutes'""",
         "hotspots_like": with_(*BASE, stg_ctes()) + hotspot_select(
             "stg", "e.trip_id LIKE '%' || s.stop_id || '%'",
             f"e.event_date >= {recent}", "max_arrival_delay_sec",

@@ -34,6 +34,24 @@ QUERIES = {
     "route_speed_agg": lambda s, d: _r9(batch.speed_windows(s, d), "avg_speed_mph",
                                         "speed_stddev"),
     "latest_route_state": batch.route_state,
+    "incremental_filter": batch.incremental_q,
+    "merge_upsert": batch.merge_q,
+    "quality_report": batch.quality_q,
+    "freshness": batch.freshness_q,
+    "kpi_summary": batch.kpi_q,
+    "delay_distribution": batch.distribution_q,
+    "active_cascades": batch.active_cascades_q,
+    "route_status": batch.route_status_q,
+    "route_trend": batch.route_trend_q,
+    "reliability_latest": batch.reliability_latest_q,
+    "ingest_throughput": batch.throughput_q,
+    "route_profiles": lambda s, d: _r9(batch.profiles_q(s, d), "avg_delay_sec",
+                                       "stddev_delay_sec", "p50_delay_sec", "p95_delay_sec",
+                                       "severe_share"),
+    "cascade_features": lambda s, d: _r9(batch.features_q(s, d), "profile_avg_delay_sec",
+                                         "profile_p95_delay_sec"),
+    "cascade_labels": batch.labels_q,
+    "model_metrics": batch.model_metrics_q,
     "hotspots_like": batch.hotspots_like_q,
     "hotspots_by_stop": batch.hotspots_by_stop_q,
 }
