@@ -12,7 +12,14 @@ from headway.functions.schemas import TRIP_UPDATE, VEHICLE_POSITION
 
 
 def _decode(raw: DataFrame, schema, keep_broker_ts: bool) -> DataFrame:
-    cols = [F.from_json(F.col("value").cast("string"), schema).alias("d")]
+    # Parse exactly once.  Filters that Catalyst infers downstream (non-null
+    # event time from window(), non-empty list from explode()) would
+    # otherwise be pushed below this projection with ``from_json`` inlined,
+    # re-parsing every message once per predicate.  A one-element
+    # ``explode_outer`` is a generator boundary that predicates on the parsed
+    # fields cannot cross (and, being outer, infers no filter itself).
+    cols = [F.explode_outer(F.array(F.from_json(F.col("value").cast("string"), schema)))
+            .alias("d")]
     if keep_broker_ts:
         cols.append(F.col("timestamp").alias("kafka_ts"))
     out = raw.select(*cols).select("d.*", *(["kafka_ts"] if keep_broker_ts else []))

@@ -37,7 +37,14 @@ from headway.operators import dashboard as dash
 from headway.operators import ml
 from headway.operators.quality import check_freshness, quality_report
 from headway.sinks.tables import incremental_filter, merge_rows
-from headway.sources.testdata import AS_OF, landed_feed, load_feed, load_stops, transit_feed
+from headway.sources.testdata import (
+    AS_OF,
+    landed_feed,
+    load_events,
+    load_feed,
+    load_stops,
+    transit_feed,
+)
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,7 +167,7 @@ def incremental_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target staged from events before 2024-01-20, upserted with a batch
     staged from events since 2024-01-19 (overlapping windows replaced)."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    ev = load_events(spark, sf_dir)
     old = _stg_from_events(ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
     new = _stg_from_events(ev.filter(F.col("ts") >= F.lit("2024-01-19").cast("timestamp_ntz")))
     return merge_rows(old, new, ["trip_id", "route_id", "vehicle_id", "agency", "window_start"])
