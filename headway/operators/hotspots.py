@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import round_dec
 from headway.functions.thresholds import DEFAULT, Thresholds
-from headway.operators.joins import maybe_broadcast
+from headway.operators.joins import bounded_rows, maybe_broadcast
 
 STOP_COLS = ("stop_id", "stop_name", "latitude", "longitude", "route_id")
 
@@ -104,6 +104,10 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
         .select(*STOP_COLS, "n", "s", "mx", "sev")
     )
 
+    if bounded_rows(wild, 0):
+        # No wildcard-only id in the dimension (checked on the stops side).
+        return _finish(matched, min_events)
+
     # Wildcard-only ids: aggregates over trips with length >= u, per u.
     by_len = per_trip.groupBy(n.alias("_len")).agg(
         F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("mx").alias("mx"),

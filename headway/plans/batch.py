@@ -33,6 +33,7 @@ from headway.operators.models import (
 from headway.operators.ingest import ingest_counts
 from headway.operators.parse import feed_entities
 from headway.operators.state import latest_route_state
+from headway.session import checkpoint_root
 from headway.operators import dashboard as dash
 from headway.operators import ml
 from headway.operators.quality import check_freshness, quality_report
@@ -47,6 +48,15 @@ from headway.sources.testdata import (
 )
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate that several branches of one plan read
+    (the trip-window table, as the streaming job writes it), so it is
+    computed once.  A reliable checkpoint into the session's
+    ``spark.checkpoint.dir`` cuts the lineage; it survives executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_vehicle_positions(load_feed(spark, sf_dir), F.col("agency"))
 
@@ -106,7 +116,9 @@ def stg_flags(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT,
 
 
 def hourly(spark: SparkSession, sf_dir: str, by_agency: bool = False) -> DataFrame:
-    return route_delay_hourly(stg_trips(spark, sf_dir), stg_flags(spark, sf_dir),
+    td = shared(trip_delay_windows(spark, sf_dir))
+    return route_delay_hourly(stg_trip_delay_events(td, loaded_at=False),
+                              stg_cascade_flags(cascade_flags(td), loaded_at=False),
                               by_agency=by_agency)
 
 
@@ -174,10 +186,11 @@ def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    td = shared(trip_delay_windows(spark, sf_dir))
     return quality_report({
-        "trip_delay_events": trip_delay_windows(spark, sf_dir),
+        "trip_delay_events": td,
         "route_speed_agg": speed_windows(spark, sf_dir),
-        "cascade_flags": cascade_windows(spark, sf_dir),
+        "cascade_flags": cascade_flags(td),
     }, as_of=AS_OF)
 
 
@@ -186,8 +199,9 @@ def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kpi_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dash.kpi_summary(vehicles(spark, sf_dir), trip_delay_windows(spark, sf_dir),
-                            route_state(spark, sf_dir), trips(spark, sf_dir), AS_OF, minutes=60)
+    td = shared(trip_delay_windows(spark, sf_dir))
+    return dash.kpi_summary(vehicles(spark, sf_dir), td, latest_route_state(cascade_flags(td)),
+                            trips(spark, sf_dir), AS_OF, minutes=60)
 
 
 def distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +209,8 @@ def distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def active_cascades_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dash.active_cascades(route_state(spark, sf_dir), trip_delay_windows(spark, sf_dir))
+    td = shared(trip_delay_windows(spark, sf_dir))
+    return dash.active_cascades(latest_route_state(cascade_flags(td)), td)
 
 
 def route_status_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,19 +235,20 @@ def profiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    td = trip_delay_windows(spark, sf_dir)
-    return ml.cascade_features(td, profiles=profiles_q(spark, sf_dir),
-                               flags=cascade_windows(spark, sf_dir))
+    td = shared(trip_delay_windows(spark, sf_dir))
+    profiles = ml.route_profiles(stg_trip_delay_events(td, loaded_at=False), AS_OF)
+    return ml.cascade_features(td, profiles=profiles, flags=cascade_flags(td))
 
 
 def labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.cascade_labels(trip_delay_windows(spark, sf_dir), cascade_windows(spark, sf_dir))
+    td = shared(trip_delay_windows(spark, sf_dir))
+    return ml.cascade_labels(td, cascade_flags(td))
 
 
 def model_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the labelled windows, score, evaluate, gate (one row)."""
-    labeled = ml.cascade_labels(ml.cascade_features(trip_delay_windows(spark, sf_dir)),
-                                cascade_windows(spark, sf_dir))
+    td = shared(trip_delay_windows(spark, sf_dir))
+    labeled = ml.cascade_labels(ml.cascade_features(td), cascade_flags(td))
     train = ml.training_set(labeled, AS_OF)
     model = ml.train_cascade_model(train, max_iter=10)
     return ml.model_gate(ml.model_metrics(ml.score_cascades(train, model)))
