@@ -74,14 +74,16 @@ def stg_cascade_flags(flags: DataFrame, loaded_at: bool = True) -> DataFrame:
 
 
 def route_delay_hourly(stg_trips: DataFrame, stg_flags: DataFrame, by_agency: bool = False,
-                       approx: bool = False) -> DataFrame:
+                       approx: bool = False, distinct_trips: bool = False) -> DataFrame:
     """Hourly rollup per (route, agency, date, hour) with cascade activity.
 
     Exact percentiles hold a value->count map per group; delays are bounded
     integers, so the map stays small even for a hot route.  ``approx=True``
     swaps in ``percentile_approx``.  ``by_agency=True`` joins cascade
     activity per agency; the reference joins on route only and so mixes
-    the agencies of one route id.
+    the agencies of one route id.  ``total_trips`` counts trip-windows (a
+    trip sits in 5 sliding windows), as in the reference;
+    ``distinct_trips=True`` adds the count of distinct trips.
     """
     d = F.col("max_arrival_delay_sec")
     if approx:
@@ -98,6 +100,7 @@ def route_delay_hourly(stg_trips: DataFrame, stg_flags: DataFrame, by_agency: bo
         p50.alias("p50_delay_sec"),
         p95.alias("p95_delay_sec"),
         F.max(d).alias("max_delay_sec"),
+        *([F.count_distinct("trip_id").alias("distinct_trips")] if distinct_trips else []),
     )
     keys = ["route_id", "event_date", "hour_of_day"] + (["agency"] if by_agency else [])
     cascade_hourly = (

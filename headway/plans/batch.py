@@ -7,6 +7,8 @@ table grows with its inputs.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,15 +117,22 @@ def stg_flags(spark: SparkSession, sf_dir: str, th: Thresholds = DEFAULT,
     return stg_cascade_flags(cascade_windows(spark, sf_dir, th), loaded_at=loaded_at)
 
 
-def hourly(spark: SparkSession, sf_dir: str, by_agency: bool = False) -> DataFrame:
+def hourly(spark: SparkSession, sf_dir: str, by_agency: bool = False,
+           distinct_trips: bool = False) -> DataFrame:
     td = shared(trip_delay_windows(spark, sf_dir))
     return route_delay_hourly(stg_trip_delay_events(td, loaded_at=False),
                               stg_cascade_flags(cascade_flags(td), loaded_at=False),
-                              by_agency=by_agency)
+                              by_agency=by_agency, distinct_trips=distinct_trips)
+
+
+def reliability(spark: SparkSession, sf_dir: str, by_agency: bool = False, **kw) -> DataFrame:
+    return route_reliability(hourly(spark, sf_dir, by_agency=by_agency), by_agency=by_agency,
+                             **kw)
 
 
-def reliability(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return route_reliability(hourly(spark, sf_dir), **kw)
+def cascade_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide 10 h / 2 h windows: dense enough to reach the score cap."""
+    return cascade_windows(spark, sf_dir, size="10 hours", slide="2 hours")
 
 
 def hotspots_like_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,3 +261,32 @@ def model_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = ml.training_set(labeled, AS_OF)
     model = ml.train_cascade_model(train, max_iter=10)
     return ml.model_gate(ml.model_metrics(ml.score_cascades(train, model)))
+
+
+def cascade_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming job end to end: the trip topic is landed as Parquet
+    files (one per 8 days, in time order) under the shared checkpoint
+    folder, replayed with ``availableNow`` through the chained append-mode
+    aggregation and foreachBatch sink, and the emitted cascade table is
+    read back.  Windows still open at the final watermark are not emitted,
+    exactly as on a live stream."""
+    import uuid
+
+    from headway.sources.topics import read_topic
+    from headway.streaming.pipeline import run_pipeline
+
+    root = os.path.join(checkpoint_root(spark), "stream-replay", uuid.uuid4().hex)
+    msgs = trip_topic(spark, sf_dir)
+    cuts = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2024-02-02"]
+    for i in range(len(cuts) - 1):
+        part = msgs.filter((F.col("timestamp") >= F.lit(cuts[i]).cast("timestamp"))
+                           & (F.col("timestamp") < F.lit(cuts[i + 1]).cast("timestamp")))
+        part.write.parquet(f"{root}/topic/slice={i}")
+    src = read_topic(spark, "gtfs.trip_updates", source="parquet", path=f"{root}/topic",
+                     options={"maxFilesPerTrigger": 64, "recursiveFileLookup": "true"})
+    qs = run_pipeline(spark, None, src, f"{root}/out",
+                      triggers={k: {"availableNow": True} for k in ("trips", "cascade")},
+                      ckpt_root=f"{root}/ck")
+    for q in qs.values():
+        q.awaitTermination()
+    return spark.read.parquet(f"{root}/out/cascade_flags").drop("batch")

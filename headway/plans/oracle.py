@@ -91,6 +91,11 @@ def sliding(src: str, cols: str, size_min: int, slide_min: int) -> str:
     FROM {src}, range(0, {n}) AS r(j)"""
 
 
+def cascade_sql(size_min: int, slide_min: int) -> str:
+    return with_(ADAPTER, trip_delay_cte(size_min, slide_min), CASCADE_CTE) + \
+        "\nSELECT * FROM cascade"
+
+
 def trip_delay_cte(size_min: int = 10, slide_min: int = 2) -> str:
     return f"""
 tw AS ({sliding('stu', 'trip_id, route_id, vehicle_id, agency, stop_id, arrival_delay_sec',
@@ -390,6 +395,32 @@ SELECT 'events_per_min', {round_dec(f'count(*) / {float(minutes)}', 9)}
 FROM tu WHERE event_ts >= {since}"""
 
 
+def by_agency(hourly_cte: str) -> str:
+    """Hourly rollup joining cascade activity per agency, with distinct trips."""
+    out = hourly_cte.replace(
+        "SELECT route_id, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,",
+        "SELECT route_id, agency, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,")
+    out = out.replace("    FROM stgc\n    GROUP BY 1, 2, 3", "    FROM stgc\n    GROUP BY 1, 2, 3, 4")
+    out = out.replace("AND t.hour_of_day = c.hour_of_day",
+                      "AND t.hour_of_day = c.hour_of_day AND t.agency = c.agency")
+    out = out.replace("max(max_arrival_delay_sec) AS max_delay_sec\n",
+                      "max(max_arrival_delay_sec) AS max_delay_sec,\n"
+                      "           count(DISTINCT trip_id) AS distinct_trips\n")
+    return out
+
+
+def range_frame(mart_cte: str) -> str:
+    """Mart with a 7-calendar-day RANGE frame partitioned by route and agency."""
+    out = mart_cte.replace(
+        "WINDOW w AS (PARTITION BY route_id ORDER BY event_date, agency\n"
+        "                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)",
+        "WINDOW w AS (PARTITION BY route_id, agency\n"
+        "                 ORDER BY date_diff('day', DATE '1970-01-01', event_date)\n"
+        "                 RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)")
+    assert out != mart_cte
+    return out
+
+
 def r9(c: str) -> str:
     return f"{round_dec(c, 9)} AS {c}"
 
@@ -451,6 +482,22 @@ SELECT route_id, agency,
        max(window_start) AS window_start
 FROM cascade
 GROUP BY route_id, agency""",
+        "route_delay_hourly_by_agency": with_(*BASE, stg_ctes(), by_agency(HOURLY_CTE)) + f"""
+SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
+       {r9('avg_delay_sec')}, {r9('p50_delay_sec')}, {r9('p95_delay_sec')}
+FROM hourly""",
+        "route_reliability_by_agency_range": with_(
+            *BASE, stg_ctes(), by_agency(HOURLY_CTE), range_frame(MART_CTE)) + f"""
+SELECT * EXCLUDE (daily_avg_delay_sec, reliability_score), {r9('daily_avg_delay_sec')},
+       CASE WHEN rolling_7d_on_time_pct IS NULL OR rolling_7d_cascade_count IS NULL
+                 OR rolling_7d_avg_delay_sec IS NULL THEN NULL ELSE reliability_score END
+           AS reliability_score
+FROM mart""",
+        "cascade_flags_wide": cascade_sql(600, 120),
+        "cascade_flags_stream": with_(*BASE) + """
+SELECT * FROM cascade
+WHERE window_start + INTERVAL '10 minutes'
+      <= (SELECT max(event_ts) FROM stu) - INTERVAL '5 minutes'""",
         "incremental_filter": stg_full + """
 SELECT * FROM stg
 WHERE window_start > (SELECT max(window_start) FROM stg

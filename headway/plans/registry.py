@@ -52,6 +52,14 @@ QUERIES = {
                                          "profile_p95_delay_sec"),
     "cascade_labels": batch.labels_q,
     "model_metrics": batch.model_metrics_q,
+    "route_delay_hourly_by_agency": lambda s, d: _r9(
+        batch.hourly(s, d, by_agency=True, distinct_trips=True), "avg_delay_sec",
+        "p50_delay_sec", "p95_delay_sec"),
+    "route_reliability_by_agency_range": lambda s, d: _r9(
+        batch.reliability(s, d, by_agency=True, frame="range", null_score="propagate"),
+        "daily_avg_delay_sec"),
+    "cascade_flags_wide": batch.cascade_wide,
+    "cascade_flags_stream": batch.cascade_stream_q,
     "hotspots_like": batch.hotspots_like_q,
     "hotspots_by_stop": batch.hotspots_by_stop_q,
 }
