@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import round_dec
 from headway.functions.thresholds import SEVERITIES
+from headway.operators.joins import maybe_broadcast
 from headway.operators.quality import _ts
 
 
@@ -73,10 +74,13 @@ def delay_distribution(trip_windows: DataFrame, size: str = "1 minute",
 def active_cascades(state: DataFrame, trip_windows: DataFrame) -> DataFrame:
     """Routes whose latest state is a cascade, with the window's average
     trip delay, share affected and alert level."""
+    keys = ["route_id", "agency", "window_start"]
     cur = state.filter(F.col("is_cascade"))
-    delay = trip_windows.groupBy("route_id", "agency", "window_start").agg(
-        F.avg("max_arrival_delay_sec").alias("_avg"))
-    j = cur.join(delay, ["route_id", "agency", "window_start"], "left")
+    # Only the current windows matter: semi-join them (one row per route and
+    # agency, size-checked broadcast) before aggregating the trip windows.
+    current = trip_windows.join(maybe_broadcast(cur.select(*keys)), keys, "left_semi")
+    delay = current.groupBy(*keys).agg(F.avg("max_arrival_delay_sec").alias("_avg"))
+    j = cur.join(delay, keys, "left")
     return j.select(
         "route_id", "agency", "window_start", "cascade_score",
         round_dec(F.col("_avg") / 60, 1).alias("avg_delay_min"),

@@ -7,9 +7,10 @@ nested-loop join:
 1. events are pre-aggregated per trip (count, sum, max, severe count);
    the hotspot metrics are all re-aggregable from these.
 2. each stop id's longest literal run (text between wildcards) must occur
-   in any trip id it matches; every distinct substring of a trip id is an
-   equi-join key against it, and the exact LIKE then confirms the
-   candidates.  Plain ids (no wildcard) match exactly on the key.
+   in any trip id it matches; the distinct substrings of a trip id of the
+   key lengths present are equi-join keys against it, and the exact LIKE
+   then confirms the candidates.  Plain ids (no wildcard) match exactly on
+   the key.
 3. stop ids made only of wildcards match every trip id at least as long as
    their ``_`` count; they join the per-length aggregates, no pairs at all.
 
@@ -90,16 +91,25 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
     wild = st.filter(F.col("_key") == "").withColumn(
         "_u", F.length(sid) - F.length(F.regexp_replace(sid, "_", "")))
 
-    # Distinct substrings of each trip id (L(L+1)/2 at most, ids are short).
+    # Distinct substrings of each trip id, only of the lengths some stop key
+    # has: at most L per key length.  The length set comes from the stops
+    # dimension (a handful of small integers).
+    keyed = keyed.withColumn("_klen", F.length("_key"))
+    lengths = sorted(r[0] for r in keyed.select("_klen").distinct().collect())
     tid = F.col("trip_id")
     n = F.length(tid)
-    subs = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda p: F.transform(F.sequence(F.lit(1), F.greatest(n - p + 1, F.lit(1))),
-                              lambda m: F.substr(tid, p, m)))))
+    if lengths:
+        subs = F.array_distinct(F.flatten(F.transform(
+            F.array(*[F.lit(m) for m in lengths]),
+            lambda m: F.transform(
+                F.filter(F.sequence(F.lit(1), F.greatest(n - m + 1, F.lit(1))),
+                         lambda p: p + m - 1 <= n),
+                lambda p: F.substr(tid, p, m)))))
+    else:
+        subs = F.array().cast("array<string>")
     trip_keys = per_trip.filter(n > 0).select("*", F.explode(subs).alias("_key"))
     matched = (
-        trip_keys.join(maybe_broadcast(keyed), "_key")
+        trip_keys.join(maybe_broadcast(keyed.drop("_klen")), "_key")
         .filter(F.like(tid, F.concat(F.lit("%"), sid, F.lit("%"))))
         .select(*STOP_COLS, "n", "s", "mx", "sev")
     )

@@ -36,7 +36,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="headway-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a core conf may be read-only at runtime
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -46,3 +46,37 @@ def test_window_and_cascade_invariants(spark, data):
     assert rel.filter((F.col("reliability_score") < 0)
                       | (F.col("reliability_score") > 100)).count() == 0
     td.unpersist()
+
+
+def _like(text: str, pattern: str) -> bool:
+    import re
+
+    rx = "".join(".*" if c == "%" else "." if c == "_" else re.escape(c) for c in pattern)
+    return re.fullmatch(rx, text, flags=re.S) is not None
+
+
+ids = st.text(alphabet="AB1_%", min_size=0, max_size=5)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text(alphabet="AB1", min_size=1, max_size=6),
+                          st.integers(-100, 900)), min_size=1, max_size=30),
+       st.lists(ids, min_size=1, max_size=6, unique=True))
+def test_like_hotspots_equal_brute_force(spark, trips, stop_ids):
+    from headway.operators.hotspots import hotspots_like
+
+    day = dt.date(2024, 1, 30)
+    stg = spark.createDataFrame(
+        [(t, day, d, d >= 300) for t, d in trips],
+        "trip_id string, event_date date, max_arrival_delay_sec int, is_severe boolean")
+    stops = spark.createDataFrame([(s, "n", 0.0, 0.0, "R") for s in stop_ids],
+                                  "stop_id string, stop_name string, latitude double, "
+                                  "longitude double, route_id string")
+    got = {r.stop_id: (r.delay_events, r.max_delay_sec, r.severe_events)
+           for r in hotspots_like(stg, stops, dt.datetime(2024, 1, 31), min_events=1).collect()}
+    want = {}
+    for s in stop_ids:
+        hits = [d for t, d in trips if _like(t, "%" + s + "%")]
+        if hits:
+            want[s] = (len(hits), max(hits), sum(1 for d in hits if d >= 300))
+    assert got == want

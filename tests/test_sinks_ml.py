@@ -96,3 +96,19 @@ def test_stream_scoring_and_dedupe(spark, tmp_dir):
     cols = td.columns
     assert pred.select(*cols).exceptAll(td).count() == 0
     assert pred.count() > 0.9 * td.count()
+
+
+def test_incremental_filter_prunes_partitions(spark, tmp_dir):
+    from headway.sinks.tables import incremental_filter
+
+    stg = batch.stg_trips(spark, SF_SMALL)
+    path = f"{tmp_dir}/stg"
+    write_table(stg, path, partition_by=["event_date"])
+    source = spark.read.parquet(path)
+    target = stg.filter(F.col("window_start") < F.lit("2024-01-20").cast("timestamp"))
+    out = incremental_filter(source, target)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan and "event_date#" in plan
+    assert "PushedFilters: [IsNotNull(window_start), GreaterThan(window_start" in plan
+    hw = target.agg(F.max("window_start")).first()[0]
+    assert out.count() == source.filter(F.col("window_start") > F.lit(hw)).count()
