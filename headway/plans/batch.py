@@ -35,7 +35,7 @@ from headway.operators.models import (
 from headway.operators.ingest import ingest_counts
 from headway.operators.parse import feed_entities
 from headway.operators.state import latest_route_state
-from headway.session import checkpoint_root
+from headway.session import checkpoint_root, scratch_path
 from headway.operators import dashboard as dash
 from headway.operators import ml
 from headway.operators.quality import check_freshness, quality_report
@@ -53,10 +53,15 @@ from headway.sources.testdata import (
 def shared(df: DataFrame) -> DataFrame:
     """Materialise an intermediate that several branches of one plan read
     (the trip-window table, as the streaming job writes it), so it is
-    computed once.  A reliable checkpoint into the session's
-    ``spark.checkpoint.dir`` cuts the lineage; it survives executor loss."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    computed once.  It is written as a Parquet table under the session's
+    ``spark.checkpoint.dir``: that cuts the lineage (an executor lost later
+    does not replay the JSON parsing), and the branches' own filters and
+    projections push down into its scan."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, "shared", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
