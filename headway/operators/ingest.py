@@ -108,6 +108,31 @@ def trip_messages(trips: DataFrame) -> DataFrame:
     return to_topic_messages(trips, "trip_id", TOPIC_TRIP_UPDATES)
 
 
+def write_topic(messages: DataFrame, topic: str | None = None, *, sink: str = "kafka",
+                options: dict | None = None, path: str | None = None) -> None:
+    """Publish envelope rows in batch: to Kafka (``options`` carry
+    ``kafka.bootstrap.servers``; the value/key columns are written as is),
+    or, offline, appended as envelope files at ``path``."""
+    opts = dict(options or {})
+    if sink == "kafka":
+        if topic:
+            opts.setdefault("topic", topic)
+        messages.select("key", "value").write.format("kafka").options(**opts).save()
+        return
+    if path is None:
+        raise ValueError("a file sink needs a path")
+    messages.write.mode("append").format(sink).options(**opts).save(path)
+
+
+def feed_registry(spark, feeds: dict[str, list[str]] | None = None) -> DataFrame:
+    """The agencies and feed kinds to ingest, as data (one row per pair).
+    Endpoints and keys belong to the deployment, not to the library."""
+    feeds = feeds or {"wmata": ["vehicle_positions", "trip_updates"],
+                      "mta": ["vehicle_positions", "trip_updates"]}
+    rows = [(a, f) for a, kinds in feeds.items() for f in kinds]
+    return spark.createDataFrame(rows, "agency string, feed string")
+
+
 def ingest_counts(messages: DataFrame) -> DataFrame:
     """Published messages per (topic, agency); one aggregate pass."""
     agency = F.split(F.col("key").cast("string"), ":", 2).getItem(0)

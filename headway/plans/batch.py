@@ -190,6 +190,14 @@ def incremental_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental_filter(stg, target)
 
 
+def incremental_lookback_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`incremental_q` with a 2-hour lookback: recent windows are
+    re-read so their late rows can be merged again."""
+    stg = shared(stg_trips(spark, sf_dir))
+    target = stg.filter(F.col("window_start") < F.lit("2024-01-16").cast("timestamp"))
+    return incremental_filter(stg, target, lookback="2 hours")
+
+
 def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target staged from events before 2024-01-20, upserted with a batch
     staged from events since 2024-01-19 (overlapping windows replaced)."""

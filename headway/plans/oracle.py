@@ -502,6 +502,10 @@ WHERE window_start + INTERVAL '10 minutes'
 SELECT * FROM stg
 WHERE window_start > (SELECT max(window_start) FROM stg
                       WHERE window_start < TIMESTAMP '2024-01-16')""",
+        "incremental_filter_lookback": stg_full + """
+SELECT * FROM stg
+WHERE window_start >= (SELECT max(window_start) FROM stg
+                       WHERE window_start < TIMESTAMP '2024-01-16') - INTERVAL '2 hours'""",
         "merge_upsert": "WITH " + staged_chain("_a", "ts < TIMESTAMP '2024-01-20'") + ","
         + staged_chain("_b", "ts >= TIMESTAMP '2024-01-19'") + """
 SELECT * FROM stg_a a

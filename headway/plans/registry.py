@@ -35,6 +35,7 @@ QUERIES = {
                                         "speed_stddev"),
     "latest_route_state": batch.route_state,
     "incremental_filter": batch.incremental_q,
+    "incremental_filter_lookback": batch.incremental_lookback_q,
     "merge_upsert": batch.merge_q,
     "quality_report": batch.quality_q,
     "freshness": batch.freshness_q,

@@ -231,3 +231,23 @@ def test_quality_bound_is_evaluated(spark, bad):
     df = spark.createDataFrame([Row(window_start=T0, route_id="R", max_arrival_delay_sec=bad)])
     rep = {r.check_name: r for r in check_quality(df, "trip_delay_events").collect()}
     assert rep["max_delay_sec"].observed == 1.0 and not rep["max_delay_sec"].passed
+
+
+def test_empty_ids_relationships_and_dedupe(spark):
+    from headway.operators.aggregates import dedupe_events
+
+    msgs = [trip(stops=[stop(10), dict(stop(500, "S2"), schedule_relationship="SKIPPED")],
+                 trip_id=""),
+            trip(stops=[stop(10)], trip_id="T9")]
+    parsed = parse_trip_updates(env(spark, msgs + msgs))
+    # '' passes the NULL check unless empty_as_null is set.
+    td = trip_delay(explode_stop_updates(parsed))
+    assert stg_trip_delay_events(td).filter("trip_id = ''").count() > 0
+    assert stg_trip_delay_events(td, empty_as_null=True).filter("trip_id = ''").count() == 0
+    # relationships filter drops the SKIPPED stop before aggregation.
+    only = trip_delay(explode_stop_updates(parsed, ["SCHEDULED"]))
+    assert only.agg(F.max("max_arrival_delay_sec")).first()[0] == 10
+    assert td.agg(F.max("max_arrival_delay_sec")).first()[0] == 500
+    # Re-polled duplicates: counted by default, dropped with dedupe.
+    once = dedupe_events(parsed, ["trip_id", "agency", "timestamp"])
+    assert parsed.count() == 4 and once.count() == 2
