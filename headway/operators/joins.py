@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Rows a dimension may have and still be broadcast (a stops table of this
 # size is a few tens of MB).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:

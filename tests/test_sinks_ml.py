@@ -112,3 +112,16 @@ def test_incremental_filter_prunes_partitions(spark, tmp_dir):
     assert "PushedFilters: [IsNotNull(window_start), GreaterThan(window_start" in plan
     hw = target.agg(F.max("window_start")).first()[0]
     assert out.count() == source.filter(F.col("window_start") > F.lit(hw)).count()
+
+
+def test_model_views_answer_sql(spark):
+    from headway.plans.views import register_models
+
+    td = batch.trip_delay_windows(spark, SF_SMALL)
+    register_models(spark, td, batch.cascade_windows(spark, SF_SMALL),
+                    batch.stops(spark, SF_SMALL), as_of=AS_OF)
+    n = spark.sql("SELECT count(*) AS n FROM mart_route_reliability "
+                  "WHERE reliability_score BETWEEN 0 AND 100").first().n
+    assert n == batch.reliability(spark, SF_SMALL).count()
+    top = spark.sql("SELECT stop_id FROM mart_delay_hotspots ORDER BY hotspot_score DESC LIMIT 1")
+    assert top.count() == 1
