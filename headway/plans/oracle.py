@@ -13,6 +13,12 @@ import re
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
+def pad(x: str, width: int) -> str:
+    """Zero-pad to at least ``width`` (lpad alone truncates longer ids)."""
+    return (f"CASE WHEN length(CAST({x} AS VARCHAR)) >= {width} THEN CAST({x} AS VARCHAR) "
+            f"ELSE lpad(CAST({x} AS VARCHAR), {width}, '0') END")
+
+
 def round_dec(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
@@ -41,9 +47,9 @@ ev AS (
     FROM events
 ),
 tu AS (
-    SELECT 'T' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS trip_id,
+    SELECT 'T' || {pad_uid} AS trip_id,
            event_type AS route_id,
-           'V' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS vehicle_id,
+           'V' || {pad_uid} AS vehicle_id,
            CASE WHEN user_id % 2 = 0 THEN 'wmata' ELSE 'mta' END AS agency,
            event_id, event_ts, k, value,
            greatest(CAST(floor(value * 3) AS INTEGER) - 200, -60) AS base,
@@ -52,7 +58,7 @@ tu AS (
 ),
 stu AS (
     SELECT trip_id, route_id, vehicle_id, agency, event_ts,
-           lpad(CAST(k + i AS VARCHAR), 3, '0') AS stop_id,
+           {pad_ki} AS stop_id,
            CAST(base + 30 * (i - 1) + bump AS INTEGER) AS arrival_delay_sec,
            CAST(base + 30 * (i - 1) + bump + 30 AS INTEGER) AS departure_delay_sec,
            'SCHEDULED' AS schedule_relationship
@@ -65,20 +71,24 @@ vp AS (
            k * 36 / 10 AS bearing,
            CASE WHEN value / 2.237 <> 0 THEN round(value / 2.237 * 2.237, 2) ELSE 0.0 END
                AS speed_mph,
-           lpad(CAST(k AS VARCHAR), 3, '0') AS current_stop,
+           {pad_k} AS current_stop,
            CAST(k % 40 + 1 AS INTEGER) AS stop_sequence,
            strftime(event_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
            agency, event_ts
     FROM tu
 ),
 stops AS (
-    SELECT lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS stop_id,
+    SELECT {pad_s} AS stop_id,
            s_name AS stop_name,
            38.9 + s_nationkey / 100 AS latitude,
            -77.0 - s_nationkey / 100 AS longitude,
            (['click', 'error', 'purchase', 'signup', 'view'])[s_nationkey % 5 + 1] AS route_id
     FROM supplier
 )"""
+ADAPTER = (ADAPTER.replace("{pad_uid}", pad("user_id", 4))
+           .replace("{pad_ki}", pad("k + i", 3))
+           .replace("{pad_k}", pad("k", 3))
+           .replace("{pad_s}", pad("s_suppkey", 3)))
 
 
 def sliding(src: str, cols: str, size_min: int, slide_min: int) -> str:
@@ -289,13 +299,14 @@ trip_rows AS (
            COALESCE((SELECT list({'stop_id': s.stop_id, 'stop_sequence': CAST(s.i AS INTEGER),
                                   'arrival_delay_sec': s.a, 'departure_delay_sec': s.a + 30,
                                   'schedule_relationship': 'SCHEDULED'} ORDER BY s.i)
-                     FROM (SELECT i, lpad(CAST(t.k + i AS VARCHAR), 3, '0') AS stop_id,
+                     FROM (SELECT i, {pad_tki} AS stop_id,
                                   CAST(t.base + 30 * (i - 1) + t.bump AS INTEGER) AS a
                            FROM generate_series(1, t.k % 4) g(i)) s), []) AS stop_time_updates,
            strftime(t.event_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
            t.agency, t.event_ts
     FROM tu t
 )"""
+TRIP_ROWS = TRIP_ROWS.replace("{pad_tki}", pad("t.k + i", 3))
 
 
 def staged_chain(sfx: str, where: str) -> str:

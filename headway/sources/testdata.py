@@ -5,8 +5,8 @@ rows can be rebuilt by the DuckDB oracle.  Fixed mapping:
 
   k                 integer props.k
   event time        ts as timestamp (UTC session), whole seconds on the wire
-  trip_id           'T' + user_id left-padded to 4
-  vehicle_id        'V' + user_id left-padded to 4
+  trip_id           'T' + user_id left-padded to (at least) 4
+  vehicle_id        'V' + user_id left-padded to (at least) 4
   route_id          event_type
   agency            even user_id -> 'wmata', odd -> 'mta'
   stop index i      1 .. (k mod 4); k mod 4 = 0 gives an empty stop list
@@ -36,6 +36,14 @@ AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 ROUTES = ("click", "error", "purchase", "signup", "view")
 
 
+def pad(x, width: int):
+    """Left-pad with zeros to at least ``width`` characters.  Plain ``lpad``
+    truncates longer values, which would merge distinct ids once a table
+    outgrows the width."""
+    s = x.cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,14 +66,14 @@ def transit_feed(events: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     uid = F.col("user_id")
     ts = F.col("ts").cast("timestamp")
-    trip_id = F.concat(F.lit("T"), F.lpad(uid.cast("string"), 4, "0"))
-    vehicle_id = F.concat(F.lit("V"), F.lpad(uid.cast("string"), 4, "0"))
+    trip_id = F.concat(F.lit("T"), pad(uid, 4))
+    vehicle_id = F.concat(F.lit("V"), pad(uid, 4))
     base = F.greatest(F.floor(F.col("value") * 3).cast("int") - 200, F.lit(-60))
     bump = F.when(F.col("k") == 99, 9000).when(F.col("k") == 98, -500).otherwise(0)
     stop_list = F.transform(
         F.filter(F.sequence(F.lit(0), F.col("k") % 4), lambda i: i > 0),
         lambda i: F.struct(
-            F.lpad((F.col("k") + i).cast("string"), 3, "0").alias("stop_id"),
+            pad(F.col("k") + i, 3).alias("stop_id"),
             i.alias("stop_sequence"),
             F.struct((F.col("base") + 30 * (i - 1) + F.col("bump")).alias("delay")).alias("arrival"),
             F.struct((F.col("base") + 30 * (i - 1) + F.col("bump") + 30).alias("delay"))
@@ -100,7 +108,7 @@ def transit_feed(events: DataFrame) -> DataFrame:
                     (F.col("k") * 36 / 10).alias("bearing"),
                     (F.col("value") / 2.237).alias("speed"),
                 ).alias("position"),
-                F.lpad(F.col("k").cast("string"), 3, "0").alias("stop_id"),
+                pad(F.col("k"), 3).alias("stop_id"),
                 (F.col("k") % 40 + 1).alias("current_stop_sequence"),
                 F.unix_seconds("event_ts").alias("timestamp"),
             ).alias("vehicle"),
@@ -131,7 +139,7 @@ def stops_table(supplier: DataFrame) -> DataFrame:
     idx = (F.col("s_nationkey") % 5).cast("int")
     route = F.element_at(F.array(*[F.lit(r) for r in ROUTES]), idx + 1)
     return supplier.select(
-        F.lpad(F.col("s_suppkey").cast("string"), 3, "0").alias("stop_id"),
+        pad(F.col("s_suppkey"), 3).alias("stop_id"),
         F.col("s_name").alias("stop_name"),
         (F.lit(38.9) + F.col("s_nationkey") / 100).alias("latitude"),
         (F.lit(-77.0) - F.col("s_nationkey") / 100).alias("longitude"),
