@@ -451,7 +451,9 @@ SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
        {r9('avg_delay_sec')}, {r9('p50_delay_sec')}, {r9('p95_delay_sec')}
 FROM hourly""",
         "route_reliability": mart + f"""
-SELECT * EXCLUDE (daily_avg_delay_sec), {r9('daily_avg_delay_sec')} FROM mart""",
+SELECT * EXCLUDE (daily_avg_delay_sec, typical_p95_delay_sec), {r9('daily_avg_delay_sec')},
+       {r9('typical_p95_delay_sec')}
+FROM mart""",
         "feed_vehicle_positions": with_(ADAPTER) + f"""
 SELECT * EXCLUDE (event_ts) FROM vp""",
         "vehicle_positions": with_(ADAPTER) + f"""
@@ -499,7 +501,8 @@ SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
 FROM hourly""",
         "route_reliability_by_agency_range": with_(
             *BASE, stg_ctes(), by_agency(HOURLY_CTE), range_frame(MART_CTE)) + f"""
-SELECT * EXCLUDE (daily_avg_delay_sec, reliability_score), {r9('daily_avg_delay_sec')},
+SELECT * EXCLUDE (daily_avg_delay_sec, typical_p95_delay_sec, reliability_score),
+       {r9('daily_avg_delay_sec')}, {r9('typical_p95_delay_sec')},
        CASE WHEN rolling_7d_on_time_pct IS NULL OR rolling_7d_cascade_count IS NULL
                  OR rolling_7d_avg_delay_sec IS NULL THEN NULL ELSE reliability_score END
            AS reliability_score

@@ -24,7 +24,8 @@ QUERIES = {
     "stg_cascade_flags": batch.stg_flags,
     "route_delay_hourly": lambda s, d: _r9(batch.hourly(s, d), "avg_delay_sec",
                                            "p50_delay_sec", "p95_delay_sec"),
-    "route_reliability": lambda s, d: _r9(batch.reliability(s, d), "daily_avg_delay_sec"),
+    "route_reliability": lambda s, d: _r9(batch.reliability(s, d), "daily_avg_delay_sec",
+                                          "typical_p95_delay_sec"),
     "feed_vehicle_positions": batch.feed_vehicle_positions,
     "vehicle_positions": batch.vehicles,
     "feed_trip_updates": batch.feed_trip_updates,
@@ -58,7 +59,7 @@ QUERIES = {
         "p50_delay_sec", "p95_delay_sec"),
     "route_reliability_by_agency_range": lambda s, d: _r9(
         batch.reliability(s, d, by_agency=True, frame="range", null_score="propagate"),
-        "daily_avg_delay_sec"),
+        "daily_avg_delay_sec", "typical_p95_delay_sec"),
     "cascade_flags_wide": batch.cascade_wide,
     "cascade_flags_stream": batch.cascade_stream_q,
     "hotspots_like": batch.hotspots_like_q,
