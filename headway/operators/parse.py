@@ -43,6 +43,23 @@ def parse_trip_updates(raw: DataFrame, watermark: str | None = None) -> DataFram
     return out.withWatermark("event_ts", watermark) if watermark else out
 
 
+def dead_letters(raw: DataFrame, kind: str = "trip") -> DataFrame:
+    """Envelope rows that parse to nothing usable: the value is not a JSON
+    object of the schema, or its event time is missing or unparseable.
+    The main path keeps the reference's behaviour (such rows never enter a
+    window); this is the optional side output, with a reason column."""
+    schema = TRIP_UPDATE if kind == "trip" else VEHICLE_POSITION
+    text = F.col("value").cast("string")
+    d = F.from_json(text, schema)
+    ts = event_time(d.getField("timestamp"))
+    # PERMISSIVE from_json yields a struct of NULLs for bad text; test the
+    # text itself for JSON validity.
+    reason = (F.when(d.isNull() | F.get_json_object(text, "$").isNull(), "not_json")
+              .when(d.getField("timestamp").isNull(), "no_timestamp")
+              .when(ts.isNull(), "bad_timestamp"))
+    return raw.select("*", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def explode_stop_updates(trips: DataFrame, relationships: Iterable[str] | None = None,
                          ) -> DataFrame:
     """One row per stop update; trips with a NULL or empty list vanish.

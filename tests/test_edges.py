@@ -251,3 +251,12 @@ def test_empty_ids_relationships_and_dedupe(spark):
     # Re-polled duplicates: counted by default, dropped with dedupe.
     once = dedupe_events(parsed, ["trip_id", "agency", "timestamp"])
     assert parsed.count() == 4 and once.count() == 2
+
+
+def test_dead_letters(spark):
+    from headway.operators.parse import dead_letters
+
+    raw = env(spark, [b"not json", trip(ts="garbage", stops=[stop(5)]),
+                      trip(ts=None, stops=[stop(5)]), trip(stops=[stop(5)])])
+    got = sorted(r.reason for r in dead_letters(raw).collect())
+    assert got == ["bad_timestamp", "no_timestamp", "not_json"]
