@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import round_dec
 from headway.functions.thresholds import DEFAULT, Thresholds
-from headway.operators.joins import bounded_rows, maybe_broadcast
+from headway.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
 
 STOP_COLS = ("stop_id", "stop_name", "latitude", "longitude", "route_id")
 
@@ -91,11 +91,21 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
     wild = st.filter(F.col("_key") == "").withColumn(
         "_u", F.length(sid) - F.length(F.regexp_replace(sid, "_", "")))
 
-    # Distinct substrings of each trip id, only of the lengths some stop key
-    # has: at most L per key length.  The length set comes from the stops
-    # dimension (a handful of small integers).
-    keyed = keyed.withColumn("_klen", F.length("_key"))
-    lengths = sorted(r[0] for r in keyed.select("_klen").distinct().collect())
+    # One pass over the stops dimension: its size (for the broadcast
+    # check), whether any id is wildcard-only, and the distinct key lengths
+    # (a handful of small integers).
+    facts = st.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("_key") == "").alias("wild"),
+        F.array_sort(F.collect_set(F.when(F.col("_key") != "", F.length("_key"))))
+        .alias("lengths"),
+    ).first()
+    lengths = list(facts["lengths"])
+    if facts["n"] <= BROADCAST_MAX_ROWS:
+        keyed = F.broadcast(keyed)
+
+    # Distinct substrings of each trip id, only of the key lengths present:
+    # at most L per key length.
     tid = F.col("trip_id")
     n = F.length(tid)
     if lengths:
@@ -109,13 +119,13 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
         subs = F.array().cast("array<string>")
     trip_keys = per_trip.filter(n > 0).select("*", F.explode(subs).alias("_key"))
     matched = (
-        trip_keys.join(maybe_broadcast(keyed.drop("_klen")), "_key")
+        trip_keys.join(keyed, "_key")
         .filter(F.like(tid, F.concat(F.lit("%"), sid, F.lit("%"))))
         .select(*STOP_COLS, "n", "s", "mx", "sev")
     )
 
-    if bounded_rows(wild, 0):
-        # No wildcard-only id in the dimension (checked on the stops side).
+    if facts["wild"] == 0:
+        # No wildcard-only id in the dimension.
         return _finish(matched, min_events)
 
     # Wildcard-only ids: aggregates over trips with length >= u, per u.
