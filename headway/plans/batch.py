@@ -286,7 +286,7 @@ def cascade_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
     from headway.sources.topics import read_topic
-    from headway.streaming.pipeline import run_pipeline
+    from headway.streaming.jobs import run_pipeline
 
     root = os.path.join(checkpoint_root(spark), "stream-replay", uuid.uuid4().hex)
     msgs = trip_topic(spark, sf_dir)

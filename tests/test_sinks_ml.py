@@ -19,7 +19,7 @@ from headway.sinks.tables import (
 )
 from headway.sources.testdata import AS_OF
 from headway.sources.topics import read_topic
-from headway.streaming.pipeline import score_stream, trip_windows_stream
+from headway.streaming.jobs import score_stream, trip_windows_stream
 
 
 def test_write_table_clustered_round_trip(spark, tmp_dir):
