@@ -75,10 +75,6 @@ def clamp_score(x, null_score: str = "reference") -> Column:
     return clamped
 
 
-def lpad_id(prefix: str, x, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_c(x).cast("string"), width, "0"))
-
-
 def mph_from_ms(speed, th: Thresholds = DEFAULT) -> Column:
     """m/s to mph at 2 places; 0.0 when the speed is zero or unset."""
     s = _c(speed)

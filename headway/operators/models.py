@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from headway.functions.columns import clamp_score, is_rush_hour, round_dec, safe_ratio
 from headway.functions.thresholds import DEFAULT, Thresholds
 
+# Full grain of the staged tables (the merge keys).
 TRIP_GRAIN = ("trip_id", "route_id", "vehicle_id", "agency", "window_start")
-CASCADE_GRAIN = ("route_id", "agency", "window_start")
 
 
 def stg_trip_delay_events(trip_delay: DataFrame, th: Thresholds = DEFAULT,

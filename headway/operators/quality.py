@@ -42,9 +42,6 @@ BOUNDS = {
     "max_cascade_score": ("cascade_score", "max"),
 }
 
-REPORT_COLS = ("table_name", "check_name", "column_name", "observed", "threshold", "passed")
-
-
 def _ts(as_of) -> Column:
     if as_of is None:
         return F.current_timestamp()

@@ -27,6 +27,7 @@ from headway.operators.parse import (
 )
 from headway.operators.hotspots import hotspots_by_stop, hotspots_like
 from headway.operators.models import (
+    TRIP_GRAIN,
     route_delay_hourly,
     route_reliability,
     stg_cascade_flags,
@@ -204,7 +205,7 @@ def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load_events(spark, sf_dir)
     old = _stg_from_events(ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
     new = _stg_from_events(ev.filter(F.col("ts") >= F.lit("2024-01-19").cast("timestamp_ntz")))
-    return merge_rows(old, new, ["trip_id", "route_id", "vehicle_id", "agency", "window_start"])
+    return merge_rows(old, new, list(TRIP_GRAIN))
 
 
 def quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:

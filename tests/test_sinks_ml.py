@@ -125,3 +125,19 @@ def test_model_views_answer_sql(spark):
     assert n == batch.reliability(spark, SF_SMALL).count()
     top = spark.sql("SELECT stop_id FROM mart_delay_hotspots ORDER BY hotspot_score DESC LIMIT 1")
     assert top.count() == 1
+
+
+def test_feed_registry_write_topic_and_await(spark, tmp_dir):
+    from headway.operators.ingest import feed_registry, ingest_counts, write_topic
+    from headway.streaming.jobs import await_any
+
+    reg = feed_registry(spark)
+    assert reg.count() == 4 and set(reg.columns) == {"agency", "feed"}
+    msgs = batch.trip_topic(spark, SF_SMALL)
+    write_topic(msgs, sink="parquet", path=f"{tmp_dir}/topic")
+    back = read_topic(spark, "gtfs.trip_updates", source="parquet", path=f"{tmp_dir}/topic",
+                      streaming=False)
+    assert back.count() == msgs.count()
+    counts = {r.agency: r.published for r in ingest_counts(back).collect()}
+    assert sum(counts.values()) == msgs.count()
+    await_any(spark, timeout=0.1)  # no active query: returns after the timeout
