@@ -22,9 +22,11 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="headway-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from headway.session import checkpoint_root
+
+    checkpoint_root(s)  # the session's spark.checkpoint.dir, or a scratch one if unset
     yield s
     s.stop()
 
