@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import clamp_score, is_rush_hour, round_dec, safe_ratio
 from headway.functions.thresholds import DEFAULT, Thresholds
+from headway.operators.percentiles import with_percentiles
 
 # Full grain of the staged tables (the merge keys).
 TRIP_GRAIN = ("trip_id", "route_id", "vehicle_id", "agency", "window_start")
@@ -74,34 +75,45 @@ def stg_cascade_flags(flags: DataFrame, loaded_at: bool = True) -> DataFrame:
 
 
 def route_delay_hourly(stg_trips: DataFrame, stg_flags: DataFrame, by_agency: bool = False,
-                       approx: bool = False, distinct_trips: bool = False) -> DataFrame:
+                       percentiles: str = "histogram", distinct_trips: bool = False) -> DataFrame:
     """Hourly rollup per (route, agency, date, hour) with cascade activity.
 
-    Exact percentiles hold a value->count map per group; delays are bounded
-    integers, so the map stays small even for a hot route.  ``approx=True``
-    swaps in ``percentile_approx``.  ``by_agency=True`` joins cascade
+    Percentiles: ``"histogram"`` (default, exact) reads them off a
+    per-value count, see :mod:`headway.operators.percentiles`;
+    ``"aggregate"`` uses ``percentile()`` (same values); ``"approx"`` uses
+    ``percentile_approx``.  ``by_agency=True`` joins cascade
     activity per agency; the reference joins on route only and so mixes
     the agencies of one route id.  ``total_trips`` counts trip-windows (a
     trip sits in 5 sliding windows), as in the reference;
     ``distinct_trips=True`` adds the count of distinct trips.
     """
     d = F.col("max_arrival_delay_sec")
-    if approx:
-        p50, p95 = F.percentile_approx(d, 0.5).cast("double"), F.percentile_approx(d, 0.95).cast("double")
+    hour_keys = ["route_id", "agency", "event_date", "hour_of_day", "is_rush_hour"]
+    pcts = {"p50_delay_sec": 0.5, "p95_delay_sec": 0.95}
+    if percentiles == "aggregate":
+        inline = [F.percentile(d, p).alias(n) for n, p in pcts.items()]
+    elif percentiles == "approx":
+        inline = [F.percentile_approx(d, p).cast("double").alias(n) for n, p in pcts.items()]
+    elif percentiles == "histogram":
+        inline = []
     else:
-        p50, p95 = F.percentile(d, 0.5), F.percentile(d, 0.95)
-    trip_hourly = stg_trips.groupBy("route_id", "agency", "event_date", "hour_of_day",
-                                    "is_rush_hour").agg(
+        raise ValueError(f"unknown percentiles mode {percentiles!r}")
+    counts = [
         F.count(F.lit(1)).alias("total_trips"),
         F.sum(F.when(F.col("is_severe"), 1).otherwise(0)).cast("long").alias("severe_trips"),
         F.sum(F.when(F.col("is_moderate"), 1).otherwise(0)).cast("long").alias("moderate_trips"),
         F.sum(F.when(F.col("is_on_time"), 1).otherwise(0)).cast("long").alias("on_time_trips"),
         F.avg(d).alias("avg_delay_sec"),
-        p50.alias("p50_delay_sec"),
-        p95.alias("p95_delay_sec"),
-        F.max(d).alias("max_delay_sec"),
-        *([F.count_distinct("trip_id").alias("distinct_trips")] if distinct_trips else []),
-    )
+    ]
+    tail = [F.max(d).alias("max_delay_sec"),
+            *([F.count_distinct("trip_id").alias("distinct_trips")] if distinct_trips else [])]
+    trip_hourly = stg_trips.groupBy(*hour_keys).agg(*counts, *inline, *tail)
+    if percentiles == "histogram":
+        order = hour_keys + ["total_trips", "severe_trips", "moderate_trips", "on_time_trips",
+                             "avg_delay_sec", *pcts, "max_delay_sec"] + \
+            (["distinct_trips"] if distinct_trips else [])
+        trip_hourly = with_percentiles(trip_hourly, stg_trips, hour_keys,
+                                       "max_arrival_delay_sec", pcts, order)
     keys = ["route_id", "event_date", "hour_of_day"] + (["agency"] if by_agency else [])
     cascade_hourly = (
         stg_flags.withColumn("hour_of_day", F.hour("window_start"))

@@ -80,3 +80,16 @@ def test_like_hotspots_equal_brute_force(spark, trips, stop_ids):
         if hits:
             want[s] = (len(hits), max(hits), sum(1 for d in hits if d >= 300))
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-120, 7200) | st.none()),
+                min_size=1, max_size=80),
+       st.floats(0.0, 1.0))
+def test_histogram_percentile_equals_percentile(spark, data, p):
+    from headway.operators.percentiles import histogram_percentiles
+
+    df = spark.createDataFrame(data, "g int, v int")
+    want = {r.g: r.x for r in df.groupBy("g").agg(F.percentile("v", p).alias("x")).collect()}
+    got = {r.g: r.x for r in histogram_percentiles(df, ["g"], "v", {"x": p}).collect()}
+    assert {g: x for g, x in want.items() if x is not None} == got
