@@ -269,12 +269,13 @@ def labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the labelled windows, score, evaluate, gate (one row)."""
+    """Train on the labelled windows of the 30-day lookback except the last
+    week, evaluate on that held-out week, gate (one row)."""
     td = shared(trip_delay_windows(spark, sf_dir))
     labeled = ml.cascade_labels(ml.cascade_features(td), cascade_flags(td))
-    train = ml.training_set(labeled, AS_OF)
+    train, test = ml.time_split(ml.training_set(labeled, AS_OF), AS_OF)
     model = ml.train_cascade_model(train, max_iter=10)
-    return ml.model_gate(ml.model_metrics(ml.score_cascades(train, model)))
+    return ml.model_gate(ml.model_metrics(ml.score_cascades(test, model)))
 
 
 def cascade_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
