@@ -141,3 +141,23 @@ def test_feed_registry_write_topic_and_await(spark, tmp_dir):
     counts = {r.agency: r.published for r in ingest_counts(back).collect()}
     assert sum(counts.values()) == msgs.count()
     await_any(spark, timeout=0.1)  # no active query: returns after the timeout
+
+
+def test_percentile_modes_agree(spark):
+    from headway.operators.models import route_delay_hourly, stg_cascade_flags, \
+        stg_trip_delay_events
+    from headway.operators.aggregates import cascade_flags
+
+    td = batch.trip_delay_windows(spark, SF_SMALL)
+    stg, flags = stg_trip_delay_events(td), stg_cascade_flags(cascade_flags(td))
+    cols = ["route_id", "agency", "event_date", "hour_of_day", "p50_delay_sec", "p95_delay_sec"]
+    hist = route_delay_hourly(stg, flags).select(*cols)
+    agg = route_delay_hourly(stg, flags, percentiles="aggregate").select(*cols)
+    assert hist.exceptAll(agg).count() == 0 and agg.exceptAll(hist).count() == 0
+    approx = route_delay_hourly(stg, flags, percentiles="approx").select(*cols)
+    assert approx.count() == hist.count()
+    # approximate percentiles are actual values within the group's range
+    joined = approx.alias("a").join(hist.alias("h"), cols[:4])
+    assert joined.filter(F.col("a.p50_delay_sec").isNull()).count() == 0
+    prof = ml.route_profiles(stg, AS_OF, approx=True)
+    assert prof.count() == ml.route_profiles(stg, AS_OF).count()
