@@ -260,3 +260,20 @@ def test_dead_letters(spark):
                       trip(ts=None, stops=[stop(5)]), trip(stops=[stop(5)])])
     got = sorted(r.reason for r in dead_letters(raw).collect())
     assert got == ["bad_timestamp", "no_timestamp", "not_json"]
+
+
+def test_quality_unknown_rule_and_kpi_approx(spark):
+    from headway.operators.dashboard import kpi_summary
+
+    df = spark.createDataFrame([Row(window_start=T0, route_id="R", max_arrival_delay_sec=5)])
+    with pytest.raises(ValueError):
+        check_quality(df, "trip_delay_events", {"no_such_rule": 1})
+    v = spark.createDataFrame([Row(vehicle_id=f"V{i % 7}", event_ts=T0) for i in range(50)])
+    td = spark.createDataFrame([Row(window_start=T0, delay_severity="ON_TIME",
+                                    max_arrival_delay_sec=0)])
+    st = spark.createDataFrame([Row(is_cascade=True), Row(is_cascade=False)])
+    tr = spark.createDataFrame([Row(event_ts=T0)] * 30)
+    out = {r.metric: r.value for r in kpi_summary(v, td, st, tr, as_of=T0, minutes=15,
+                                                 approx_vehicles=True).collect()}
+    assert out["active_vehicles"] == 7.0 and out["routes_in_cascade"] == 1.0
+    assert out["events_per_min"] == 2.0 and out["on_time_rate"] == 1.0
