@@ -64,3 +64,12 @@ def worker_cache() -> dict:
     reused worker loads a tokenizer once."""
     return sys.modules.setdefault("_headway_llm_cache",
                                   types.ModuleType("_headway_llm_cache")).__dict__
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Hand Python workers at most ``rows`` rows at a time (a session setting;
+    a smaller one of the caller stays).  Whole texts are wide rows: the usual
+    10,000 of them are held several times over between JVM and Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, str(rows))

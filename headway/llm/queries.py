@@ -4,26 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.llm import fingerprint, htmltext, warc
-from headway.llm.common import table
+from headway.llm import fingerprint, htmltext, langid, quality, warc
+from headway.llm.common import crc_mod, small_batches, table
+
+
+def op1_quality(spark, sf_dir):
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 3) == 1
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op2_warc(spark, sf_dir):
+    small_batches(spark)
     out = warc.round_trip(table(spark, sf_dir, "pages"))
     return out.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest",
                       "record_type", "refers_to")
 
 
 def op3_fingerprint(spark, sf_dir):
+    small_batches(spark)
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark, sf_dir):
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = langid.train(docs.where(~held_out))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_html(spark, sf_dir):
+    small_batches(spark)
     return htmltext.extract_main_text(table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_fingerprint": op3_fingerprint,
+    "op8_language": op8_language,
     "op9_html": op9_html,
 }
