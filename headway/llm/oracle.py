@@ -16,4 +16,81 @@ SELECT page_id, payload_bytes, {_BASE32.format(hex='x')} AS payload_digest,
 FROM f
 """
 
-SQL = {"op2_warc": OP2}
+def _spans(kind: str, order: int, pattern: str, good: str) -> str:
+    """Rows (doc_id, start, kind, ord, end) of a pattern's matches."""
+    p = pattern.replace("'", "''")
+    return f"""
+SELECT doc_id, '{kind}' AS kind, {order} AS ord, h AS hit,
+       CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS s
+FROM (SELECT doc_id, gaps, hits, unnest(hits) AS h, generate_subscripts(hits, 1) AS i
+      FROM (SELECT doc_id, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits
+            FROM d WHERE regexp_matches(t, '{p}')))
+WHERE {good}"""
+
+
+_ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"
+           "|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\\x20*[:=]\\x20*[\"']?"
+           "([A-Za-z0-9+/_.=-]+)")
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS ({_spans("assign", 0, _ASSIGN, "length(regexp_extract(h, '" + _ASSIGN.replace("'", "''") + "', 2)) >= 12")}
+UNION ALL {_spans("access", 1, "AKIA[A-Z0-9]+", "length(h) >= 18")}
+UNION ALL {_spans("hex", 2, "[0-9a-f]+", "length(h) >= 16")}
+UNION ALL {_spans("github", 3, "gh[pousr]_[A-Za-z0-9]{36,}", "true")}
+UNION ALL {_spans("jwt", 4, "eyJ[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}\\.[A-Za-z0-9_-]{8,}", "true")}
+UNION ALL {_spans("pem", 5, "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true")}),
+g AS (SELECT doc_id, ord, s, kind || ':' || s || ':' || (s + length(hit)) AS x FROM f),
+a AS (SELECT doc_id, count(*) FILTER (ord = 0) AS n_assign, count(*) FILTER (ord = 1) AS n_access,
+             count(*) FILTER (ord = 2) AS n_hex,
+             string_agg(x, ',' ORDER BY s, ord) FILTER (ord < 3) AS base,
+             string_agg(x, ',' ORDER BY s, ord) AS spans
+      FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (doc_id)
+"""
+
+
+def _level(depth: int, levels: list[str], weight: str) -> str:
+    """CTEs that share each parent's budget among its children by water-filling:
+    the smallest capacity per weight is served first."""
+    cols = ", ".join(levels[:depth])
+    parent = ", ".join(levels[:depth - 1])
+    by = f"PARTITION BY {parent}" if parent else ""
+    source = f"c{depth} JOIN b{depth - 1} USING ({parent})" if parent else f"c{depth}, b0"
+    return f"""
+c{depth} AS (SELECT {cols}, CAST(3 * sum(supply) AS BIGINT) AS cap FROM leaf GROUP BY {cols}),
+q{depth} AS (SELECT {cols}, cap, pb, {weight} AS w, cap / CAST({weight} AS DOUBLE) AS ratio FROM {source}),
+r{depth} AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS cb, sum(w) OVER ({by}) - coalesce(sum(w) OVER before, 0) AS wl
+       FROM q{depth} WINDOW before AS ({by} ORDER BY ratio, {levels[depth - 1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s{depth} AS (SELECT *, CAST(cap AS HUGEINT) * wl <= (CAST(pb AS HUGEINT) - cb) * w AS sat FROM r{depth}),
+t{depth} AS (SELECT *, sum(CASE WHEN sat THEN cap ELSE 0 END) OVER ({by}) AS cs, sum(CASE WHEN sat THEN 0 ELSE w END) OVER ({by}) AS wo
+       FROM s{depth}),
+b{depth} AS (SELECT {cols}, CASE WHEN sat THEN cap ELSE CAST((CAST(pb AS HUGEINT) - cs) * w // greatest(wo, 1) AS BIGINT) END AS pb
+       FROM t{depth}),"""
+
+
+_N = "try_cast(regexp_extract(source, '^src(\\d+)$', 1) AS INTEGER) % 3"
+OP5 = f"""
+WITH d AS (SELECT doc_id, lang, source,
+                  CASE {_N} WHEN 0 THEN 'web' WHEN 1 THEN 'books' WHEN 2 THEN 'code' ELSE 'other' END AS domain,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS supply FROM d GROUP BY ALL),
+b0 AS (SELECT CAST(least(sum(supply) * 4 // 5, sum(supply) * 3) AS BIGINT) AS pb FROM leaf),
+{_level(1, ["domain", "lang", "source"], "CASE domain WHEN 'web' THEN 5 WHEN 'books' THEN 3 WHEN 'code' THEN 2 ELSE 1 END")}
+{_level(2, ["domain", "lang", "source"], "CASE lang WHEN 'en' THEN 4 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 ELSE 1 END")}
+{_level(3, ["domain", "lang", "source"], "CASE source WHEN 'src0' THEN 2 ELSE 1 END")}
+p AS (SELECT d.*, CASE WHEN supply > 0 THEN pb // supply ELSE 0 END AS passes,
+             CASE WHEN supply > 0 THEN pb % supply ELSE 0 END AS rest
+      FROM d JOIN leaf USING (domain, lang, source) JOIN b3 USING (domain, lang, source)),
+e AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source
+                                  ORDER BY md5('1:' || passes || ':' || doc_id)) AS upto FROM p)
+SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens,
+       CAST(passes + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM e WHERE passes + CASE WHEN upto <= rest THEN 1 ELSE 0 END > 0
+"""
+
+SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5}

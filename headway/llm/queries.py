@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.llm import fingerprint, htmltext, langid, quality, warc
-from headway.llm.common import crc_mod, small_batches, table
+from headway.llm import fingerprint, htmltext, langid, mixing, packing, quality, secretscan, warc
+from headway.llm.common import crc_mod, fresh_folder, small_batches, table
 
 
 def op1_quality(spark, sf_dir):
@@ -30,6 +30,50 @@ def op3_fingerprint(spark, sf_dir):
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secretscan.scan(docs.select("doc_id", "text"), fresh_folder(spark, "secrets"))
+    kinds = [r.kind for r in secretscan.BASE]
+    base = F.filter("found", lambda f: f["kind"] < len(kinds))
+
+    def count(order):
+        return F.size(F.filter("found", lambda f: f["kind"] == order)).cast("long")
+
+    counts = [count(i).alias(f"n_{k}") for i, k in enumerate(kinds)]
+    return found.select(F.col("path").alias("doc_id"), *counts,
+                        F.sha2(secretscan.spans_text(base).cast("binary"), 256).alias("base_sha256"),
+                        secretscan.spans_text(F.col("found")).alias("spans"))
+
+
+#: The target mixture of the query: weights per level, 1 where nothing is said.
+MIX_WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2},
+               "lang": {"en": 4, "fr": 2, "de": 2}, "source": {"src0": 2}}
+
+
+def domain_of(source):
+    """The domain of the synthetic tables' sources: src<n> by n modulo 3."""
+    n = F.regexp_extract(source, r"^src(\d+)$", 1).try_cast("int") % 3
+    return F.when(n == 0, "web").when(n == 1, "books").when(n == 2, "code").otherwise("other")
+
+
+def op5_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("domain", domain_of(F.col("source")))
+    return mixing.mix(docs, MIX_WEIGHTS, lambda total: total * 4 // 5, max_epochs=3, seed=1,
+                      keep=("doc_id", "domain", "lang", "source"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed tokenizer package keeps a file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op7_packing(spark, sf_dir):
+    small_batches(spark)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_language(spark, sf_dir):
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -48,6 +92,9 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_fingerprint": op3_fingerprint,
+    "op4_secrets": op4_secrets,
+    "op5_mixing": op5_mixing,
+    "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_html": op9_html,
 }
