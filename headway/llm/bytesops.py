@@ -9,7 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+STRETCH_BYTES = 1 << 17
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -102,15 +103,23 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers,
                 values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """A 64-bit hash of each byte span (A-Z as a-z with the default table)."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+    """A 64-bit hash of each byte span (A-Z as a-z with the default table).
+    ``starts`` and ``ends`` ascend; works through short stretches of the bytes,
+    so that memory follows the number of spans and the longest span."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
     with np.errstate(over="ignore"):
-        up, down = powers.upto(len(data))
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * up[:len(data)], out=total[1:])
-        h = (total[ends] - total[starts]) * down[starts]
-        return mix64(h + (ends - starts).astype(np.uint64) * np.uint64(_ODD))
+        while i < len(starts):
+            j = int(np.searchsorted(starts, starts[i] + STRETCH_BYTES))
+            lo, hi = starts[i], ends[j - 1]
+            up, down = powers.upto(hi - lo)
+            total = np.zeros(hi - lo + 1, np.uint64)
+            np.cumsum(values[data[lo:hi]] * up[:hi - lo], out=total[1:])
+            s, e = starts[i:j] - lo, ends[i:j] - lo
+            h = (total[e] - total[s]) * down[s]
+            out[i:j] = mix64(h + (e - s).astype(np.uint64) * np.uint64(_ODD))
+            i = j
+    return out
 
 
 def shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from headway.llm import bytesops
 from headway.llm.common import utf8
@@ -116,25 +117,39 @@ def elements(paragraphs: list[bytes], powers: bytesops.Powers) -> tuple[np.ndarr
 
 
 def fingerprints(texts: list[str], powers: bytesops.Powers) -> list[str]:
-    """One fingerprint per text."""
-    paragraphs, owner = [], []
-    for i, t in enumerate(texts):
-        parts = t.encode("utf-8", "surrogatepass").split(b"\n")
-        paragraphs += parts
-        owner += [i] * len(parts)
+    """One fingerprint per text; paragraphs are taken in blocks of bounded size."""
     n = len(texts)
-    if not n:
-        return []
-    raw = b"".join(hashlib.shake_128(p).digest(8 * IDENTITY_LANES) for p in paragraphs)
-    firsts = np.searchsorted(np.array(owner), np.arange(n))
-    identity = np.add.reduceat(np.frombuffer(raw, "<u8").reshape(-1, IDENTITY_LANES), firsts, axis=0)
-    h, at = elements(paragraphs, powers)
-    text_of = np.array(owner)[at]
-    lane = ((h >> np.uint64(1)) % np.uint64(SKETCH_LANES)).astype(np.int64)
-    sign = 1.0 - 2.0 * (h & np.uint64(1)).astype(float)
-    sketch = np.bincount(text_of * SKETCH_LANES + lane, sign, n * SKETCH_LANES)
-    sketch = sketch.astype(np.int64).astype(np.uint16).reshape(n, SKETCH_LANES)
-    return [pack(identity[i], sketch[i]) for i in range(n)]
+    identity = np.zeros((n, IDENTITY_LANES), np.uint64)
+    sketch = np.zeros(n * SKETCH_LANES)
+
+    def add(paragraphs: list[bytes], owner: list[int]) -> None:
+        raw = b"".join(hashlib.shake_128(p).digest(8 * IDENTITY_LANES) for p in paragraphs)
+        owners = np.array(owner)
+        firsts = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
+        identity[owners[firsts]] += np.add.reduceat(
+            np.frombuffer(raw, "<u8").reshape(-1, IDENTITY_LANES), firsts, axis=0)
+        h, at = elements(paragraphs, powers)
+        lane = ((h >> np.uint64(1)) % np.uint64(SKETCH_LANES)).astype(np.int64)
+        sign = 1.0 - 2.0 * (h & np.uint64(1)).astype(float)
+        low, high = owner[0], owner[-1] + 1
+        sketch[low * SKETCH_LANES:high * SKETCH_LANES] += np.bincount(
+            (owners[at] - low) * SKETCH_LANES + lane, sign, (high - low) * SKETCH_LANES)
+
+    held: list[bytes] = []
+    owner: list[int] = []
+    size = 0
+    for i, t in enumerate(texts):
+        for p in t.encode("utf-8", "surrogatepass").split(b"\n"):
+            held.append(p)
+            owner.append(i)
+            size += len(p)
+            if size >= bytesops.BLOCK_BYTES:
+                add(held, owner)
+                held, owner, size = [], [], 0
+    if held:
+        add(held, owner)
+    lanes = sketch.astype(np.int64).astype(np.uint16).reshape(n, SKETCH_LANES)
+    return [pack(identity[i], lanes[i]) for i in range(n)]
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -162,98 +177,88 @@ def pieces(batch: pa.RecordBatch, at: int, limit: int = bytesops.BLOCK_BYTES):
         yield batch.slice(i, j - i)
 
 
-def with_next_text(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                   rows_per_range: int = 20_000) -> DataFrame:
-    """(key, text, next_text): each row beside the text of the next one by
-    descending key (after the last: the first).
+def dealt_by_range(docs: DataFrame, key: str, text: str, rows_per_range: int) -> DataFrame:
+    """(r, c, _k, key, text): the rows in ranges ``r`` by descending key, sorted
+    within; the first row of each range comes once more (c = 1) at the end of
+    the range before it, and that of the first range at the end of the last.
 
-    The keys are cut into ranges at approximate quantiles; only the ranges'
-    largest keys, one number per range, pass the driver.  The first row of each
-    range is also dealt to the range before it, so every range finds its
-    neighbours inside.  A single document is its own neighbour.  Rows without
-    a key come last.
+    The keys are cut at approximate quantiles; only the ranges' largest keys,
+    one number per range, pass the driver.  Rows without a key come last.
     """
-    low = -(1 << 63)
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(low)).alias("_k"),
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_k"),
                        F.col(key), utf8(text).alias(text))
     keys = rows.select("_k")
-    n = keys.count()
-    if not n:
-        return docs.select(key, utf8(text).alias(text), F.lit("").alias("next_text"))
-    ranges = max(1, -(-n // rows_per_range))
-    cuts = sorted({int(x) for x in keys.agg(F.percentile_approx(
-        "_k", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0]})
-    cut_list = F.array(*[F.lit(c) for c in cuts])
+    ranges = max(1, -(-keys.count() // rows_per_range))
+    found = keys.agg(F.percentile_approx(
+        "_k", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0]
+    cuts = F.array(*[F.lit(int(c)) for c in sorted(set(found or [0]))])
     # The number of cuts at or above the key: range 0 holds the largest keys.
-    where = F.size(F.filter(cut_list, lambda c: c >= F.col("_k")))
-    heads = sorted((r[0], r[1]) for r in keys.withColumn("_r", where)
-                   .groupBy("_r").agg(F.max("_k")).collect())
-    order = [r for r, _ in heads]
-    before = {head: order[i - 1] for i, (_, head) in enumerate(heads)}
+    rows = rows.withColumn("_r", F.size(F.filter(cuts, lambda c: c >= F.col("_k"))))
+    heads = sorted((r[0], r[1]) for r in
+                   rows.groupBy("_r").agg(F.max("_k")).collect())
+    before = {head: heads[i - 1][0] for i, (_, head) in enumerate(heads)} or {0: 0}
     extra = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("_k")]
-    dealt = (rows.withColumn("_r", where)
-             .withColumn("_to", F.when(extra.isNull(), F.array(F.struct(F.col("_r").alias("r"), F.lit(0).alias("c"))))
-                         .otherwise(F.array(F.struct(F.col("_r").alias("r"), F.lit(0).alias("c")),
-                                            F.struct(extra.alias("r"), F.lit(1).alias("c")))))
-             .select("_k", key, text, F.explode("_to").alias("_to"))
-             .select("_to.r", "_to.c", "_k", key, text)
-             .withColumn("_h", F.xxhash64(text))
-             .repartition("r")
-             .sortWithinPartitions("r", "c", F.desc("_k"), "_h"))
-
-    def run(batches):
-        held = None  # the row that waits for its neighbour: (range, key, text)
-        for b in batches:
-            out: list[tuple] = []
-            for r, c, k, t in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4))):
+    place = F.struct(F.col("_r").alias("r"), F.lit(0).alias("c"))
+    again = F.struct(extra.alias("r"), F.lit(1).alias("c"))
+    return (rows.withColumn("_to", F.explode(F.when(extra.isNull(), F.array(place))
+                                             .otherwise(F.array(place, again))))
+            .select("_to.r", "_to.c", "_k", key, text)
+            .repartition("r")
+            .sortWithinPartitions("r", "c", F.desc("_k"), F.xxhash64(text)))
+
+
+def neighbours(batches, limit: int = bytesops.BLOCK_BYTES):
+    """Runs of (keys, texts, next texts) of about ``limit`` characters, from the
+    rows of ``dealt_by_range``."""
+    held = None  # the row that waits for its neighbour: (range, key, text)
+    keys, texts, later, size = [], [], [], 0
+    for b in batches:
+        for part in pieces(b, 4, limit):
+            for r, c, k, t in zip(*(part.column(i).to_pylist() for i in (0, 1, 3, 4))):
                 if held is not None and held[0] == r:
-                    out.append((held[1], held[2], t))
+                    keys.append(held[1])
+                    texts.append(held[2])
+                    later.append(t)
+                    size += len(t)
                 held = (r, k, t) if not c else None
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, schema.field(i).type) for i, x in enumerate(zip(*out))],
-                    schema=schema)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    result = docs.select(key, F.lit("").alias(text), F.lit("").alias("next_text")).schema
-    schema = to_arrow_schema(result)
-    return dealt.mapInArrow(run, result)
+                if size >= limit:
+                    yield keys, texts, later
+                    keys, texts, later, size = [], [], [], 0
+    if keys:
+        yield keys, texts, later
 
 
-def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
+                        rows_per_range: int = 5_000) -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next); in the edited text, the last third of the code
-    points is replaced by the start of the next document (as
-    ``with_next_text`` orders them)."""
-    pairs = with_next_text(docs, key, text)
-    kind = dict(docs.dtypes)[key]
+    points is replaced by the start of the next document by descending key
+    (after the last: the first; a single document is its own neighbour)."""
+    kind = docs.select(key).schema[0].dataType
 
     def run(batches):
         powers = bytesops.Powers()
-        for b in batches:
-            for part in pieces(b, 1):
-                texts = part.column(1).to_pylist()
-                later = part.column(2).to_pylist()
-                edited = [t[:len(t) - len(t) // 3] + s[:len(t) // 3] for t, s in zip(texts, later)]
-                own = fingerprints(texts, powers)
-                changed = fingerprints(edited, powers)
-                # In key order, a row's neighbour is mostly the row after it.
-                if texts[1:] == later[:-1]:
-                    following = own[1:] + fingerprints(later[-1:], powers)
-                else:
-                    following = fingerprints(later, powers)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
-                              for t in edited]),
-                    pa.array(own), pa.array(changed),
-                    pa.array([likeness(x, y) for x, y in zip(own, changed)], pa.float64()),
-                    pa.array([likeness(x, y) for x, y in zip(own, following)], pa.float64()),
-                ], names=names)
-
+        for keys, texts, later in neighbours(batches):
+            edited = [t[:len(t) - len(t) // 3] + s[:len(t) // 3] for t, s in zip(texts, later)]
+            own = fingerprints(texts, powers)
+            changed = fingerprints(edited, powers)
+            # A row's neighbour is the row after it, but at the end of a range.
+            if texts[1:] == later[:-1]:
+                following = own[1:] + fingerprints(later[-1:], powers)
+            else:
+                following = fingerprints(later, powers)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys, key_type), pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
+                          for t in edited]),
+                pa.array(own), pa.array(changed),
+                pa.array([likeness(x, y) for x, y in zip(own, changed)], pa.float64()),
+                pa.array([likeness(x, y) for x, y in zip(own, following)], pa.float64()),
+            ], names=names)
+
+    key_type = to_arrow_type(kind)
     names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
              "near_edited", "near_next"]
-    return pairs.mapInArrow(
-        run, f"`{key}` {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
-             "edited_fingerprint string, near_edited double, near_next double")
+    return dealt_by_range(docs, key, text, rows_per_range).mapInArrow(
+        run, f"`{key}` {kind.simpleString()}, n_chars bigint, edited_sha256 string, "
+             "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
