@@ -167,14 +167,19 @@ def coalesce(ranges: list[tuple[int, int]], gap: int, most: int) -> list[tuple[i
     return [tuple(r) for r in reads]
 
 
-def read_records(selected: DataFrame, folder: str, stretch: int = 64 << 20, gap: int = 64 << 10,
+def read_records(selected: DataFrame, folder: str, stretch: int = 32 << 20, gap: int = 64 << 10,
                  most: int = 8 << 20) -> DataFrame:
     """The records of the selected index rows, read from the archives (payload
     is null for revisits)."""
     target = f"{folder}/archive"
+    spark = selected.sparkSession
+    # Index rows are small, what they stand for isn't: the number of tasks
+    # follows the bytes to read, so it is given (and not merged at run time).
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // stretch))
     ranges = (selected.select("file", "offset", "length")
               .withColumn("part", F.floor(F.col("offset") / stretch))
-              .repartition("file", "part").sortWithinPartitions("file", "offset"))
+              .repartition(tasks, "file", "part").sortWithinPartitions("file", "offset"))
 
     def run(batches):
         store, base = pafs.FileSystem.from_uri(target)
