@@ -25,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -177,6 +177,27 @@ def pieces(batch: pa.RecordBatch, at: int, limit: int = bytesops.BLOCK_BYTES):
         yield batch.slice(i, j - i)
 
 
+def constants(numbers: list[int]) -> Column:
+    """A constant array, given as one literal."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+
+
+def lower_bound(ascending: list[int], key: Column) -> Column:
+    """How many of the numbers lie below the key, by binary search."""
+    at = constants(ascending)
+    halves = F.array(*[F.lit(0)] * len(ascending).bit_length())
+
+    def step(acc, _):
+        low, high = acc["low"], acc["high"]
+        mid = F.floor((low + high) / 2).cast("int")
+        right = (low < high) & (F.get(at, mid) < key)
+        return F.struct(F.when(right, mid + 1).otherwise(low).alias("low"),
+                        F.when(right | (low >= high), high).otherwise(mid).alias("high"))
+
+    return F.aggregate(halves, F.struct(F.lit(0).alias("low"), F.lit(len(ascending)).alias("high")),
+                       step, lambda acc: acc["low"])
+
+
 def dealt_by_range(docs: DataFrame, key: str, text: str, rows_per_range: int) -> DataFrame:
     """(r, c, _k, key, text): the rows in ranges ``r`` by descending key, sorted
     within; the first row of each range comes once more (c = 1) at the end of
@@ -191,13 +212,15 @@ def dealt_by_range(docs: DataFrame, key: str, text: str, rows_per_range: int) ->
     ranges = max(1, -(-keys.count() // rows_per_range))
     found = keys.agg(F.percentile_approx(
         "_k", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0]
-    cuts = F.array(*[F.lit(int(c)) for c in sorted(set(found or [0]))])
+    cuts = sorted({int(c) for c in found or [0]})
     # The number of cuts at or above the key: range 0 holds the largest keys.
-    rows = rows.withColumn("_r", F.size(F.filter(cuts, lambda c: c >= F.col("_k"))))
-    heads = sorted((r[0], r[1]) for r in
-                   rows.groupBy("_r").agg(F.max("_k")).collect())
-    before = {head: heads[i - 1][0] for i, (_, head) in enumerate(heads)} or {0: 0}
-    extra = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("_k")]
+    rows = rows.withColumn("_r", F.lit(len(cuts)) - lower_bound(cuts, F.col("_k")))
+    heads = {r[0]: r[1] for r in rows.groupBy("_r").agg(F.max("_k")).collect()}
+    order = sorted(heads)
+    before = {r: order[i - 1] for i, r in enumerate(order)}
+    every = range(len(cuts) + 1)
+    head = constants([heads.get(r, 0) for r in every])[F.col("_r")]
+    extra = F.when(head == F.col("_k"), constants([before.get(r, 0) for r in every])[F.col("_r")].cast("int"))
     place = F.struct(F.col("_r").alias("r"), F.lit(0).alias("c"))
     again = F.struct(extra.alias("r"), F.lit(1).alias("c"))
     return (rows.withColumn("_to", F.explode(F.when(extra.isNull(), F.array(place))
