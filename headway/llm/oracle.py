@@ -93,4 +93,21 @@ SELECT doc_id, domain, lang, source, CAST(tokens AS BIGINT) AS tokens,
 FROM e WHERE passes + CASE WHEN upto <= rest THEN 1 ELSE 0 END > 0
 """
 
-SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5}
+OP6 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+       ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles FROM sh),
+e AS (SELECT doc_id, unnest(s) AS x FROM sh),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * i >= 80 * (x.n_shingles + y.n_shingles - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+"""
+
+SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5, "op6_minhash": OP6}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.llm import fingerprint, htmltext, langid, mixing, packing, quality, secretscan, warc
+from headway.llm import fingerprint, htmltext, langid, minhash, mixing, packing, quality, secretscan, warc
 from headway.llm.common import crc_mod, fresh_folder, small_batches, table
 
 
@@ -62,6 +62,12 @@ def op5_mixing(spark, sf_dir):
                       keep=("doc_id", "domain", "lang", "source"))
 
 
+def op6_minhash(spark, sf_dir):
+    small_batches(spark)
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     """Where the installed tokenizer package keeps a file."""
     import public_tokenizers
@@ -94,6 +100,7 @@ QUERIES = {
     "op3_fingerprint": op3_fingerprint,
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
+    "op6_minhash": op6_minhash,
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_html": op9_html,
