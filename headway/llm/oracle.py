@@ -110,4 +110,18 @@ c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
 """
 
-SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5, "op6_minhash": OP6}
+OP10 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x,
+    sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS d FROM embeddings
+    WHERE embedding IS NOT NULL),
+g AS (SELECT * FROM v WHERE d > 0 AND isfinite(d)),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.x, b.x) / (a.d * b.d) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5, "op6_minhash": OP6, "op10_lattice": OP10}

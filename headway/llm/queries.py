@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.llm import fingerprint, htmltext, langid, minhash, mixing, packing, quality, secretscan, warc
+from headway.llm import fingerprint, htmltext, langid, lattice, minhash, mixing, packing, quality, secretscan, warc
 from headway.llm.common import crc_mod, fresh_folder, small_batches, table
 
 
@@ -94,6 +94,12 @@ def op9_html(spark, sf_dir):
     return htmltext.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op10_lattice(spark, sf_dir):
+    small_batches(spark)
+    found = lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -104,4 +110,5 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_language": op8_language,
     "op9_html": op9_html,
+    "op10_lattice": op10_lattice,
 }

@@ -25,7 +25,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import utf8
+from headway.llm.common import staged, utf8
 
 FOUND = "array<struct<start:int,kind:int,end:int,rule:string>>"
 
@@ -105,14 +105,16 @@ def ledger_paths(spark: SparkSession, ledger: str, kind: str) -> DataFrame | Non
     return table_or_none(spark, f"{ledger}/paths", f"path {kind}, blob binary")
 
 
-def scan(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
-         rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Bring the ledger up to date with ``docs`` and return (path, blob, found)
-    for every row of ``docs``; ``found`` (never null) is sorted by start, then
-    by the rules' order, and has the given rules' spans only."""
+def blob_of(text: str | Column) -> Column:
+    return F.unhex(F.sha2(utf8(text).cast("binary"), 256))
+
+
+def update(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
+           rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Bring the ledger up to date with ``docs``; returns their (path, blob)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("path"), utf8(text).alias("text"))
-    rows = rows.withColumn("blob", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    rows = rows.withColumn("blob", blob_of("text"))
     run = uuid.uuid4().hex
     kind = rows.schema["path"].dataType.simpleString()
     rows.select("path", "blob").write.parquet(f"{ledger}/paths/run={run}")
@@ -136,12 +138,41 @@ def scan(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
     (unseen.select("blob", F.col("todo").alias("rules"), F.concat(*spans).alias("found"))
      .dropDuplicates(["blob"])
      .write.parquet(f"{ledger}/scans/run={run}"))
+    return paths
+
 
+def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, found) of every blob with spans of the given rules, sorted by
+    start, then by the rules' order."""
     scans = ledger_scans(spark, ledger).select("blob", F.explode("found").alias("f"))
-    found = (scans.where(F.col("f.rule").isin(*[r.id for r in rules])).distinct()
-             .groupBy("blob").agg(F.array_sort(F.collect_list("f")).alias("found")))
-    return (paths.join(found, "blob", "left")
-            .select("path", "blob", F.coalesce("found", none).alias("found")))
+    return (scans.where(F.col("f.rule").isin(*[r.id for r in rules])).distinct()
+            .groupBy("blob").agg(F.array_sort(F.collect_list("f")).alias("found")))
+
+
+def scan(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
+         rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Bring the ledger up to date with ``docs`` and return (path, blob, found)
+    for every row of ``docs``; ``found`` is empty where nothing is."""
+    paths = update(docs, ledger, key, text, rules)
+    return (paths.join(findings(docs.sparkSession, ledger, rules), "blob", "left")
+            .select("path", "blob", F.coalesce("found", F.array().cast(FOUND)).alias("found")))
+
+
+def redact(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
+           size: str | None = "n_chars", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` with the same columns, every span of their texts masked, and the
+    column of text lengths (if there is one) set anew where a text changes."""
+    update(docs, ledger, key, text, rules)
+    found = staged(findings(docs.sparkSession, ledger, rules)
+                   .select(F.col("blob").alias("_blob"), F.col("found").alias("_found")), "secret-findings")
+    rows = docs.withColumn("_blob", blob_of(text)).join(found, "_blob", "left")
+    clean = F.when(F.col("_found").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("_found")))
+    rows = rows.withColumn("_clean", clean)
+    out = {text: F.col("_clean")}
+    if size in docs.columns:
+        kind = docs.schema[size].dataType
+        out[size] = F.when(F.col("_found").isNull(), F.col(size)).otherwise(F.length("_clean").cast(kind))
+    return rows.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def spans_text(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
