@@ -4,7 +4,8 @@ Markup is stripped into lines (one per block element; a blank line stands for
 every block boundary, several for a removed zone).  The text lengths of the
 lines, without link text, are summed over sliding windows; a run of lines
 from a surge point (the window sum jumps to ``surge`` or more) to the next
-dive point (the sum falls to zero) is kept.  Zones that markup itself names as
+dive point (the sum falls to zero) is kept, and with it the short runs that lie
+in the same element (a removed zone inside the text parts it).  Zones that markup itself names as
 boilerplate (navigation, page headers and footers, asides, forms, adverts,
 notices, comments, scripts, styles) count as removed, and where a page marks
 its article (``article`` or ``main``), the whole of that element is one run.
@@ -44,7 +45,8 @@ LANDMARKS = frozenset("article main nav header footer aside".split())
 CONTAINERS = LANDMARKS | frozenset(
     "div section ul ol dl table form dialog menu p span td tr tbody li blockquote figure h1 h2 h3 "
     "details fieldset".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose children belong together.
+HOLDERS = frozenset("body div section td blockquote ul ol table".split())
 
 _RAW = re.compile(rf"<({RAW.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
@@ -104,13 +106,14 @@ def _zones(tags: list[tuple]) -> tuple[list[tuple[int, int]], list[tuple[int, in
 
 
 def _lines(page: str, window: int) -> list[list]:
-    """[text pieces, link-free length, in an article] per line; blank lines
-    stand for block boundaries and removed zones."""
+    """[text pieces, link-free length, in an article, innermost holder] per line;
+    blank lines stand for block boundaries and removed zones."""
     page = _RAW.sub(" ", _COMMENT.sub("", page))
     tags = [(m[1] == "/", m[2].lower(), m[3], m.start(), m.end()) for m in _TAG.finditer(page)]
     zones, articles = _zones(tags)
-    lines: list[list] = [[[], 0, False]]
-    blank = [[], 0, False]
+    lines: list[list] = [[[], 0, False, -1]]
+    blank = [[], 0, False, -1]
+    holders: list[tuple[str, int]] = []
     z = a = 0
     at, links, skipping = 0, 0, -1
     for i in range(len(tags) + 1):
@@ -124,13 +127,15 @@ def _lines(page: str, window: int) -> list[list]:
             if not links:
                 line[1] += len(piece.strip())
             line[2] = line[2] or (a < len(articles) and articles[a][0] < i)
+            if piece.strip():
+                line[3] = holders[-1][1] if holders else -1
         at = stop
         if i == len(tags):
             break
         if 0 <= skipping <= i:
             closes = end
             skipping = -1
-            lines += [blank] * window + [[[], 0, False]]
+            lines += [blank] * window + [[[], 0, False, -1]]
             if closes:
                 continue
         if skipping < 0 and z < len(zones) and zones[z][0] == i:
@@ -139,6 +144,13 @@ def _lines(page: str, window: int) -> list[list]:
             continue
         if skipping >= 0:
             continue
+        if tag in HOLDERS:
+            if not end:
+                holders.append((tag, i))
+            else:
+                open_at = next((k for k in range(len(holders) - 1, -1, -1) if holders[k][0] == tag), None)
+                if open_at is not None:
+                    del holders[open_at:]
         if tag == "a":
             links = 0 if end else 1
         elif tag == "br":
@@ -146,7 +158,7 @@ def _lines(page: str, window: int) -> list[list]:
         elif tag in BLOCKS:
             links = 0
             if lines[-1][0]:
-                lines += [blank, [[], 0, False]]
+                lines += [blank, [[], 0, False, -1]]
     return lines
 
 
@@ -159,7 +171,7 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     if any(x[2] and t for x, t in zip(lines, texts)):
         return "\n".join(t for x, t in zip(lines, texts) if x[2] and t)
     size = [x[1] if t else 0 for x, t in zip(lines, texts)]
-    runs, best = [], []
+    runs = []
     i, n = 0, len(size)
     while i < n:
         if not size[i]:
@@ -171,10 +183,11 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
             j += 1
         runs.append((peak, i, j))
         i = j
-    kept = [r for r in runs if r[0] >= surge]
-    if not kept and runs:
-        best = [max(runs, key=lambda r: (r[0], -r[1]))]
-    return "\n".join(t for _, i, j in kept or best for t in texts[i:j] if t)
+    kept = {r for r in runs if r[0] >= surge} or set(
+        [max(runs, key=lambda r: (r[0], -r[1]))] if runs else ())
+    within = {lines[k][3] for _, i, j in kept for k in range(i, j) if texts[k]}
+    return "\n".join(t for peak, i, j in runs for k, t in enumerate(texts[i:j], i)
+                     if t and ((peak, i, j) in kept or lines[k][3] in within))
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
