@@ -6,6 +6,8 @@ codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -87,6 +89,38 @@ def iso_utc(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
+def utc_literal(moment: dt.datetime) -> Column:
+    """A timestamp literal; a naive datetime is UTC, whatever zone the driver's
+    machine or the session is in."""
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=dt.timezone.utc)
+    micros = (moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
+def as_of_ts(as_of) -> Column:
+    """``as_of`` as a timestamp: None is now, text is read in the session's zone."""
+    if as_of is None:
+        return F.current_timestamp()
+    if isinstance(as_of, Column):
+        return as_of.cast("timestamp")
+    if isinstance(as_of, dt.datetime):
+        return utc_literal(as_of)
+    return F.lit(str(as_of)).cast("timestamp")
+
+
+def as_of_date(as_of) -> Column:
+    """``as_of`` as a date; of a naive datetime, its own date."""
+    if as_of is None:
+        return F.current_date()
+    if isinstance(as_of, dt.datetime):
+        moment = as_of if as_of.tzinfo is None else as_of.astimezone(dt.timezone.utc)
+        return F.lit(moment.date())
+    if isinstance(as_of, dt.date):
+        return F.lit(as_of)
+    return as_of_ts(as_of).cast("date")
+
+
 def event_time(text) -> Column:
     """ISO text to event time; unparseable text gives NULL instead of failing."""
     return F.try_to_timestamp(_c(text))

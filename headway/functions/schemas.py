@@ -1,4 +1,8 @@
-"""Wire and table schemas (all fields nullable, as on the wire)."""
+"""Wire and table schemas (all fields nullable, as on the wire).
+
+Fixed values: the names and types of ``VEHICLE_POSITION``, ``STOP_TIME_UPDATE``
+and ``TRIP_UPDATE`` are the wire format and must match it.
+"""
 
 from __future__ import annotations
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import round_dec
 from headway.functions.thresholds import SEVERITIES
-from headway.operators.joins import maybe_broadcast
 from headway.operators.quality import _ts
 
 
@@ -31,31 +30,29 @@ def kpi_summary(vehicles: DataFrame, trip_windows: DataFrame, state: DataFrame,
     """Headline numbers as (metric, value) rows: active vehicles, on-time
     rate, average delay (min), routes in cascade, events per minute.
 
-    Long format keeps each metric a separate single-row aggregate (no join
-    of one-row frames).
+    Each source is aggregated once, to one row that turns into its metrics.
+    Give sources that are already limited to about the last ``minutes`` (with a
+    window size of slack) to keep the scans short; the exact limit is applied
+    here.
     """
     recent_v = vehicles.filter(_since("event_ts", as_of, minutes))
     distinct = (F.approx_count_distinct("vehicle_id") if approx_vehicles
                 else F.count_distinct("vehicle_id"))
     recent_t = trip_windows.filter(_since("window_start", as_of, minutes))
     on_time = F.when(F.col("delay_severity") == "ON_TIME", 1.0).otherwise(0.0)
-    parts = [
-        recent_v.agg(F.lit("active_vehicles").alias("metric"),
-                     distinct.cast("double").alias("value")),
-        recent_t.agg(F.lit("on_time_rate").alias("metric"),
-                     round_dec(F.avg(on_time), 9).alias("value")),
-        recent_t.agg(F.lit("avg_delay_min").alias("metric"),
-                     round_dec(F.avg("max_arrival_delay_sec") / 60, 9).alias("value")),
-        state.agg(F.lit("routes_in_cascade").alias("metric"),
-                  F.count_if(F.col("is_cascade")).cast("double").alias("value")),
-        trips.filter(_since("event_ts", as_of, minutes)).agg(
-            F.lit("events_per_min").alias("metric"),
-            round_dec(F.count(F.lit(1)) / float(minutes), 9).alias("value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+
+    def metrics(src: DataFrame, **values: Column) -> DataFrame:
+        one = src.agg(*[v.alias(k) for k, v in values.items()])
+        rows = [F.struct(F.lit(k).alias("metric"), F.col(k).cast("double").alias("value")) for k in values]
+        return one.select(F.inline(F.array(*rows)))
+
+    return (
+        metrics(recent_v, active_vehicles=distinct)
+        .unionByName(metrics(recent_t, on_time_rate=round_dec(F.avg(on_time), 9),
+                             avg_delay_min=round_dec(F.avg("max_arrival_delay_sec") / 60, 9)))
+        .unionByName(metrics(state, routes_in_cascade=F.count_if(F.col("is_cascade"))))
+        .unionByName(metrics(trips.filter(_since("event_ts", as_of, minutes)),
+                             events_per_min=round_dec(F.count(F.lit(1)) / float(minutes), 9))))
 
 
 def delay_distribution(trip_windows: DataFrame, size: str = "1 minute",
@@ -77,8 +74,8 @@ def active_cascades(state: DataFrame, trip_windows: DataFrame) -> DataFrame:
     keys = ["route_id", "agency", "window_start"]
     cur = state.filter(F.col("is_cascade"))
     # Only the current windows matter: semi-join them (one row per route and
-    # agency, size-checked broadcast) before aggregating the trip windows.
-    current = trip_windows.join(maybe_broadcast(cur.select(*keys)), keys, "left_semi")
+    # agency) before aggregating the trip windows.
+    current = trip_windows.join(cur.select(*keys), keys, "left_semi")
     delay = current.groupBy(*keys).agg(F.avg("max_arrival_delay_sec").alias("_avg"))
     j = cur.join(delay, keys, "left")
     return j.select(

@@ -20,28 +20,15 @@ updates on (stop_id, route_id).
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.functions.columns import round_dec
+from headway.functions.columns import as_of_date, round_dec
 from headway.functions.thresholds import DEFAULT, Thresholds
-from headway.operators.joins import BROADCAST_MAX_ROWS, maybe_broadcast
 
 STOP_COLS = ("stop_id", "stop_name", "latitude", "longitude", "route_id")
 
 
-def _as_of_date(as_of) -> Column:
-    if as_of is None:
-        return F.current_date()
-    if isinstance(as_of, Column):
-        return as_of.cast("date")
-    if isinstance(as_of, (dt.date, dt.datetime)):
-        return F.lit(as_of).cast("date")
-    return F.lit(str(as_of)).cast("timestamp").cast("date")
-
-
 def _finish(parts: DataFrame, min_events: int) -> DataFrame:
     """Per-stop partial sums -> the hotspot columns, filtered and sorted."""
     g = parts.groupBy(*STOP_COLS).agg(
@@ -72,7 +59,7 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
     Window: ``event_date >= as_of_date - days`` (8 calendar dates for 7,
     as in the reference); groups need ``min_events`` trip windows.
     """
-    recent = stg_trips.filter(F.col("event_date") >= F.date_sub(_as_of_date(as_of), days))
+    recent = stg_trips.filter(F.col("event_date") >= F.date_sub(as_of_date(as_of), days))
     per_trip = recent.groupBy("trip_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("max_arrival_delay_sec").cast("long").alias("s"),
@@ -91,18 +78,17 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
     wild = st.filter(F.col("_key") == "").withColumn(
         "_u", F.length(sid) - F.length(F.regexp_replace(sid, "_", "")))
 
-    # One pass over the stops dimension: its size (for the broadcast
-    # check), whether any id is wildcard-only, and the distinct key lengths
-    # (a handful of small integers).
+    plain = keyed.filter(F.col("_key") == sid)
+    pattern = keyed.filter(F.col("_key") != sid)
+    # One pass over the stops dimension: which kinds of id there are, and the
+    # distinct key lengths (a handful of small integers).
     facts = st.agg(
-        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("_key") == "").alias("wild"),
+        F.count_if((F.col("_key") != "") & (F.col("_key") != sid)).alias("pattern"),
         F.array_sort(F.collect_set(F.when(F.col("_key") != "", F.length("_key"))))
         .alias("lengths"),
     ).first()
     lengths = list(facts["lengths"])
-    if facts["n"] <= BROADCAST_MAX_ROWS:
-        keyed = F.broadcast(keyed)
 
     # Distinct substrings of each trip id, only of the key lengths present:
     # at most L per key length.
@@ -118,11 +104,19 @@ def hotspots_like(stg_trips: DataFrame, stops: DataFrame, as_of=None,
     else:
         subs = F.array().cast("array<string>")
     trip_keys = per_trip.filter(n > 0).select("*", F.explode(subs).alias("_key"))
-    matched = (
-        trip_keys.join(keyed, "_key")
-        .filter(F.like(tid, F.concat(F.lit("%"), sid, F.lit("%"))))
-        .select(*STOP_COLS, "n", "s", "mx", "sev")
-    )
+    # A plain id matches exactly the trips that hold its key: one row per key
+    # meets the stops, however many trips a short id is part of.
+    per_key = trip_keys.groupBy("_key").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("mx").alias("mx"),
+        F.sum("sev").alias("sev"))
+    parts = [per_key.join(plain, "_key")]
+    if facts["pattern"]:
+        # Ids with wildcards need the trip id itself to confirm a candidate.
+        parts.append(trip_keys.join(pattern, "_key")
+                     .filter(F.like(tid, F.concat(F.lit("%"), sid, F.lit("%")))))
+    matched = parts[0].select(*STOP_COLS, "n", "s", "mx", "sev")
+    for part in parts[1:]:
+        matched = matched.unionByName(part.select(*STOP_COLS, "n", "s", "mx", "sev"))
 
     if facts["wild"] == 0:
         # No wildcard-only id in the dimension.
@@ -154,7 +148,7 @@ def hotspots_by_stop(stop_rows: DataFrame, stops: DataFrame, as_of=None,
     """
     d = F.col("arrival_delay_sec")
     recent = stop_rows.filter(
-        (F.to_date("event_ts") >= F.date_sub(_as_of_date(as_of), days))
+        (F.to_date("event_ts") >= F.date_sub(as_of_date(as_of), days))
         & d.between(th.sanity_low, th.sanity_high)
         & F.col("stop_id").isNotNull() & F.col("route_id").isNotNull())
     per_stop = recent.groupBy("stop_id", "route_id").agg(
@@ -163,5 +157,5 @@ def hotspots_by_stop(stop_rows: DataFrame, stops: DataFrame, as_of=None,
         F.max(d).alias("mx"),
         F.sum(F.when(d >= th.severe_sec, 1).otherwise(0)).cast("long").alias("sev"),
     )
-    joined = per_stop.join(maybe_broadcast(stops.select(*STOP_COLS)), ["stop_id", "route_id"])
+    joined = per_stop.join(stops.select(*STOP_COLS), ["stop_id", "route_id"])
     return _finish(joined.select(*STOP_COLS, "n", "s", "mx", "sev"), min_events)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headway.functions.columns import clamp_score, is_rush_hour, round_dec, safe_ratio
 from headway.functions.thresholds import DEFAULT, Thresholds
-from headway.operators.percentiles import with_percentiles
+from headway.operators.percentiles import from_histogram, histogram, weighted_count, weighted_mean
 
 # Full grain of the staged tables (the merge keys).
 TRIP_GRAIN = ("trip_id", "route_id", "vehicle_id", "agency", "window_start")
@@ -94,26 +94,33 @@ def route_delay_hourly(stg_trips: DataFrame, stg_flags: DataFrame, by_agency: bo
         inline = [F.percentile(d, p).alias(n) for n, p in pcts.items()]
     elif percentiles == "approx":
         inline = [F.percentile_approx(d, p).cast("double").alias(n) for n, p in pcts.items()]
-    elif percentiles == "histogram":
-        inline = []
-    else:
+    elif percentiles != "histogram":
         raise ValueError(f"unknown percentiles mode {percentiles!r}")
-    counts = [
-        F.count(F.lit(1)).alias("total_trips"),
-        F.sum(F.when(F.col("is_severe"), 1).otherwise(0)).cast("long").alias("severe_trips"),
-        F.sum(F.when(F.col("is_moderate"), 1).otherwise(0)).cast("long").alias("moderate_trips"),
-        F.sum(F.when(F.col("is_on_time"), 1).otherwise(0)).cast("long").alias("on_time_trips"),
-        F.avg(d).alias("avg_delay_sec"),
-    ]
-    tail = [F.max(d).alias("max_delay_sec"),
-            *([F.count_distinct("trip_id").alias("distinct_trips")] if distinct_trips else [])]
-    trip_hourly = stg_trips.groupBy(*hour_keys).agg(*counts, *inline, *tail)
     if percentiles == "histogram":
-        order = hour_keys + ["total_trips", "severe_trips", "moderate_trips", "on_time_trips",
-                             "avg_delay_sec", *pcts, "max_delay_sec"] + \
-            (["distinct_trips"] if distinct_trips else [])
-        trip_hourly = with_percentiles(trip_hourly, stg_trips, hour_keys,
-                                       "max_arrival_delay_sec", pcts, order)
+        # Every measure but the distinct trips follows from one histogram.
+        flags = ["is_severe", "is_moderate", "is_on_time"]
+        hist = histogram(stg_trips, hour_keys, "max_arrival_delay_sec", flags)
+        trip_hourly = from_histogram(hist, hour_keys, "max_arrival_delay_sec", pcts, [
+            F.sum("_c").alias("total_trips"),
+            weighted_count(F.col("is_severe")).alias("severe_trips"),
+            weighted_count(F.col("is_moderate")).alias("moderate_trips"),
+            weighted_count(F.col("is_on_time")).alias("on_time_trips"),
+            weighted_mean(d).alias("avg_delay_sec"), F.max(d).alias("max_delay_sec")])
+        if distinct_trips:
+            trips = stg_trips.groupBy(*[F.col(k).alias(f"_{k}") for k in hour_keys]).agg(
+                F.count_distinct("trip_id").alias("distinct_trips"))
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in hour_keys]
+            trip_hourly = trip_hourly.join(trips, same)
+    else:
+        trip_hourly = stg_trips.groupBy(*hour_keys).agg(
+            F.count(F.lit(1)).alias("total_trips"), F.count_if("is_severe").alias("severe_trips"),
+            F.count_if("is_moderate").alias("moderate_trips"),
+            F.count_if("is_on_time").alias("on_time_trips"), F.avg(d).alias("avg_delay_sec"),
+            F.max(d).alias("max_delay_sec"), *inline,
+            *([F.count_distinct("trip_id").alias("distinct_trips")] if distinct_trips else []))
+    trip_hourly = trip_hourly.select(
+        *hour_keys, "total_trips", "severe_trips", "moderate_trips", "on_time_trips", "avg_delay_sec",
+        *pcts, "max_delay_sec", *(["distinct_trips"] if distinct_trips else []))
     keys = ["route_id", "event_date", "hour_of_day"] + (["agency"] if by_agency else [])
     cascade_hourly = (
         stg_flags.withColumn("hour_of_day", F.hour("window_start"))

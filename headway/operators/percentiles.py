@@ -20,45 +20,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def histogram_percentiles(df: DataFrame, keys: Sequence[str], value: str,
-                          ps: dict[str, float]) -> DataFrame:
-    """One row per group of ``keys`` with a double column per entry of
-    ``ps`` (output name -> fraction)."""
+def histogram(df: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``_c`` rows per (keys, value); ``carry`` are columns that follow from the
+    value, so they add no groups."""
+    return df.groupBy(*keys, value, *carry).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def from_histogram(hist: DataFrame, keys: Sequence[str], value: str, ps: dict[str, float],
+                   measures: Sequence[Column]) -> DataFrame:
+    """One row per group: ``measures`` (aggregates of the histogram, weighted by
+    its ``_c``) and a double column per entry of ``ps`` (output name ->
+    fraction).  NULL values take part in the measures only."""
     keys = list(keys)
     v = F.col(value)
-    hist = df.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    weight = F.when(v.isNotNull(), F.col("_c"))
     upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding,
-                                                                 Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    hist = hist.select(*keys, value, F.sum("_c").over(upto).alias("_cum"),
-                       F.sum("_c").over(whole).alias("_n"))
-    aggs, outs = [F.first("_n").alias("_n")], []
+                                                                Window.currentRow)
+    hist = hist.withColumns({"_cum": F.sum(weight).over(upto),
+                             "_n": F.sum(weight).over(Window.partitionBy(*keys))})
+    ends = []
     for name, p in ps.items():
         pos = (F.col("_n") - 1) * p
-        aggs.append(F.min(F.when(F.col("_cum") > F.floor(pos), v)).alias(f"_{name}_lo"))
-        aggs.append(F.min(F.when(F.col("_cum") > F.ceil(pos), v)).alias(f"_{name}_hi"))
-        outs.append((name, p))
-    g = hist.groupBy(*keys).agg(*aggs)
-    cols = []
-    for name, p in outs:
+        ends.append(F.min(F.when(F.col("_cum") > F.floor(pos), v)).alias(f"_{name}_lo"))
+        ends.append(F.min(F.when(F.col("_cum") > F.ceil(pos), v)).alias(f"_{name}_hi"))
+    g = hist.groupBy(*keys).agg(*measures, F.max("_n").alias("_n"), *ends)
+    for name, p in ps.items():
         pos = (F.col("_n") - 1) * p
         lo_i, hi_i = F.floor(pos), F.ceil(pos)
         lo, hi = F.col(f"_{name}_lo").cast("double"), F.col(f"_{name}_hi").cast("double")
-        cols.append(F.when(lo_i == hi_i, lo)
-                    .otherwise((hi_i - pos) * lo + (pos - lo_i) * hi).alias(name))
-    return g.select(*keys, *cols)
+        g = g.withColumn(name, F.when(lo_i == hi_i, lo)
+                         .otherwise((hi_i - pos) * lo + (pos - lo_i) * hi))
+    return g.drop("_n", *[f"_{n}_{e}" for n in ps for e in ("lo", "hi")])
 
 
-def with_percentiles(agg: DataFrame, source: DataFrame, keys: Sequence[str], value: str,
-                     ps: dict[str, float], order: Sequence[str]) -> DataFrame:
-    """Attach histogram percentiles of ``source`` to the grouped ``agg``
-    (same keys, NULL-safe key match), columns in ``order``."""
-    keys = list(keys)
-    pct = histogram_percentiles(source, keys, value, ps).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], *ps)
-    cond = [agg[k].eqNullSafe(pct[f"_k_{k}"]) for k in keys]
-    return agg.join(pct, cond, "left").select(*order)
+def weighted_count(cond: Column) -> Column:
+    return F.sum(F.when(cond, F.col("_c")).otherwise(F.lit(0))).cast("long")
+
+
+def weighted_mean(value: Column) -> Column:
+    """Mean of an integer column over the histogram's rows (exact sums)."""
+    return (F.sum(value.cast("long") * F.col("_c")).cast("double")
+            / F.sum(F.when(value.isNotNull(), F.col("_c"))))
+
+
+def weighted_stddev(value: Column) -> Column:
+    """Sample standard deviation of an integer column: from exact sums, so
+    nothing cancels; NULL for a single row."""
+    v = value.cast("decimal(38,0)")
+    n = F.sum(F.when(value.isNotNull(), F.col("_c"))).cast("decimal(38,0)")
+    s1, s2 = F.sum((v * F.col("_c")).cast("decimal(28,0)")), F.sum((v * v * F.col("_c")).cast("decimal(28,0)"))
+    spread = ((n * s2).cast("decimal(38,0)") - (s1 * s1).cast("decimal(38,0)")).cast("double")
+    return F.when(n > 1, F.sqrt(spread / (n.cast("double") * (n.cast("double") - 1))))

@@ -12,11 +12,12 @@ value bounds the reference declared but never checked):
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.functions.columns import as_of_ts
+
+# Thresholds that must equal the reference's.
 RULES = {
     "trip_delay_events": {
         "min_rows_per_hour": 1000,
@@ -42,14 +43,7 @@ BOUNDS = {
     "max_cascade_score": ("cascade_score", "max"),
 }
 
-def _ts(as_of) -> Column:
-    if as_of is None:
-        return F.current_timestamp()
-    if isinstance(as_of, Column):
-        return as_of.cast("timestamp")
-    if isinstance(as_of, dt.datetime):
-        return F.lit(as_of).cast("timestamp")
-    return F.lit(str(as_of)).cast("timestamp")
+_ts = as_of_ts
 
 
 def check_quality(df: DataFrame, table: str, rules: dict | None = None, as_of=None,

@@ -7,11 +7,13 @@ table grows with its inputs.
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.functions.columns import utc_literal
+
 from headway.functions.thresholds import DEFAULT, Thresholds
 from headway.operators.aggregates import cascade_flags, route_speed_agg, trip_delay
 from headway.operators.ingest import (
@@ -36,11 +38,19 @@ from headway.operators.models import (
 from headway.operators.ingest import ingest_counts
 from headway.operators.parse import feed_entities
 from headway.operators.state import latest_route_state
-from headway.session import checkpoint_root, scratch_path
+from headway.plans.refresh import refresh_models
+from headway.session import hadoop_fs, staging_folder
 from headway.operators import dashboard as dash
 from headway.operators import ml
 from headway.operators.quality import check_freshness, quality_report
-from headway.sinks.tables import incremental_filter, merge_rows
+from headway.sinks.tables import (
+    incremental_filter,
+    merge_rows,
+    read_table,
+    table_last_write,
+    upsert_table,
+    write_table,
+)
 from headway.sources.testdata import (
     AS_OF,
     landed_feed,
@@ -49,6 +59,7 @@ from headway.sources.testdata import (
     load_stops,
     transit_feed,
 )
+from headway.sources.topics import read_topic
 
 
 def shared(df: DataFrame) -> DataFrame:
@@ -57,12 +68,11 @@ def shared(df: DataFrame) -> DataFrame:
     computed once.  It is written as a Parquet table under the session's
     ``spark.checkpoint.dir``: that cuts the lineage (an executor lost later
     does not replay the JSON parsing), and the branches' own filters and
-    projections push down into its scan."""
-    import uuid
-
-    path = scratch_path(df.sparkSession, "shared", uuid.uuid4().hex)
+    projections push down into its scan.  The folder expires (see
+    ``staging_folder``)."""
+    path = staging_folder(df.sparkSession, "shared")
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def vehicle_position_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +91,12 @@ def trip_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_messages(trip_update_rows(spark, sf_dir))
 
 
+def events_since(spark: SparkSession, sf_dir: str, moment: dt.datetime) -> DataFrame:
+    """Events from ``moment`` on; the filter reaches the Parquet scan."""
+    text = moment.strftime("%Y-%m-%d %H:%M:%S")
+    return load_events(spark, sf_dir).filter(F.col("ts") >= F.lit(text).cast("timestamp_ntz"))
+
+
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_vehicle_positions(vehicle_topic(spark, sf_dir))
 
@@ -186,7 +202,7 @@ def _stg_from_events(events: DataFrame) -> DataFrame:
 
 def incremental_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged rows newer than a target loaded up to 2024-01-16."""
-    stg = stg_trips(spark, sf_dir)
+    stg = shared(stg_trips(spark, sf_dir))
     target = stg.filter(F.col("window_start") < F.lit("2024-01-16").cast("timestamp"))
     return incremental_filter(stg, target)
 
@@ -204,8 +220,9 @@ def merge_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged from events since 2024-01-19 (overlapping windows replaced)."""
     ev = load_events(spark, sf_dir)
     old = _stg_from_events(ev.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")))
-    new = _stg_from_events(ev.filter(F.col("ts") >= F.lit("2024-01-19").cast("timestamp_ntz")))
-    return merge_rows(old, new, list(TRIP_GRAIN))
+    # Staged once (the merge reads it twice), and unique by its grain already.
+    new = shared(_stg_from_events(ev.filter(F.col("ts") >= F.lit("2024-01-19").cast("timestamp_ntz"))))
+    return merge_rows(old, new, list(TRIP_GRAIN), dedupe=False)
 
 
 def quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,13 +235,36 @@ def quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return check_freshness(trip_delay_windows(spark, sf_dir), AS_OF, ts_col="window_start")
-
-
-def kpi_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    td = shared(trip_delay_windows(spark, sf_dir))
-    return dash.kpi_summary(vehicles(spark, sf_dir), td, latest_route_state(cascade_flags(td)),
-                            trips(spark, sf_dir), AS_OF, minutes=60)
+    """Age of the newest trip window: that of the newest stop row, so no window
+    has to be built for it."""
+    slide = 120
+    rows = explode_stop_updates(parse_trip_updates(trip_topic(spark, sf_dir)))
+    newest = rows.agg(F.max("event_ts").alias("t")).select(
+        F.timestamp_seconds(F.floor(F.unix_seconds("t") / slide) * slide).alias("window_start"))
+    return check_freshness(newest, AS_OF, ts_col="window_start")
+
+
+def table_freshness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the trip windows as a stored table, then check its last write
+    against the clock: (rows, passed)."""
+    path = staging_folder(spark, "freshness")
+    write_table(trip_delay_windows(spark, sf_dir).withColumn("event_date", F.to_date("window_start")),
+                path, partition_by=["event_date"], cluster_by=["event_date", "route_id", "window_start"])
+    passed = check_freshness(table_last_write(spark, path)).first()["passed"]
+    return read_table(spark, path).agg(F.count(F.lit(1)).alias("rows"), F.lit(passed).alias("passed"))
+
+
+def kpi_q(spark: SparkSession, sf_dir: str, minutes: int = 60) -> DataFrame:
+    """The last hour's numbers from the last hour's events (and a window size of
+    slack); only the latest state per route looks further back."""
+    slack = dt.timedelta(minutes=minutes + 10)
+    feed = transit_feed(events_since(spark, sf_dir, AS_OF - slack))
+    vehicle = vehicle_messages(normalize_vehicle_positions(feed, F.col("agency")))
+    trip = trip_messages(normalize_trip_updates(feed, F.col("agency")))
+    return dash.kpi_summary(parse_vehicle_positions(vehicle, fields=["vehicle_id"]),
+                            trip_delay(explode_stop_updates(parse_trip_updates(trip))),
+                            latest_route_state(cascade_windows(spark, sf_dir)),
+                            parse_trip_updates(trip, fields=["trip_id"]), AS_OF, minutes=minutes)
 
 
 def distribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,40 +308,126 @@ def labels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ml.cascade_labels(td, cascade_flags(td))
 
 
+def labelled_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set: labelled windows with their enriched features."""
+    td = shared(trip_delay_windows(spark, sf_dir))
+    flags = shared(cascade_flags(td))
+    profiles = ml.route_profiles(stg_trip_delay_events(td, loaded_at=False), AS_OF)
+    features = ml.cascade_features(td, profiles=profiles, flags=flags)
+    return ml.training_set(ml.cascade_labels(features, flags), AS_OF)
+
+
+def score_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact AUC, precision and recall, gated, of a score that any engine can
+    compute: the normalised delay."""
+    return ml.model_gate(ml.score_metrics(labelled_windows(spark, sf_dir), "delay_norm", threshold=0.05))
+
+
 def model_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the labelled windows of the 30-day lookback except the last
     week, evaluate on that held-out week, gate (one row)."""
-    td = shared(trip_delay_windows(spark, sf_dir))
-    labeled = ml.cascade_labels(ml.cascade_features(td), cascade_flags(td))
-    train, test = ml.time_split(ml.training_set(labeled, AS_OF), AS_OF)
-    model = ml.train_cascade_model(train, max_iter=10)
+    train, test = ml.time_split(shared(labelled_windows(spark, sf_dir)), AS_OF)
+    model = ml.train_cascade_model(train, features=ml.ENRICHED, max_iter=10)
     return ml.model_gate(ml.model_metrics(ml.score_cascades(test, model)))
 
 
-def cascade_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The streaming job end to end: the trip topic is landed as Parquet
-    files (one per 8 days, in time order) under the shared checkpoint
-    folder, replayed with ``availableNow`` through the chained append-mode
-    aggregation and foreachBatch sink, and the emitted cascade table is
-    read back.  Windows still open at the final watermark are not emitted,
-    exactly as on a live stream."""
-    import uuid
+def upsert_state_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest state per route, kept as a table by newest-wins upserts: a late
+    part first repeats and then overlaps what is stored."""
+    path = staging_folder(spark, "route-state")
+    flags = shared(cascade_windows(spark, sf_dir))
+    day = F.to_date("window_start")
+    for part in (day >= F.lit("2024-01-15"), day < F.lit("2024-01-20"), day >= F.lit("2024-01-15")):
+        upsert_table(spark, path, latest_route_state(flags.filter(part)), ["route_id", "agency"],
+                     partition_col=None, order_by=["window_start"], newest_wins=True)
+    return read_table(spark, path)
+
+
+def upsert_profiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route profiles as a table partitioned by weekday: a week-old run, then
+    today's, which replaces the profiles that it has."""
+    path = staging_folder(spark, "profiles")
+    stg = shared(stg_trips(spark, sf_dir))
+    earlier = AS_OF - dt.timedelta(days=7)
+    for rows, moment in ((stg.filter(F.col("window_start") < utc_literal(earlier)), earlier),
+                         (stg.filter(F.col("window_start") >= utc_literal(earlier)), AS_OF)):
+        upsert_table(spark, path, ml.route_profiles(rows, moment), ml.PROFILE_KEYS,
+                     partition_col="day_of_week")
+    return read_table(spark, path)
+
+
+def refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reliability mart after two runs of the stored models: one over the
+    windows before 2024-01-20, one after the rest has arrived."""
+    root = staging_folder(spark, "models")
+    trips = shared(trip_delay_windows(spark, sf_dir))
+    flags = shared(cascade_flags(trips))
+    early = F.col("window_start") < F.lit("2024-01-20").cast("timestamp")
+    refresh_models(spark, root, trips.filter(early), flags.filter(early))
+    refresh_models(spark, root, trips, flags)
+    return read_table(spark, f"{root}/mart_route_reliability")
+
+
+def replayed(spark: SparkSession, messages: DataFrame, topic: str, start, slices: int = 4) -> str:
+    """Replay a topic through streaming queries; returns the output folder.
+
+    The messages are landed in one pass, partitioned into ``slices`` equal
+    spans of their own time range.  One slice after the other is made visible to
+    the stream (a rename) and run to its end on one checkpoint, as one
+    micro-batch without a file cap.  Lateness is judged between micro-batches,
+    so it depends on neither the number of files nor their order.
+    ``start(source, out, checkpoints)`` starts the queries.
+    """
+    root = staging_folder(spark, "stream-replay")
+    landed = shared(messages)
+    low, high = landed.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    if low is None:
+        low = high = 0
+    width = (high - low) // slices + 1
+    where = F.floor((F.unix_micros("timestamp") - F.lit(low)) / F.lit(width)).cast("int")
+    landed.withColumn("slice", where).write.partitionBy("slice").parquet(f"{root}/landing")
+    fs, top = hadoop_fs(spark, f"{root}/topic")
+    fs.mkdirs(top)
+    for i in range(slices):
+        _, have = hadoop_fs(spark, f"{root}/landing/slice={i}")
+        if not fs.exists(have):
+            continue
+        _, there = hadoop_fs(spark, f"{root}/topic/slice={i}")
+        fs.rename(have, there)
+        src = read_topic(spark, topic, source="parquet", path=f"{root}/topic",
+                         options={"recursiveFileLookup": "true"})
+        for q in start(src, f"{root}/out", f"{root}/ck").values():
+            q.awaitTermination()
+    return f"{root}/out"
+
+
+NOW = {"availableNow": True}
+
+
+def cascade_stream_q(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None) -> DataFrame:
+    """The streaming job end to end: the trip topic is replayed (see
+    :func:`replayed`) through the chained append-mode aggregation and the
+    foreachBatch sink, and the emitted cascade table is read back.  Windows
+    still open at the final watermark are not emitted, exactly as on a live
+    stream."""
+    from headway.streaming.jobs import run_pipeline
+
+    def start(src, out, checkpoints):
+        return run_pipeline(spark, None, src, out, triggers={"cascade": NOW}, ckpt_root=checkpoints,
+                            only=["cascade"])
 
-    from headway.sources.topics import read_topic
+    messages = trip_topic(spark, sf_dir) if messages is None else messages
+    out = replayed(spark, messages, "gtfs.trip_updates", start)
+    return spark.read.parquet(f"{out}/cascade_flags").drop("query", "batch")
+
+
+def speed_stream_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vehicle stream: closed 5/1-minute speed windows, as emitted."""
     from headway.streaming.jobs import run_pipeline
 
-    root = os.path.join(checkpoint_root(spark), "stream-replay", uuid.uuid4().hex)
-    msgs = trip_topic(spark, sf_dir)
-    cuts = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "2024-02-02"]
-    for i in range(len(cuts) - 1):
-        part = msgs.filter((F.col("timestamp") >= F.lit(cuts[i]).cast("timestamp"))
-                           & (F.col("timestamp") < F.lit(cuts[i + 1]).cast("timestamp")))
-        part.write.parquet(f"{root}/topic/slice={i}")
-    src = read_topic(spark, "gtfs.trip_updates", source="parquet", path=f"{root}/topic",
-                     options={"maxFilesPerTrigger": 64, "recursiveFileLookup": "true"})
-    qs = run_pipeline(spark, None, src, f"{root}/out",
-                      triggers={k: {"availableNow": True} for k in ("trips", "cascade")},
-                      ckpt_root=f"{root}/ck")
-    for q in qs.values():
-        q.awaitTermination()
-    return spark.read.parquet(f"{root}/out/cascade_flags").drop("batch")
+    def start(src, out, checkpoints):
+        return run_pipeline(spark, src, src, out, triggers={"speed": NOW}, ckpt_root=checkpoints,
+                            only=["speed"])
+
+    out = replayed(spark, vehicle_topic(spark, sf_dir), "gtfs.vehicle_positions", start)
+    return spark.read.parquet(f"{out}/route_speed_agg")

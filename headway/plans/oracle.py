@@ -342,21 +342,31 @@ state AS (
     GROUP BY route_id, agency
 )"""
 
-PROFILE_CTE = f"""
-profiles AS (
-    SELECT route_id, agency, day_of_week, hour_of_day,
-           count(*) AS n,
-           avg(max_arrival_delay_sec) AS avg_delay_sec,
-           stddev_samp(max_arrival_delay_sec) AS stddev_delay_sec,
-           CAST(quantile_cont(max_arrival_delay_sec, 0.5) AS DOUBLE) AS p50_delay_sec,
-           CAST(quantile_cont(max_arrival_delay_sec, 0.95) AS DOUBLE) AS p95_delay_sec,
-           avg(CASE WHEN max_arrival_delay_sec >= 300 THEN 1.0 ELSE 0.0 END) AS severe_share
-    FROM stg
-    WHERE window_start >= {AS_OF} - INTERVAL '84 days'
-    GROUP BY route_id, agency, day_of_week, hour_of_day
+def quantile(values: str, p: float) -> str:
+    """Linear interpolation between the order statistics of a sorted list."""
+    pos = f"((len({values}) - 1) * {p})"
+    return (f"({values}[CAST(floor({pos}) AS BIGINT) + 1] * (1 - ({pos} - floor({pos})))"
+            f" + {values}[CAST(ceil({pos}) AS BIGINT) + 1] * ({pos} - floor({pos})))")
+
+
+def profile_cte(name: str, where: str) -> str:
+    return f"""
+{name} AS (
+    SELECT route_id, agency, day_of_week, hour_of_day, n, m AS avg_delay_sec,
+           CASE WHEN n > 1 THEN sqrt(list_sum(list_transform(v, lambda x: (x - m) * (x - m))) / (n - 1)) END
+               AS stddev_delay_sec,
+           {quantile('v', 0.5)} AS p50_delay_sec, {quantile('v', 0.95)} AS p95_delay_sec,
+           len(list_filter(v, lambda x: x >= 300)) / CAST(n AS DOUBLE) AS severe_share
+    FROM (SELECT route_id, agency, day_of_week, hour_of_day, count(*) AS n,
+                 sum(max_arrival_delay_sec) / CAST(count(*) AS DOUBLE) AS m,
+                 list(CAST(max_arrival_delay_sec AS DOUBLE) ORDER BY max_arrival_delay_sec) AS v
+          FROM stg WHERE {where} GROUP BY ALL)
 )"""
 
 
+PROFILE_CTE = profile_cte("profiles", f"window_start >= {AS_OF} - INTERVAL '84 days'")
+
+
 def qrow(table: str, check: str, col: str, observed: str, thr: float, passed: str,
          src: str) -> str:
     return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{col}' AS column_name, "
@@ -525,7 +535,8 @@ WHERE window_start >= (SELECT max(window_start) FROM stg
 SELECT * FROM stg_a a
 WHERE NOT EXISTS (SELECT 1 FROM stg_b b
                   WHERE a.trip_id = b.trip_id AND a.route_id = b.route_id
-                    AND a.vehicle_id = b.vehicle_id AND a.agency = b.agency
+                    AND a.vehicle_id IS NOT DISTINCT FROM b.vehicle_id
+                    AND a.agency IS NOT DISTINCT FROM b.agency
                     AND a.window_start = b.window_start)
 UNION ALL
 SELECT * FROM stg_b""",
@@ -624,6 +635,42 @@ FROM trip_delay t
 LEFT JOIN cascade c
   ON t.route_id = c.route_id AND t.agency = c.agency
  AND t.window_start = c.window_start - INTERVAL '10 minutes'""",
+        "route_speed_stream": with_(ADAPTER, SPEED_CTE) + f"""
+SELECT * EXCLUDE (avg_speed_mph, speed_stddev), {r9('avg_speed_mph')}, {r9('speed_stddev')}
+FROM speed WHERE window_end <= (SELECT max(event_ts) FROM vp) - INTERVAL '2 minutes'""",
+        "upsert_table_state": with_(*BASE, STATE_CTE) + "\nSELECT * FROM state",
+        "upsert_profiles": with_(*BASE, stg_ctes(False),
+                                 profile_cte("old_p", "window_start >= " + AS_OF + " - INTERVAL '91 days' "
+                                             "AND window_start < " + AS_OF + " - INTERVAL '7 days'"),
+                                 profile_cte("new_p", "window_start >= " + AS_OF + " - INTERVAL '7 days'")) + f"""
+SELECT route_id, agency, day_of_week, hour_of_day, n, {r9('avg_delay_sec')}, {r9('stddev_delay_sec')},
+       {r9('p50_delay_sec')}, {r9('p95_delay_sec')}, {r9('severe_share')}
+FROM (SELECT * FROM new_p
+      UNION ALL
+      SELECT * FROM old_p o WHERE NOT EXISTS (
+          SELECT 1 FROM new_p w WHERE w.route_id IS NOT DISTINCT FROM o.route_id
+             AND w.agency IS NOT DISTINCT FROM o.agency AND w.day_of_week = o.day_of_week
+             AND w.hour_of_day = o.hour_of_day))""",
+        "refresh_models": mart + f"""
+SELECT * EXCLUDE (daily_avg_delay_sec, typical_p95_delay_sec), {r9('daily_avg_delay_sec')},
+       {r9('typical_p95_delay_sec')}
+FROM mart""",
+        "table_freshness": with_(*BASE) + "\nSELECT count(*) AS rows, true AS passed FROM trip_delay",
+        "score_metrics": with_(*BASE) + f""",
+lab AS (
+    SELECT t.max_arrival_delay_sec / 3600.0 AS score,
+           EXISTS (SELECT 1 FROM cascade c WHERE c.route_id = t.route_id AND c.agency = t.agency AND c.is_cascade
+                     AND c.window_start = t.window_start + INTERVAL '10 minutes') AS y
+    FROM trip_delay t WHERE t.window_start >= {AS_OF} - INTERVAL '30 days'),
+ranked AS (SELECT y, score, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM lab),
+n AS (SELECT count(*) FILTER (y) AS p, count(*) FILTER (NOT y) AS q, sum(r) FILTER (y) AS s,
+             count(*) FILTER (y AND score >= 0.05) AS tp, count(*) FILTER (NOT y AND score >= 0.05) AS fp,
+             count(*) FILTER (y AND NOT score >= 0.05) AS fn FROM ranked),
+m AS (SELECT CAST(s - p * (p + 1) / 2.0 AS DOUBLE) / nullif(CAST(p AS DOUBLE) * q, 0) AS auc_roc,
+             tp / CAST(greatest(tp + fp, 1) AS DOUBLE) AS precision_at_50,
+             tp / CAST(greatest(tp + fn, 1) AS DOUBLE) AS recall_at_50 FROM n)
+SELECT *, coalesce(auc_roc >= 0.78, false) AS auc_ok, coalesce(precision_at_50 >= 0.7, false) AS precision_ok,
+       coalesce(auc_roc >= 0.78 AND precision_at_50 >= 0.7, false) AS promote FROM m""",
         "hotspots_like": with_(*BASE, stg_ctes()) + hotspot_select(
             "stg", "e.trip_id LIKE '%' || s.stop_id || '%'",
             f"e.event_date >= {recent}", "max_arrival_delay_sec",

@@ -64,6 +64,16 @@ QUERIES = {
     "cascade_flags_stream": batch.cascade_stream_q,
     "hotspots_like": batch.hotspots_like_q,
     "hotspots_by_stop": batch.hotspots_by_stop_q,
+    "route_speed_stream": lambda s, d: _r9(batch.speed_stream_q(s, d), "avg_speed_mph",
+                                           "speed_stddev"),
+    "upsert_table_state": batch.upsert_state_q,
+    "upsert_profiles": lambda s, d: _r9(batch.upsert_profiles_q(s, d), "avg_delay_sec",
+                                        "stddev_delay_sec", "p50_delay_sec", "p95_delay_sec",
+                                        "severe_share"),
+    "refresh_models": lambda s, d: _r9(batch.refresh_q(s, d), "daily_avg_delay_sec",
+                                       "typical_p95_delay_sec"),
+    "table_freshness": batch.table_freshness_q,
+    "score_metrics": batch.score_metrics_q,
 }
 
 

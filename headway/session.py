@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -28,18 +30,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
+    """Shared folder for checkpoints and staged tables: ``spark.checkpoint.dir``.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (as in
-    local tests) a fresh scratch folder is taken and recorded in the conf.
+    Where the session has none, a scratch folder is taken on a ``local[...]``
+    master only (one machine, as in tests).  On a cluster the setting is
+    required: a machine-local folder would be another one on each executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="headway-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # a core conf may be read-only at runtime
-            pass
+        spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -47,3 +50,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(checkpoint_root(spark), *parts)
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(file system, path object) of a path, by Spark's own configuration."""
+    obj = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return obj.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), obj
+
+
+def staging_folder(spark: SparkSession, name: str, keep_hours: int = 48) -> str:
+    """A fresh folder for a staged table.  Folders are filed by the hour they
+    were asked for; hours older than ``keep_hours`` are deleted on the way."""
+    top = scratch_path(spark, "headway-staging")
+    hour = int(time.time() // 3600)
+    fs, obj = hadoop_fs(spark, top)
+    if fs.exists(obj):
+        for status in fs.listStatus(obj):
+            old = status.getPath().getName()
+            if old.isdigit() and int(old) < hour - keep_hours:
+                fs.delete(status.getPath(), True)
+    return f"{top}/{hour}/{name}-{uuid.uuid4().hex}"

@@ -48,18 +48,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input that arrives in fewer splits than the cluster has
-    cores (e.g. one Parquet file with a single row group), so the narrow
-    work before the first shuffle (JSON, explode, window expansion) runs in
-    parallel.  A large input already has enough splits and is left as is:
-    the check is on the planned scan, no data is read for it."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def transit_feed(events: DataFrame) -> DataFrame:
     """events -> GTFS-realtime feed entities (one entity with both a vehicle
     and a trip update per event) plus an ``agency`` landing column."""
@@ -148,7 +136,7 @@ def stops_table(supplier: DataFrame) -> DataFrame:
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(_table(spark, sf_dir, "events"), "event_id")
+    return _table(spark, sf_dir, "events")
 
 
 def load_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

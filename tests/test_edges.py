@@ -14,7 +14,7 @@ from headway.operators.ingest import normalize_trip_updates, normalize_vehicle_p
 from headway.operators.models import route_reliability, stg_trip_delay_events
 from headway.operators.parse import explode_stop_updates, parse_trip_updates
 from headway.operators.quality import check_quality
-from headway.sinks.tables import incremental_filter, merge_rows, upsert_table
+from headway.sinks.tables import incremental_filter, merge_rows, read_table, upsert_table
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
 
@@ -174,11 +174,12 @@ def test_merge_replay_and_incremental(spark, tmp_dir):
     merged = {r.k: r.v for r in merge_rows(old, upd, keys).collect()}
     assert merged == {1: "a", 2: "B", 3: "c"}
     path = f"{tmp_dir}/tbl"
-    upsert_table(spark, path, old, keys)
-    upsert_table(spark, path, upd, keys, batch_id=7)
-    first = sorted(spark.read.parquet(path).collect())
-    upsert_table(spark, path, upd, keys, batch_id=7)
-    assert sorted(spark.read.parquet(path).collect()) == first
+    grain = ["k", "event_date"]  # the partition column is part of the key
+    upsert_table(spark, path, old, grain)
+    upsert_table(spark, path, upd, grain)
+    first = sorted(read_table(spark, path).collect())
+    upsert_table(spark, path, upd, grain)
+    assert sorted(read_table(spark, path).collect()) == first
     assert {r.k: r.v for r in first} == merged
     # Incremental: empty target loads all; a late row of a loaded window is
     # lost with the plain high-water mark and kept with a lookback.

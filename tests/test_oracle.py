@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from headway.plans import registry
 from conftest import SF_SMALL
 from parity import compare, duck
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = registry.oracle()
+QUERIES = registry.QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -87,9 +87,20 @@ def test_like_hotspots_equal_brute_force(spark, trips, stop_ids):
                 min_size=1, max_size=80),
        st.floats(0.0, 1.0))
 def test_histogram_percentile_equals_percentile(spark, data, p):
-    from headway.operators.percentiles import histogram_percentiles
+    from headway.operators.percentiles import from_histogram, histogram
+
+    from headway.operators.percentiles import weighted_mean, weighted_stddev
 
     df = spark.createDataFrame(data, "g int, v int")
-    want = {r.g: r.x for r in df.groupBy("g").agg(F.percentile("v", p).alias("x")).collect()}
-    got = {r.g: r.x for r in histogram_percentiles(df, ["g"], "v", {"x": p}).collect()}
-    assert {g: x for g, x in want.items() if x is not None} == got
+    want = {r.g: (r.x, r.m, r.s, r.n) for r in df.groupBy("g").agg(
+        F.percentile("v", p).alias("x"), F.avg("v").alias("m"), F.stddev_samp("v").alias("s"),
+        F.count(F.lit(1)).alias("n")).collect()}
+    v = F.col("v")
+    got = {r.g: (r.x, r.m, r.s, r.n) for r in from_histogram(
+        histogram(df, ["g"], "v"), ["g"], "v", {"x": p},
+        [weighted_mean(v).alias("m"), weighted_stddev(v).alias("s"), F.sum("_c").alias("n")]).collect()}
+    assert want.keys() == got.keys()
+    for g in want:
+        assert want[g][0] == got[g][0] and want[g][1] == got[g][1] and want[g][3] == got[g][3]
+        a, b = want[g][2], got[g][2]
+        assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-6 * max(1, a))

@@ -4,6 +4,9 @@ import datetime as dt
 import json
 import os
 
+import os
+
+import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from headway.operators.quality import check_freshness
 from headway.plans import batch
 from headway.sinks.tables import (
     read_metrics,
+    read_table,
     table_last_write,
     upsert_table,
     write_table,
@@ -31,16 +35,127 @@ def test_write_table_clustered_round_trip(spark, tmp_dir):
     assert back.select("event_date").distinct().count() == td.select("event_date").distinct().count()
 
 
-def test_upsert_schema_sync_adds_and_drops_columns(spark, tmp_dir):
+def test_upsert_schema_sync_reaches_untouched_partitions(spark, tmp_dir):
     path = f"{tmp_dir}/t"
-    d = dt.date(2024, 1, 1)
+    a, b = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    keys = ["k", "event_date"]
     upsert_table(spark, path, spark.createDataFrame(
-        [Row(k=1, v="a", old=1, event_date=d), Row(k=2, v="b", old=2, event_date=d)]), ["k"])
-    upsert_table(spark, path, spark.createDataFrame([Row(k=2, v="B", new=9.0, event_date=d)]),
-                 ["k"], schema_sync=True)
-    rows = {r.k: r for r in spark.read.parquet(path).collect()}
-    assert set(spark.read.parquet(path).columns) == {"k", "v", "new", "event_date"}
+        [Row(k=1, v="a", old=1, event_date=a), Row(k=2, v="b", old=2, event_date=a),
+         Row(k=3, v="c", old=3, event_date=b)]), keys)
+    upsert_table(spark, path, spark.createDataFrame([Row(k=2, v="B", new=9.0, event_date=a)]),
+                 keys, schema_sync=True)
+    table = read_table(spark, path)
+    rows = {r.k: r for r in table.collect()}
+    assert set(table.columns) == {"k", "v", "new", "event_date"}
     assert rows[1].new is None and rows[2].v == "B" and rows[2].new == 9.0
+    assert rows[3].v == "c" and rows[3].new is None
+    plan = table.filter(F.col("event_date") == F.lit(b))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_upsert_null_keys_and_null_partition(spark, tmp_dir):
+    path = f"{tmp_dir}/n"
+    schema = "trip string, agency string, window_start timestamp, event_date date, v int"
+    t, d = dt.datetime(2024, 1, 1), dt.date(2024, 1, 1)
+    rows = [("a", None, t, d, 1), ("b", "x", t, d, 1), ("c", "x", None, None, 1)]
+    keys = ["trip", "agency", "window_start"]
+    for v in (1, 2):  # replaying a row with a NULL in its key replaces it
+        upsert_table(spark, path, spark.createDataFrame([(*r[:4], v) for r in rows], schema), keys)
+    upsert_table(spark, path, spark.createDataFrame([("d", None, None, None, 3)], schema), keys)
+    got = sorted((r.trip, r.v) for r in read_table(spark, path).collect())
+    assert got == [("a", 2), ("b", 2), ("c", 2), ("d", 3)]
+
+
+def test_upsert_crash_keeps_the_last_commit(spark, tmp_dir, monkeypatch):
+    from headway.sinks import tables
+
+    path = f"{tmp_dir}/crash"
+    upsert_table(spark, path, spark.createDataFrame([Row(k=1, v=1), Row(k=2, v=1)]), ["k"], partition_col=None)
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_commit", crash)  # after the data is written
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, path, spark.createDataFrame([Row(k=2, v=2)]), ["k"], partition_col=None)
+    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == {(1, 1), (2, 1)}
+    upsert_table(spark, path, spark.createDataFrame([Row(k=2, v=2)]), ["k"], partition_col=None)
+    want = {(1, 1), (2, 2)}
+    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == want
+    tables.vacuum_table(spark, path, keep=1)
+    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == want
+    assert len([f for f in os.listdir(f"{path}/data") if f.startswith("version=")]) == 1
+    with pytest.raises(RuntimeError):
+        tables._commit(spark, path, 2, {})
+
+
+def test_upsert_rejects_keys_that_can_move(spark, tmp_dir):
+    d = dt.date(2024, 1, 1)
+    with pytest.raises(ValueError):
+        upsert_table(spark, f"{tmp_dir}/m", spark.createDataFrame([Row(k=1, event_date=d)]), ["k"])
+    spark.range(1).write.parquet(f"{tmp_dir}/plain")
+    with pytest.raises(ValueError):
+        upsert_table(spark, f"{tmp_dir}/plain", spark.range(1), ["id"], partition_col=None)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo", "UTC"])
+def test_as_of_is_utc_whatever_the_driver_zone(spark, monkeypatch, zone):
+    import time
+
+    from headway.functions.columns import as_of_date, as_of_ts
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        row = spark.range(1).select(F.unix_seconds(as_of_ts(AS_OF)), as_of_date(AS_OF).cast("string")).first()
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert tuple(row) == (1706659200, "2024-01-31")
+
+
+def test_incremental_mark_survives_a_repeated_hour(spark):
+    from headway.sinks.tables import incremental_filter
+
+    hours = spark.createDataFrame([(i,) for i in range(1699160400, 1699178400, 1800)], "s long").select(
+        F.timestamp_seconds("s").alias("window_start"))
+    want = hours.count()
+    for zone in ("America/New_York", "UTC"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            for mark in range(1699160400, 1699178400, 1800):
+                loaded = hours.filter(F.unix_seconds("window_start") <= mark)
+                left = incremental_filter(hours, loaded, date_col=None)
+                assert loaded.count() + left.count() == want
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_refresh_models_twice_equals_a_full_build(spark, tmp_dir):
+    from headway.plans.refresh import refresh_models
+
+    td, flags = batch.trip_delay_windows(spark, SF_SMALL).cache(), batch.cascade_windows(spark, SF_SMALL).cache()
+    stops = batch.stops(spark, SF_SMALL)
+    early = F.col("window_start") < F.lit("2024-01-20").cast("timestamp")
+    refresh_models(spark, f"{tmp_dir}/two", td.filter(early), flags.filter(early), stops, AS_OF)
+    refresh_models(spark, f"{tmp_dir}/two", td, flags, stops, AS_OF, lookback="2 hours")
+    refresh_models(spark, f"{tmp_dir}/one", td, flags, stops, AS_OF)
+    for name in ("stg_trip_delay_events", "stg_cascade_flags", "int_route_delay_hourly",
+                 "mart_route_reliability", "mart_delay_hotspots"):
+        a, b = (read_table(spark, f"{tmp_dir}/{x}/{name}") for x in ("two", "one"))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_score_metrics_brute_force(spark):
+    rows = [(0.9, 1.0), (0.9, 0.0), (0.5, 1.0), (0.4999, 0.0), (0.1, 1.0), (None, 0.0), (0.5001, 0.0), (0.5, 0.0)]
+    got = ml.score_metrics(spark.createDataFrame(rows, "s double, label double"), "s").first()
+    key = [(float("-inf") if s is None else s, y) for s, y in rows]
+    pairs = [(p, n) for p, a in key if a for n, b in key if not b]
+    assert abs(got.auc_roc - sum((p > n) + 0.5 * (p == n) for p, n in pairs) / len(pairs)) < 1e-12
+    assert got.precision_at_50 == 2 / 5 and got.recall_at_50 == 2 / 3
+    none = ml.score_metrics(spark.createDataFrame([], "s double, label double"), "s")
+    assert none.first().auc_roc is None and not ml.model_gate(none).first().promote
 
 
 def test_last_write_and_freshness(spark, tmp_dir):
@@ -92,6 +207,8 @@ def test_stream_scoring_and_dedupe(spark, tmp_dir):
     q.awaitTermination()
     pred = spark.read.parquet(f"{tmp_dir}/pred")
     assert "prediction" in pred.columns
+    assert dict(pred.dtypes)["probability"] == "array<double>"
+    assert pred.filter(F.abs(F.col("probability")[0] + F.col("probability")[1] - 1) > 1e-9).count() == 0
     # With duplicates dropped, every emitted window equals its batch twin.
     cols = td.columns
     assert pred.select(*cols).exceptAll(td).count() == 0
