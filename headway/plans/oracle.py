@@ -183,99 +183,110 @@ stgc AS (
 )"""
 
 
-HOURLY_CTE = f"""
-trip_hourly AS (
-    SELECT route_id, agency, event_date, hour_of_day, is_rush_hour,
-           count(*) AS total_trips,
-           CAST(sum(CASE WHEN is_severe THEN 1 ELSE 0 END) AS BIGINT) AS severe_trips,
-           CAST(sum(CASE WHEN is_moderate THEN 1 ELSE 0 END) AS BIGINT) AS moderate_trips,
-           CAST(sum(CASE WHEN is_on_time THEN 1 ELSE 0 END) AS BIGINT) AS on_time_trips,
-           avg(max_arrival_delay_sec) AS avg_delay_sec,
-           CAST(quantile_cont(max_arrival_delay_sec, 0.5) AS DOUBLE) AS p50_delay_sec,
-           CAST(quantile_cont(max_arrival_delay_sec, 0.95) AS DOUBLE) AS p95_delay_sec,
-           max(max_arrival_delay_sec) AS max_delay_sec
-    FROM stg
-    GROUP BY route_id, agency, event_date, hour_of_day, is_rush_hour
-),
-cascade_hourly AS (
-    SELECT route_id, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,
-           max(CAST(is_cascade AS INTEGER)) AS had_cascade,
-           max(cascade_score) AS max_cascade_score,
-           CAST(sum(CAST(is_cascade AS INTEGER)) AS BIGINT) AS cascade_count
-    FROM stgc
-    GROUP BY 1, 2, 3
+def hourly_cte(by_agency: bool = False) -> str:
+    """One sorted list of delays per route, agency and hour; every measure is read
+    off the list, and the cascades of the hour are looked up per row."""
+    same = "c.route_id = h.route_id AND date_trunc('hour', c.window_start) = h.hour_start"
+    if by_agency:
+        same += " AND c.agency = h.agency"
+    hour = "date_part('hour', hour_start)"
+    return f"""
+per_hour AS (
+    SELECT route_id, agency, date_trunc('hour', window_start) AS hour_start,
+           list({'CAST(max_arrival_delay_sec AS BIGINT)'} ORDER BY max_arrival_delay_sec) AS v,
+           count(DISTINCT trip_id) AS distinct_trips
+    FROM stg GROUP BY ALL
 ),
 hourly AS (
-    SELECT t.*,
-           COALESCE(c.had_cascade, 0) AS had_cascade,
-           COALESCE(c.max_cascade_score, 0) AS max_cascade_score,
-           COALESCE(c.cascade_count, 0) AS cascade_count,
-           {round_dec(safe_ratio('severe_trips', 'total_trips'), 4)} AS severe_pct,
-           {round_dec(safe_ratio('on_time_trips', 'total_trips'), 4)} AS on_time_pct
-    FROM trip_hourly t
-    LEFT JOIN cascade_hourly c
-      ON t.route_id = c.route_id AND t.event_date = c.event_date
-     AND t.hour_of_day = c.hour_of_day
+    SELECT route_id, agency, CAST(hour_start AS DATE) AS event_date, CAST({hour} AS INTEGER) AS hour_of_day,
+           {hour} IN (7, 8, 9, 16, 17, 18, 19) AS is_rush_hour,
+           len(v) AS total_trips,
+           len(list_filter(v, lambda x: x >= 300)) AS severe_trips,
+           len(list_filter(v, lambda x: x >= 60 AND x < 300)) AS moderate_trips,
+           len(list_filter(v, lambda x: x <= 0)) AS on_time_trips,
+           CAST(list_sum(v) AS DOUBLE) / len(v) AS avg_delay_sec,
+           {quantile('v', 0.5)} AS p50_delay_sec, {quantile('v', 0.95)} AS p95_delay_sec,
+           CAST(v[-1] AS INTEGER) AS max_delay_sec,{'distinct_trips,' if by_agency else ''}
+           (SELECT CAST(count(*) FILTER (is_cascade) > 0 AS INTEGER) FROM cascade c WHERE {same}) AS had_cascade,
+           coalesce((SELECT max(cascade_score) FROM cascade c WHERE {same}), 0) AS max_cascade_score,
+           (SELECT count(*) FILTER (is_cascade) FROM cascade c WHERE {same}) AS cascade_count,
+           {round_dec('len(list_filter(v, lambda x: x >= 300)) / CAST(len(v) AS DOUBLE)', 4)} AS severe_pct,
+           {round_dec('len(list_filter(v, lambda x: x <= 0)) / CAST(len(v) AS DOUBLE)', 4)} AS on_time_pct
+    FROM per_hour h
 )"""
 
-MART_CTE = f"""
+
+def mart_cte(calendar: bool = False) -> str:
+    """Days as lists of their hours; the rolling week as a self-join: of the
+    seven latest rows of the route, or (``calendar``) of the seven latest dates
+    of the route and agency."""
+    week = ("b.agency = a.agency AND date_diff('day', b.event_date, a.event_date) BETWEEN 0 AND 6"
+            if calendar else "b.place BETWEEN a.place - 6 AND a.place")
+    pct = "100 * CAST({} AS DOUBLE) / nullif({}, 0)"
+    return f"""
+days AS (
+    SELECT route_id, agency, event_date, list(h) AS hs,
+           row_number() OVER (PARTITION BY route_id ORDER BY event_date, agency) AS place
+    FROM hourly h GROUP BY route_id, agency, event_date
+),
 daily AS (
-    SELECT route_id, agency, event_date,
-           CAST(sum(total_trips) AS BIGINT) AS daily_trips,
-           CAST(sum(severe_trips) AS BIGINT) AS daily_severe,
-           CAST(sum(on_time_trips) AS BIGINT) AS daily_on_time,
-           avg(avg_delay_sec) AS daily_avg_delay_sec,
-           max(max_delay_sec) AS daily_max_delay_sec,
-           CAST(quantile_cont(p95_delay_sec, 0.5) AS DOUBLE) AS typical_p95_delay_sec,
-           max(CAST(had_cascade AS INTEGER)) AS had_cascade_event,
-           CAST(sum(cascade_count) AS BIGINT) AS total_cascade_windows,
-           CAST(sum(CASE WHEN is_rush_hour THEN severe_trips ELSE 0 END) AS BIGINT)
-               AS rush_hour_severe,
-           CAST(sum(CASE WHEN is_rush_hour THEN total_trips ELSE 0 END) AS BIGINT)
-               AS rush_hour_trips
-    FROM hourly
-    GROUP BY route_id, agency, event_date
+    SELECT route_id, agency, event_date, place,
+           CAST(list_sum(list_transform(hs, lambda h: h.total_trips)) AS BIGINT) AS daily_trips,
+           CAST(list_sum(list_transform(hs, lambda h: h.on_time_trips)) AS BIGINT) AS daily_on_time,
+           CAST(list_sum(list_transform(hs, lambda h: h.severe_trips)) AS BIGINT) AS daily_severe,
+           list_sum(list_transform(hs, lambda h: h.avg_delay_sec)) / len(hs) AS daily_avg_delay_sec,
+           list_max(list_transform(hs, lambda h: h.max_delay_sec)) AS daily_max_delay_sec,
+           list_sort(list_transform(hs, lambda h: h.p95_delay_sec)) AS p95s,
+           list_max(list_transform(hs, lambda h: h.had_cascade)) AS had_cascade_event,
+           CAST(list_sum(list_transform(hs, lambda h: h.cascade_count)) AS BIGINT) AS total_cascade_windows,
+           CAST(coalesce(list_sum(list_transform(list_filter(hs, lambda h: h.is_rush_hour), lambda h: h.severe_trips)), 0)
+                AS BIGINT) AS rush_hour_severe,
+           CAST(coalesce(list_sum(list_transform(list_filter(hs, lambda h: h.is_rush_hour), lambda h: h.total_trips)), 0)
+                AS BIGINT) AS rush_hour_trips
+    FROM days
 ),
-rolling AS (
-    SELECT *,
-           {round_dec("avg(" + round_dec(safe_ratio('daily_on_time', 'daily_trips') + ' * 100', 1)
-                      + ") OVER w", 1)} AS rolling_7d_on_time_pct,
-           {round_dec('avg(daily_avg_delay_sec) OVER w', 1)} AS rolling_7d_avg_delay_sec,
-           CAST(sum(had_cascade_event) OVER w AS BIGINT) AS rolling_7d_cascade_count
+shares AS (
+    SELECT *, {round_dec(pct.format('daily_on_time', 'daily_trips'), 1)} AS on_time_pct,
+           {round_dec(pct.format('daily_severe', 'daily_trips'), 1)} AS severe_pct,
+           {round_dec(pct.format('rush_hour_severe', 'rush_hour_trips'), 1)} AS rush_hour_severe_pct,
+           {quantile('p95s', 0.5)} AS typical_p95_delay_sec
     FROM daily
-    WINDOW w AS (PARTITION BY route_id ORDER BY event_date, agency
-                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
+),
+weeks AS (
+    SELECT a.route_id, a.agency, a.event_date,
+           {round_dec('sum(b.on_time_pct) / count(b.on_time_pct)', 1)} AS rolling_7d_on_time_pct,
+           {round_dec('sum(b.daily_avg_delay_sec) / count(*)', 1)} AS rolling_7d_avg_delay_sec,
+           CAST(sum(b.had_cascade_event) AS BIGINT) AS rolling_7d_cascade_count
+    FROM shares a JOIN shares b ON b.route_id = a.route_id AND {week}
+    GROUP BY ALL
+),
+scored AS (
+    SELECT *, {round_dec('rolling_7d_on_time_pct - 5 * rolling_7d_cascade_count - rolling_7d_avg_delay_sec / 60', 1)}
+               AS raw_score
+    FROM shares JOIN weeks USING (route_id, agency, event_date)
 ),
 mart AS (
-    SELECT route_id, agency, event_date, daily_trips, daily_on_time, daily_severe,
-           {round_dec(safe_ratio('daily_on_time', 'daily_trips') + ' * 100', 1)} AS on_time_pct,
-           {round_dec(safe_ratio('daily_severe', 'daily_trips') + ' * 100', 1)} AS severe_pct,
-           daily_avg_delay_sec, daily_max_delay_sec, typical_p95_delay_sec,
-           had_cascade_event, total_cascade_windows, rush_hour_severe, rush_hour_trips,
-           {round_dec(safe_ratio('rush_hour_severe', 'rush_hour_trips') + ' * 100', 1)}
-               AS rush_hour_severe_pct,
+    SELECT route_id, agency, event_date, daily_trips, daily_on_time, daily_severe, on_time_pct, severe_pct,
+           daily_avg_delay_sec, daily_max_delay_sec, typical_p95_delay_sec, had_cascade_event,
+           total_cascade_windows, rush_hour_severe, rush_hour_trips, rush_hour_severe_pct,
            rolling_7d_on_time_pct, rolling_7d_avg_delay_sec, rolling_7d_cascade_count,
-           greatest(0.0, least(100.0, {round_dec(
-               'rolling_7d_on_time_pct - rolling_7d_cascade_count * 5 '
-               '- rolling_7d_avg_delay_sec / 60', 1)})) AS reliability_score
-    FROM rolling
+           CASE WHEN raw_score < 0 THEN 0.0 WHEN raw_score > 100 OR raw_score IS NULL THEN 100.0
+                ELSE raw_score END AS reliability_score
+    FROM scored
 )"""
 
 
-def hotspot_select(src: str, join_on: str, where: str, delay: str, severe: str) -> str:
-    avg = f"avg(e.{delay})"
+def hotspot_select(events: str, match: str, delay: str) -> str:
+    """Hotspots from the list of each stop's recent delays."""
+    mean = "CAST(list_sum(v) AS DOUBLE) / len(v)"
     return f"""
-    SELECT s.stop_id, s.stop_name, s.latitude, s.longitude, s.route_id,
-           count(*) AS delay_events,
-           {avg} AS avg_delay_sec,
-           max(e.{delay}) AS max_delay_sec,
-           CAST(sum({severe}) AS BIGINT) AS severe_events,
-           {round_dec(avg + ' / 60', 1)} AS avg_delay_min,
-           {round_dec('ln(1 + count(*)) * ' + avg + ' / 60', 2)} AS hotspot_score
-    FROM {src} e JOIN stops s ON {join_on}
-    WHERE {where}
-    GROUP BY 1, 2, 3, 4, 5
-    HAVING count(*) >= 5"""
+    SELECT stop_id, stop_name, latitude, longitude, route_id, len(v) AS delay_events, {mean} AS avg_delay_sec,
+           list_max(v) AS max_delay_sec, len(list_filter(v, lambda x: x >= 300)) AS severe_events,
+           {round_dec(mean + ' / 60', 1)} AS avg_delay_min,
+           {round_dec('ln(1 + len(v)) * (' + mean + ') / 60', 2)} AS hotspot_score
+    FROM (SELECT s.*, (SELECT list(e.{delay}) FROM {events} e WHERE {match}) AS v
+          FROM (SELECT DISTINCT * FROM stops) s)
+    WHERE len(v) >= 5"""
 
 
 def with_(*ctes: str) -> str:
@@ -416,40 +427,14 @@ SELECT 'events_per_min', {round_dec(f'count(*) / {float(minutes)}', 9)}
 FROM tu WHERE event_ts >= {since}"""
 
 
-def by_agency(hourly_cte: str) -> str:
-    """Hourly rollup joining cascade activity per agency, with distinct trips."""
-    out = hourly_cte.replace(
-        "SELECT route_id, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,",
-        "SELECT route_id, agency, event_date, CAST(hour(window_start) AS INTEGER) AS hour_of_day,")
-    out = out.replace("    FROM stgc\n    GROUP BY 1, 2, 3", "    FROM stgc\n    GROUP BY 1, 2, 3, 4")
-    out = out.replace("AND t.hour_of_day = c.hour_of_day",
-                      "AND t.hour_of_day = c.hour_of_day AND t.agency = c.agency")
-    out = out.replace("max(max_arrival_delay_sec) AS max_delay_sec\n",
-                      "max(max_arrival_delay_sec) AS max_delay_sec,\n"
-                      "           count(DISTINCT trip_id) AS distinct_trips\n")
-    return out
-
-
-def range_frame(mart_cte: str) -> str:
-    """Mart with a 7-calendar-day RANGE frame partitioned by route and agency."""
-    out = mart_cte.replace(
-        "WINDOW w AS (PARTITION BY route_id ORDER BY event_date, agency\n"
-        "                 ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)",
-        "WINDOW w AS (PARTITION BY route_id, agency\n"
-        "                 ORDER BY date_diff('day', DATE '1970-01-01', event_date)\n"
-        "                 RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)")
-    assert out != mart_cte
-    return out
-
-
 def r9(c: str) -> str:
     return f"{round_dec(c, 9)} AS {c}"
 
 
 def all_sql() -> dict[str, str]:
     stg_full = with_(*BASE, stg_ctes())
-    hourly = with_(*BASE, stg_ctes(), HOURLY_CTE)
-    mart = with_(*BASE, stg_ctes(), HOURLY_CTE, MART_CTE)
+    hourly = with_(*BASE, stg_ctes(), hourly_cte())
+    mart = with_(*BASE, stg_ctes(), hourly_cte(), mart_cte())
     recent = "DATE '2024-01-31' - 7"
     return {
         "trip_delay": q_trip_delay(),
@@ -505,12 +490,12 @@ SELECT route_id, agency,
        max(window_start) AS window_start
 FROM cascade
 GROUP BY route_id, agency""",
-        "route_delay_hourly_by_agency": with_(*BASE, stg_ctes(), by_agency(HOURLY_CTE)) + f"""
+        "route_delay_hourly_by_agency": with_(*BASE, stg_ctes(), hourly_cte(by_agency=True)) + f"""
 SELECT * EXCLUDE (avg_delay_sec, p50_delay_sec, p95_delay_sec),
        {r9('avg_delay_sec')}, {r9('p50_delay_sec')}, {r9('p95_delay_sec')}
 FROM hourly""",
         "route_reliability_by_agency_range": with_(
-            *BASE, stg_ctes(), by_agency(HOURLY_CTE), range_frame(MART_CTE)) + f"""
+            *BASE, stg_ctes(), hourly_cte(by_agency=True), mart_cte(calendar=True)) + f"""
 SELECT * EXCLUDE (daily_avg_delay_sec, typical_p95_delay_sec, reliability_score),
        {r9('daily_avg_delay_sec')}, {r9('typical_p95_delay_sec')},
        CASE WHEN rolling_7d_on_time_pct IS NULL OR rolling_7d_cascade_count IS NULL
@@ -672,13 +657,9 @@ m AS (SELECT CAST(s - p * (p + 1) / 2.0 AS DOUBLE) / nullif(CAST(p AS DOUBLE) *
 SELECT *, coalesce(auc_roc >= 0.78, false) AS auc_ok, coalesce(precision_at_50 >= 0.7, false) AS precision_ok,
        coalesce(auc_roc >= 0.78 AND precision_at_50 >= 0.7, false) AS promote FROM m""",
         "hotspots_like": with_(*BASE, stg_ctes()) + hotspot_select(
-            "stg", "e.trip_id LIKE '%' || s.stop_id || '%'",
-            f"e.event_date >= {recent}", "max_arrival_delay_sec",
-            "CAST(e.is_severe AS INTEGER)"),
+            "stg", f"e.trip_id LIKE '%' || s.stop_id || '%' AND e.event_date >= {recent}",
+            "max_arrival_delay_sec"),
         "hotspots_by_stop": with_(ADAPTER) + hotspot_select(
-            "stu", "e.stop_id = s.stop_id AND e.route_id = s.route_id",
-            f"CAST(e.event_ts AS DATE) >= {recent} "
-            "AND e.arrival_delay_sec BETWEEN -120 AND 7200",
-            "arrival_delay_sec",
-            "CASE WHEN e.arrival_delay_sec >= 300 THEN 1 ELSE 0 END"),
+            "stu", f"e.stop_id = s.stop_id AND e.route_id = s.route_id AND CAST(e.event_ts AS DATE) >= {recent} "
+            "AND e.arrival_delay_sec BETWEEN -120 AND 7200", "arrival_delay_sec"),
     }
