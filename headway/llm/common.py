@@ -3,38 +3,21 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.session import staging_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session has none, a scratch folder is taken on a ``local[...]``
-    master only (one machine, as in tests); a cluster without the setting
-    raises, since executors would write to their own disks.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="headway-shared-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
-
-
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/headway-llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that driver and executors share (it expires)."""
+    return staging_folder(spark, f"llm-{name}")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -79,8 +79,8 @@ def leaf_budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[s
     return leaves.join(out.withColumnRenamed("parent_budget", "budget"), levels)
 
 
-def _hash(seed: int, epoch: Column) -> Column:
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.col("_id")).cast("binary"))
+def _hash(seed: int, epoch: Column, ident: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), ident).cast("binary"))
 
 
 def plan(rows: DataFrame, levels: list[str], weights: dict[str, dict[str, int]],
@@ -94,7 +94,7 @@ def plan(rows: DataFrame, levels: list[str], weights: dict[str, dict[str, int]],
         *levels, F.expr("case when supply > 0 then budget div supply else 0 end").alias("passes"),
         F.expr("case when supply > 0 then budget % supply else 0 end").alias("rest")), "mix-budgets")
     hashed = (rows.join(budgets, levels)
-              .withColumn("h", _hash(seed, F.col("passes")))
+              .withColumn("h", _hash(seed, F.col("passes"), F.col("_id")))
               .withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
               .select(*levels, "passes", "rest", "bucket", "h", "tokens"))
     sums = hashed.groupBy(*levels, "passes", "rest", "bucket").agg(F.sum("tokens").alias("t"))
@@ -122,22 +122,27 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget: Callable[[i
     epochs take the row); ``keep`` names the columns to carry (default: all)."""
     levels = list(levels)
     keep = [c for c in (keep or docs.columns) if c not in ("tokens", "copies")]
-    tag = [F.coalesce(F.col(c).cast("string"), F.lit(NULL)).alias(f"_{c}") for c in levels]
-    ident = F.coalesce(F.col(key).cast("string"), F.md5(utf8(text).cast("binary"))).alias("_id")
-    count = tokens(text)
-    names = [f"_{c}" for c in levels]
-    narrow = staged(docs.select(*tag, ident, count.alias("tokens")), "mix-sizes")
-    plain = narrow.select(*[F.col(n).alias(c) for n, c in zip(names, levels)], "_id", "tokens")
+    # Own columns beside the caller's: no name of theirs can clash.
+    names = [f"_mix_{c}" for c in levels]
+    tag = [F.coalesce(F.col(c).cast("string"), F.lit(NULL)).alias(n) for n, c in zip(names, levels)]
+    ident = F.coalesce(F.col(key).cast("string"), F.md5(utf8(text).cast("binary"))).alias("_mix_id")
+    count = tokens(text).alias("_mix_tokens")
+    narrow = staged(docs.select(*tag, ident, count), "mix-sizes")
+    plain = narrow.select(*[F.col(n).alias(c) for n, c in zip(names, levels)],
+                          F.col("_mix_id").alias("_id"), F.col("_mix_tokens").alias("tokens"))
     leaf = plan(plain, levels, weights, budget, max_epochs, seed)
-    leaf = leaf.select(*[F.col(c).alias(n) for n, c in zip(names, levels)], "passes", "end", "last")
-    wide = docs.select(*[F.col(c) for c in keep], *tag, ident, count.alias("tokens"))
+    leaf = leaf.select(*[F.col(c).alias(n) for n, c in zip(names, levels)],
+                       *[F.col(c).alias(f"_mix_{c}") for c in ("passes", "end", "last")])
+    wide = docs.select(*keep, *tag, ident, count)
     # The plan is a stored table of one row per leaf: the planner broadcasts it
     # where its size allows, and splits hot leaves where it doesn't.
-    taken = wide.join(leaf, names).withColumn("h", _hash(seed, F.col("passes")))
-    once = (F.col("end").isNotNull() & (
-        (F.substring("h", 1, BUCKET_DIGITS) < F.col("end"))
-        | ((F.substring("h", 1, BUCKET_DIGITS) == F.col("end"))
-           & F.coalesce(F.col("h") <= F.col("last"), F.lit(False)))))
-    copies = (F.col("passes") + once.cast("long")).cast("long")
+    taken = wide.join(leaf, names).withColumn(
+        "_mix_h", _hash(seed, F.col("_mix_passes"), F.col("_mix_id")))
+    bucket = F.substring("_mix_h", 1, BUCKET_DIGITS)
+    once = F.col("_mix_end").isNotNull() & (
+        (bucket < F.col("_mix_end"))
+        | ((bucket == F.col("_mix_end"))
+           & F.coalesce(F.col("_mix_h") <= F.col("_mix_last"), F.lit(False))))
+    copies = (F.col("_mix_passes") + once.cast("long")).cast("long")
     return (taken.withColumn("copies", copies).where(F.col("copies") > 0)
-            .select(*keep, "tokens", "copies"))
+            .select(*keep, F.col("_mix_tokens").alias("tokens"), "copies"))

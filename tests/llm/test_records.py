@@ -144,6 +144,7 @@ def test_mixing_odd_rows(odd_docs, no_docs):
     docs = odd_docs.withColumn("domain", F.lit(None).cast("string"))
     got = mixing.mix(docs, {"lang": {"en": 3}}, lambda t: 2 * t, max_epochs=3)
     assert set(got.columns) == set(docs.columns) and got.count() > 0
+    assert {(r.h, r.k, r.id) for r in got.collect()} == {("h", "k", "id")}
     every = mixing.mix(docs, {}, lambda t: t, max_epochs=1)
     assert every.where("copies <> 1").count() == 0
     words = docs.select(mixing.tokens("text").alias("n")).agg(F.sum("n")).first()[0]
