@@ -31,7 +31,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import fresh_folder, utf8
+from headway.llm.common import fresh_folder, staged, utf8
 
 INDEX = ("key bigint, url string, record_type string, refers_to bigint, payload_digest string, "
          "payload_bytes bigint, file string, `offset` bigint, length bigint")
@@ -103,7 +103,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
                         utf8(payload).alias("payload"))
     rows = rows.withColumn("sha1", F.unhex(F.sha1(F.col("payload").cast("binary"))))
     narrow = rows.select("key", "sha1", F.octet_length("payload").alias("size"))
-    first = narrow.groupBy("sha1").agg(F.min("key").alias("first"))
+    first = staged(narrow.groupBy("sha1").agg(F.min("key").alias("first")), "warc-first")
     # One small row per (key, payload), so that the wide rows are dealt by key:
     # a payload that fills a third of all rows lands nowhere as a group.
     roles = (narrow.distinct().join(first, "sha1")
