@@ -154,7 +154,10 @@ def scan(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text",
     """Bring the ledger up to date with ``docs`` and return (path, blob, found)
     for every row of ``docs``; ``found`` is empty where nothing is."""
     paths = update(docs, ledger, key, text, rules)
-    return (paths.join(findings(docs.sparkSession, ledger, rules), "blob", "left")
+    # Stored before the join: the paths of a blob with very many copies can then
+    # be split among tasks (an aggregate beside them would hold them together).
+    found = staged(findings(docs.sparkSession, ledger, rules), "secret-findings")
+    return (paths.join(found, "blob", "left")
             .select("path", "blob", F.coalesce("found", F.array().cast(FOUND)).alias("found")))
 
 
