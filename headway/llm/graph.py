@@ -40,5 +40,5 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         later = joined.select(F.col("id").alias("to"), F.col("to").alias("last"))
         joined = step.join(later, "to", "left").select("id", F.coalesce("last", "to").alias("to"))
     joined = staged(joined, name)
-    smallest = joined.groupBy("to").agg(F.min("id").alias("least"))
+    smallest = staged(joined.groupBy("to").agg(F.min("id").alias("least")), name)
     return joined.join(smallest, "to").select("id", F.least("least", "to").alias("root"))

@@ -17,7 +17,8 @@ confirmed on full sets in two steps that never list the pairs of a group:
 2. keys whose members lie in several components: all members outside the first
    one's component against all members, in blocks of bounded size, inside
    which intersections are counted by matrix products; only links between
-   components leave a block.
+   components leave a block.  Members of whose shingles too many (for 80 %, over
+   a fifth) occur in no other such text are left out: they have no link.
 
 So every pair that meets is either tested or already connected.
 
@@ -30,7 +31,6 @@ linked with nothing.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,13 +107,22 @@ def _similar_size(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def block_links(frame: pd.DataFrame, percent: int, columns: int = 4096) -> set[tuple[int, int]]:
-    """Linked pairs of components (a smaller than b) between the block's sides."""
-    left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-    if not len(left) or not len(right):
-        return set()
-    size = [np.array([len(x) for x in side["hashes"]]) for side in (left, right)]
-    flat = [np.concatenate(list(side["hashes"])) for side in (left, right)]
+def block_links(left: list[tuple], right: list[tuple], percent: int,
+                columns: int = 4096) -> set[tuple[int, int]]:
+    """Linked pairs of components (a smaller than b) between a block's sides,
+    lists of (component, sorted set)."""
+    if len(left) * len(right) <= 64:
+        found = set()
+        for c, x in left:
+            for d, y in right:
+                if c != d and min(len(x), len(y)) * 100 >= max(len(x), len(y)) * percent:
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * shared >= percent * (len(x) + len(y) - shared):
+                        found.add((min(c, d), max(c, d)))
+        return found
+    sides = [[x for _, x in side] for side in (left, right)]
+    size = [np.array([len(x) for x in side]) for side in sides]
+    flat = [np.concatenate(side) for side in sides]
     owner = [np.repeat(np.arange(len(s)), s) for s in size]
     common = np.intersect1d(flat[0], flat[1])
     both = np.zeros((len(left), len(right)), np.float32)
@@ -128,17 +137,23 @@ def block_links(frame: pd.DataFrame, percent: int, columns: int = 4096) -> set[t
         part = []
         for k in (0, 1):
             i, j = np.searchsorted(place[k], [low, low + columns])
-            m = np.zeros((len(size[k]), columns), np.float32)
+            m = np.zeros((len(size[k]), min(columns, len(common) - low)), np.float32)
             m[owner[k][i:j], place[k][i:j] - low] = 1
             part.append(m)
         both += part[0] @ part[1].T
     shared = np.rint(both).astype(np.int64)
     union = size[0][:, None] + size[1][None, :] - shared
-    c = [side["comp"].to_numpy(np.int64) for side in (left, right)]
+    c = [np.array([x for x, _ in side]) for side in (left, right)]
     x, y = np.nonzero((100 * shared >= percent * union) & (c[0][:, None] != c[1][None, :]))
     return {(min(a, b), max(a, b)) for a, b in zip(c[0][x].tolist(), c[1][y].tolist())}
 
 
+def pairs_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    rows = sorted(pairs)
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in rows], pa.int64()) for k in (0, 1)],
+                                      names=["a", "b"])
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
                     percent: int = 80, block: int = 256) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row: components of the
@@ -188,15 +203,28 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     placed = (members.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
               .select("tag", "part", "rep", "first", comp))
     own = F.max(F.when(F.col("rep") == F.col("first"), F.col("comp"))).alias("main")
-    mixed = (placed.groupBy("tag", "part")
-             .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), own).where("low <> high")
-             .select("tag", "part", "main"))
+    # Aggregates are stored before they are joined back: with a plain shuffle on
+    # both sides, the rows of a key that very many documents share are split.
+    mixed = staged(placed.groupBy("tag", "part")
+                   .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), own)
+                   .where("low <> high").select("tag", "part", "main"), "minhash-several")
     placed = staged(placed.join(mixed, ["tag", "part"])
                     .select("tag", "part", "rep", "comp", (F.col("comp") != F.col("main")).alias("other")),
                     "minhash-mixed")
-    sizes = placed.groupBy("tag", "part").agg(
+    # A text can't be linked with anything if more of it than a link may miss
+    # occurs in no other text here: what it shares is at most the rest.
+    alone = (full.join(placed.select(F.col("rep").alias("id")).distinct(), "id")
+             .select("id", F.explode("hashes").alias("x"))
+             .groupBy(F.col("x").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("x"))
+             .agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id")).where("c = 1")
+             .groupBy("id").agg(F.count(F.lit(1)).alias("own")))
+    able = staged(full.select("id", F.size("hashes").alias("n")).join(alone, "id", "left")
+                  .where((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
+                  .select(F.col("id").alias("rep")).distinct(), "minhash-able")
+    placed = staged(placed.join(able, "rep"), "minhash-open")
+    sizes = staged(placed.groupBy("tag", "part").agg(
         F.ceil(F.sum(F.col("other").cast("int")) / block).cast("int").alias("rows"),
-        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cols"))
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cols")), "minhash-sizes")
     placed = placed.join(sizes, ["tag", "part"])
     row = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")).cast("int")
     col = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("cols")).cast("int")
@@ -208,11 +236,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), col.alias("j"))
     dealt = left.unionByName(right).join(full.withColumnRenamed("id", "rep"), "rep")
 
-    def links(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(sorted(block_links(frame, percent)), columns=["a", "b"], dtype="int64")
+    block_of = ["tag", "part", "i", "j"]
 
-    across = (dealt.groupBy("tag", "part", "i", "j").applyInPandas(links, "a bigint, b bigint")
-              .distinct())
+    def links(batches):
+        """Blocks come one after the other, sorted; most are a few rows."""
+        held, sides = None, ([], [])
+        for b in batches:
+            places = list(zip(*(b.column(k).to_pylist() for k in range(4))))
+            side, comps = b.column(4).to_pylist(), b.column(5).to_pylist()
+            data, offsets = b.column(6).values.to_numpy(), b.column(6).offsets.to_numpy()
+            out = set()
+            for k, place in enumerate(places):
+                if place != held:
+                    out |= block_links(*sides, percent)
+                    held, sides = place, ([], [])
+                sides[side[k]].append((comps[k], data[offsets[k]:offsets[k + 1]].copy()))
+            yield pairs_batch(out)
+        yield pairs_batch(block_links(*sides, percent))
+
+    across = (dealt.select(*block_of, "side", "comp", "hashes").repartition(*block_of)
+              .sortWithinPartitions(*block_of).mapInArrow(links, "a bigint, b bigint").distinct())
     merged = components(across, "minhash-step2")
 
     final = (joined.join(merged.select(F.col("id").alias("root"), F.col("root").alias("top")), "root", "left")
