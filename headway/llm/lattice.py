@@ -25,7 +25,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -100,23 +99,22 @@ def _met(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b[:, :1]).any(1) | (b == a[:, :1]).any(1)
 
 
-def block_links(frame: pd.DataFrame, table: int, cell: int, threshold: float, shape: tuple) -> pd.DataFrame:
+def block_links(left: list[tuple], right: list[tuple], table: int, cell: int, threshold: float,
+                shape: tuple) -> list[tuple[int, int, int]]:
     """(id, n, root) of one block: links first found in this cell, by vector and
-    weighted by the classes' sizes, and the smallest id connected here."""
-    left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-    empty = pd.DataFrame({"id": [], "n": [], "root": []}, dtype="int64")
-    if not len(left) or not len(right):
-        return empty
-    ids = [s["id"].to_numpy(np.int64) for s in (left, right)]
-    size = [s["size"].to_numpy(np.int64) for s in (left, right)]
-    vec = [np.stack(list(s["vec"])) for s in (left, right)]
-    cells = [np.stack(list(s["cells"])).reshape(-1, *shape) for s in (left, right)]
-    x, y = np.nonzero(vec[0] @ vec[1].T >= threshold)
-    resident = cells[0][:, table, 0] == cell
-    differ = ids[0][x] != ids[1][y]
-    x, y = x[differ], y[differ]
+    weighted by the classes' sizes, and the smallest id connected here.  The
+    sides are lists of (id, size, unit vector, cells)."""
+    if not left or not right:
+        return []
+    near = np.stack([r[2] for r in left]) @ np.stack([r[2] for r in right]).T >= threshold
+    if not near.any():
+        return []
+    ids = [np.array([r[0] for r in side]) for side in (left, right)]
+    x, y = np.nonzero(near & (ids[0][:, None] != ids[1][None, :]))
     if not len(x):
-        return empty
+        return []
+    cells = [np.stack([r[3] for r in side]).reshape(-1, *shape) for side in (left, right)]
+    resident = cells[0][:, table, 0] == cell
     new = np.ones(len(x), bool)
     for t in range(table):
         new &= ~_met(cells[0][x, t], cells[1][y, t])
@@ -124,14 +122,13 @@ def block_links(frame: pd.DataFrame, table: int, cell: int, threshold: float, sh
     home = cells[0][x, table, 0]
     mutual = ~resident[x] & (cells[1][y, table] == home[:, None]).any(1)
     new &= ~(mutual & (home < cell))
-    count: dict[int, int] = {}
-    for i, j in zip(x[new].tolist(), y[new].tolist()):
-        a, b = int(ids[0][i]), int(ids[1][j])
-        count[a] = count.get(a, 0) + int(size[1][j])
-        if not resident[i]:  # of two residents, each is once on the left
-            count[b] = count.get(b, 0) + int(size[0][i])
+    size = [np.array([r[1] for r in side]) for side in (left, right)]
     names, place = np.unique(np.concatenate((ids[0][x], ids[1][y])), return_inverse=True)
     p, q = place[:len(x)], place[len(x):]
+    count = np.zeros(len(names), np.int64)
+    np.add.at(count, p[new], size[1][y[new]])
+    once = new & ~resident[x]  # of two residents, each is once on the left
+    np.add.at(count, q[once], size[0][x[once]])
     label = np.arange(len(names))
     while True:
         low = label.copy()
@@ -142,8 +139,12 @@ def block_links(frame: pd.DataFrame, table: int, cell: int, threshold: float, sh
         if (low == label).all():
             break
         label = low
-    return pd.DataFrame({"id": names, "n": [count.get(int(k), 0) for k in names],
-                         "root": names[label]}).astype("int64")
+    return list(zip(names.tolist(), count.tolist(), names[label].tolist()))
+
+
+def links_batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)],
+                                      names=["id", "n", "root"])
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
@@ -194,11 +195,14 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     filed = (found.select("id", "dim", F.posexplode("cells").alias("at", "cell"))
              .select("id", "dim", "cell", F.floor(F.col("at") / shape[1]).cast("int").alias("t"),
                      (F.col("at") % shape[1] == 0).cast("int").alias("home")))
-    full = (filed.groupBy("t", "dim", "cell")
-            .agg(F.sum("home").alias("residents"), F.count(F.lit(1)).alias("members"))
-            .where("residents > 0 and members > 1")
-            .select("t", "dim", "cell", F.ceil(F.col("residents") / block).cast("int").alias("cols"),
-                    F.ceil(F.col("members") / block).cast("int").alias("rows")))
+    # Stored before it is joined back, so that a cell with very many vectors is
+    # split among tasks.
+    full = staged(
+        filed.groupBy("t", "dim", "cell")
+        .agg(F.sum("home").alias("residents"), F.count(F.lit(1)).alias("members"))
+        .where("residents > 0 and members > 1")
+        .select("t", "dim", "cell", F.ceil(F.col("residents") / block).cast("int").alias("cols"),
+                F.ceil(F.col("members") / block).cast("int").alias("rows")), "lattice-full")
     placed = staged(filed.join(full, ["t", "dim", "cell"]), "lattice-members")
     row = F.pmod(F.xxhash64("id", F.lit(1)), F.col("rows")).cast("int")
     col = F.pmod(F.xxhash64("id", F.lit(2)), F.col("cols")).cast("int")
@@ -210,10 +214,27 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
         F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), col.alias("j"))
     dealt = left.unionByName(right).join(found.drop("dim"), "id")
 
-    def links(name, frame: pd.DataFrame) -> pd.DataFrame:
-        return block_links(frame, int(name[0]), int(name[2]), threshold, shape)
-
-    counted = staged(dealt.groupBy(*where).applyInPandas(links, "id bigint, n bigint, root bigint"),
+    def links(batches):
+        """Blocks come one after the other, sorted; most are a few rows."""
+        held, sides = None, ([], [])
+        for b in batches:
+            places = list(zip(*(b.column(k).to_pylist() for k in range(5))))
+            side, ids, sizes = (b.column(k).to_pylist() for k in (5, 6, 7))
+            lists = [(b.column(k).values.to_numpy(), b.column(k).offsets.to_numpy()) for k in (8, 9)]
+            out = []
+            for k, place in enumerate(places):
+                if place != held:
+                    if held is not None:
+                        out += block_links(*sides, held[0], held[2], threshold, shape)
+                    held, sides = place, ([], [])
+                vec, cell = (data[at[k]:at[k + 1]].copy() for data, at in lists)
+                sides[side[k]].append((ids[k], sizes[k], vec, cell))
+            yield links_batch(out)
+        if held is not None:
+            yield links_batch(block_links(*sides, held[0], held[2], threshold, shape))
+
+    counted = staged(dealt.select(*where, "side", "id", "size", "vec", "cells").repartition(*where)
+                     .sortWithinPartitions(*where).mapInArrow(links, "id bigint, n bigint, root bigint"),
                      "lattice-links")
     degree = counted.groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(counted.select(F.col("id").alias("a"), F.col("root").alias("b")).distinct(),
