@@ -7,8 +7,11 @@ from a surge point (the window sum jumps to ``surge`` or more) to the next
 dive point (the sum falls to zero) is kept, and with it the short runs that lie
 in the same element (a removed zone inside the text parts it).  Zones that markup itself names as
 boilerplate (navigation, page headers and footers, asides, forms, adverts,
-notices, comments, scripts, styles) count as removed, and where a page marks
-its article (``article`` or ``main``), the whole of that element is one run.
+notices, comments, scripts, styles) count as removed.  Where a page marks its
+article (``article`` or ``main``), runs end at the element's borders, link text
+in it counts like other text and its runs weigh ``surge`` times as much, so that
+all of it is kept; runs outside are kept where they surge by themselves.  Lines
+of links alone between two kept lines stay.
 
 Null and empty pages give an empty text.  Where nothing surges, the run with
 the highest window sum that isn't all links is kept, so that short pages keep
@@ -46,7 +49,7 @@ CONTAINERS = LANDMARKS | frozenset(
     "div section ul ol dl table form dialog menu p span td tr tbody li blockquote figure h1 h2 h3 "
     "details fieldset".split())
 #: Elements whose children belong together.
-HOLDERS = frozenset("body div section td blockquote ul ol table".split())
+HOLDERS = frozenset("article main body div section td blockquote ul ol table".split())
 
 _RAW = re.compile(rf"<({RAW.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
@@ -106,13 +109,13 @@ def _zones(tags: list[tuple]) -> tuple[list[tuple[int, int]], list[tuple[int, in
 
 
 def _lines(page: str, window: int) -> list[list]:
-    """[text pieces, link-free length, in an article, innermost holder] per line;
-    blank lines stand for block boundaries and removed zones."""
+    """[text pieces, counted length, number of its article or 0, innermost holder] per
+    line; blank lines stand for block boundaries and removed zones."""
     page = _RAW.sub(" ", _COMMENT.sub("", page))
     tags = [(m[1] == "/", m[2].lower(), m[3], m.start(), m.end()) for m in _TAG.finditer(page)]
     zones, articles = _zones(tags)
-    lines: list[list] = [[[], 0, False, -1]]
-    blank = [[], 0, False, -1]
+    lines: list[list] = [[[], 0, 0, -1]]
+    blank = [[], 0, 0, -1]
     holders: list[tuple[str, int]] = []
     z = a = 0
     at, links, skipping = 0, 0, -1
@@ -124,9 +127,10 @@ def _lines(page: str, window: int) -> list[list]:
             piece = page[at:start]
             line = lines[-1]
             line[0].append(piece)
-            if not links:
+            mark = a + 1 if a < len(articles) and articles[a][0] < i else 0
+            if mark or not links:
                 line[1] += len(piece.strip())
-            line[2] = line[2] or (a < len(articles) and articles[a][0] < i)
+            line[2] = line[2] or mark
             if piece.strip():
                 line[3] = holders[-1][1] if holders else -1
         at = stop
@@ -135,7 +139,7 @@ def _lines(page: str, window: int) -> list[list]:
         if 0 <= skipping <= i:
             closes = end
             skipping = -1
-            lines += [blank] * window + [[[], 0, False, -1]]
+            lines += [blank] * window + [[[], 0, 0, -1]]
             if closes:
                 continue
         if skipping < 0 and z < len(zones) and zones[z][0] == i:
@@ -158,7 +162,7 @@ def _lines(page: str, window: int) -> list[list]:
         elif tag in BLOCKS:
             links = 0
             if lines[-1][0]:
-                lines += [blank, [[], 0, False, -1]]
+                lines += [blank, [[], 0, 0, -1]]
     return lines
 
 
@@ -168,26 +172,37 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
         return ""
     lines = _lines(page, window)
     texts = [" ".join(_html.unescape("".join(x[0])).split()) if x[0] else "" for x in lines]
-    if any(x[2] and t for x, t in zip(lines, texts)):
-        return "\n".join(t for x, t in zip(lines, texts) if x[2] and t)
     size = [x[1] if t else 0 for x, t in zip(lines, texts)]
+    n = len(size)
+    border = [n] * n  # the next line of another article, or outside of it
+    after = n
+    for k in range(n - 1, -1, -1):
+        if size[k]:
+            border[k] = (n if after == n else
+                         border[after] if lines[after][2] == lines[k][2] else after)
+            after = k
     runs = []
-    i, n = 0, len(size)
+    i = 0
     while i < n:
         if not size[i]:
             i += 1
             continue
-        j, peak = i, 0
-        while j < n and (block := sum(size[j:j + window])) > 0:  # the dive point ends the run
+        j, peak, edge = i, 0, border[i]
+        while j < edge and (block := sum(size[j:min(j + window, edge)])) > 0:  # the dive point ends the run
             peak = max(peak, block)
             j += 1
-        runs.append((peak, i, j))
+        runs.append((peak * max(1, surge) if lines[i][2] else peak, i, j))
         i = j
     kept = {r for r in runs if r[0] >= surge} or set(
         [max(runs, key=lambda r: (r[0], -r[1]))] if runs else ())
     within = {lines[k][3] for _, i, j in kept for k in range(i, j) if texts[k]}
-    return "\n".join(t for peak, i, j in runs for k, t in enumerate(texts[i:j], i)
-                     if t and ((peak, i, j) in kept or lines[k][3] in within))
+    chosen = [k for r in runs for k in range(r[1], r[2])
+              if texts[k] and (r in kept or lines[k][3] in within)]
+    if not chosen:
+        return ""
+    stay = set(chosen)
+    return "\n".join(texts[k] for k in range(chosen[0], chosen[-1] + 1)
+                     if k in stay or texts[k] and not size[k])
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",

@@ -209,3 +209,34 @@ def test_html_on_the_tables(spark):
         inner = re.search(r"<article>(.*?)(</article>|$)", src[r.page_id], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n".join(x for x in blocks if x)
+
+
+def article_blocks(page):
+    import html
+
+    inner = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
+    blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inner)]
+    return "\n".join(x for x in blocks if x)
+
+
+def test_html_on_the_tables_without_articles(spark):
+    """The same pages with a plain div: windows and runs alone find the same blocks."""
+    for r in table(spark, SF_CHECK, "pages").collect():
+        page = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert htmltext.main_text(page) == article_blocks(r.html), r.page_id
+
+
+LONG = "A sentence of the main text that goes on for long enough to be a surge on any page at all."
+
+
+def test_html_text_outside_articles():
+    teaser = f"<article><h2><a href=/t>Teaser</a></h2></article><div><p>{LONG}</p><p>{LONG} 2</p></div>"
+    assert htmltext.main_text(teaser) == f"Teaser\n{LONG}\n{LONG} 2"
+    parts = f"<p>Tagline</p><article><p>One</p></article><div><p>{LONG}</p></div><article><p>Two</p></article>"
+    assert htmltext.main_text(parts) == f"One\n{LONG}\nTwo"
+
+
+def test_html_links_between_kept_lines():
+    links = "<ul><li><a href=/1>See one</a></li><li><a href=/2>See two</a></li></ul>"
+    page = f"<ul><li><a href=/>Top</a></li></ul><div><p>{LONG}</p>{links}<p>{LONG} 2</p></div><div><a href=/>End</a></div>"
+    assert htmltext.main_text(page) == f"{LONG}\nSee one\nSee two\n{LONG} 2"
