@@ -28,8 +28,11 @@ from bisect import bisect_right
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Elements whose content is never text of a page.
-RAW = "script style noscript template svg iframe object canvas math select textarea button title"
+#: Elements whose content is never text of a page: those without markup inside
+#: (up to the first close tag), and those with elements inside.
+RAW = "script style iframe textarea title"
+HIDDEN = frozenset("noscript template svg object canvas math select button".split())
+FOREIGN = frozenset("svg math".split())
 #: Elements that are boilerplate as a whole.
 ZONES = frozenset("nav header footer aside form dialog menu figure-ad".split())
 #: Words in class, id or role that name boilerplate.
@@ -51,13 +54,114 @@ CONTAINERS = LANDMARKS | frozenset(
 #: Elements whose children belong together.
 HOLDERS = frozenset("article main body div section td blockquote ul ol table".split())
 
-_RAW = re.compile(rf"<({RAW.replace(' ', '|')})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>", re.S)
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*+"|'[^']*+'|[^'"<>])*+)>""")
+#: Elements that are followed from their open to their close tag.
+TREE = (BLOCKS | CONTAINERS | HIDDEN) - {"body", "html", "head"}
+NOT_INLINE = (BLOCKS | HIDDEN) - {"p"}
+#: What a close tag of a block within doesn't end.
+CELLS = frozenset("td th caption object template button".split())
+PARTS = frozenset("table caption tbody thead tfoot tr td th".split())
+_TABLE = frozenset(("table",))
+_LISTS = frozenset("ul ol menu dir dl table select article main section nav aside header footer".split())
+SIBLINGS = ({"li": (("li",), _LISTS), "option": (("option",), _LISTS), "tr": (("tr",), _TABLE)}
+            | dict.fromkeys(("dt", "dd"), (("dt", "dd"), _LISTS))
+            | dict.fromkeys(("td", "th"), (("td", "th"), _TABLE | {"tr"}))
+            | dict.fromkeys(("tbody", "thead", "tfoot"), (("tbody", "thead", "tfoot"), _TABLE)))
+
+#: Comment, CDATA, declaration, tag: in one scan, so that none starts within another.
+_TOKEN = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|(<!\[CDATA\[)|<[!?][^>]*>"""
+    r"""|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*+"|'[^']*+'|[^'"<>])*+)>""", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW.split()}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
+def _scan(page: str) -> list[tuple]:
+    """(is a close tag, name, attributes, start, end) of all tags in order.  A comment is
+    named "!" and a left-out element "#".  As in browsers, an unclosed comment, script
+    or style has the rest of the page; another unclosed element has only its tag."""
+    tags, at, depth, missing = [], 0, 0, set()
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        if m[1]:
+            stop = -1 if "cdata" in missing else page.find("]]>", at)
+            if stop < 0:
+                missing.add("cdata")
+                at = max(at, page.find(">", at) + 1)
+            else:
+                at = stop + 3
+        if not m[3]:
+            tags.append((False, "!", "", m.start(), at))
+            continue
+        end, tag, attrs = m[2] == "/", m[3].lower(), m[4]
+        closed = attrs.endswith("/")
+        if tag in FOREIGN:
+            if end or not closed:
+                depth = max(0, depth + (-1 if end else 1))
+            else:
+                tag = "#"
+        elif tag in _RAW_END and not end:
+            found = None
+            if not (closed and depth) and tag not in missing:
+                found = _RAW_END[tag].search(page, at)
+                if not found:
+                    missing.add(tag)
+            if found:
+                at = found.end()
+            elif tag in ("script", "style") and not closed:
+                at = len(page)
+            tag = "#"
+        tags.append((end, tag, attrs, m.start(), at))
+    ends = _ends(tags) if any(t[1] in HIDDEN for t in tags) else {}
+    out, skip = [], -1
+    for i, t in enumerate(tags):
+        if i > skip:
+            if t[1] in HIDDEN and not t[0] and ends.get(i, (0, False))[1]:
+                skip = ends[i][0]
+                t = (False, "#", "", t[3], tags[skip][4])
+            out.append(t)
+    return out
+
+
+def _ends(tags: list[tuple]) -> dict[int, tuple[int, bool]]:
+    """Per open tag: (index of the tag that ends its element, whether it's its own close
+    tag).  A p ends at the next block, list items and table parts at the next of their kind
+    in the same list or table, and everything open in an element ends with it."""
+    ends: dict[int, tuple[int, bool]] = {}
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def cut(depth: int, k: int, own: bool) -> None:
+        while len(open_) > depth:
+            name, i = open_.pop()
+            count[name] -= 1
+            ends[i] = (k, own and len(open_) == depth)
+
+    def find(names, borders) -> int:
+        if any(count.get(x) for x in names):
+            for d in range(len(open_) - 1, -1, -1):
+                if open_[d][0] in names:
+                    return d
+                if open_[d][0] in borders:
+                    break
+        return -1
+
+    for k, (end, tag, _, _, _) in enumerate(tags):
+        if tag not in TREE:
+            continue
+        if not end:
+            if tag in BLOCKS and (d := find(("p",), NOT_INLINE)) >= 0:
+                cut(d, k, False)
+            if tag in SIBLINGS and (d := find(*SIBLINGS[tag])) >= 0:
+                cut(d, k, False)
+            if tag != "hr":
+                open_.append((tag, k))
+                count[tag] = count.get(tag, 0) + 1
+        elif (d := find((tag,), NOT_INLINE if tag == "span" else _TABLE if tag in PARTS else CELLS)) >= 0:
+            cut(d, k, True)
+    return ends
+
+
 def _named_zone(tag: str, attrs: str, inside: bool) -> bool:
     if tag in ("body", "html", "article", "main") or not attrs:
         return False
@@ -111,8 +215,7 @@ def _zones(tags: list[tuple]) -> tuple[list[tuple[int, int]], list[tuple[int, in
 def _lines(page: str, window: int) -> list[list]:
     """[text pieces, counted length, number of its article or 0, innermost holder] per
     line; blank lines stand for block boundaries and removed zones."""
-    page = _RAW.sub(" ", _COMMENT.sub("", page))
-    tags = [(m[1] == "/", m[2].lower(), m[3], m.start(), m.end()) for m in _TAG.finditer(page)]
+    tags = _scan(page)
     zones, articles = _zones(tags)
     lines: list[list] = [[[], 0, 0, -1]]
     blank = [[], 0, 0, -1]
@@ -157,7 +260,7 @@ def _lines(page: str, window: int) -> list[list]:
                     del holders[open_at:]
         if tag == "a":
             links = 0 if end else 1
-        elif tag == "br":
+        elif tag in ("br", "#"):
             lines[-1][0].append(" ")
         elif tag in BLOCKS:
             links = 0

@@ -240,3 +240,29 @@ def test_html_links_between_kept_lines():
     links = "<ul><li><a href=/1>See one</a></li><li><a href=/2>See two</a></li></ul>"
     page = f"<ul><li><a href=/>Top</a></li></ul><div><p>{LONG}</p>{links}<p>{LONG} 2</p></div><div><a href=/>End</a></div>"
     assert htmltext.main_text(page) == f"{LONG}\nSee one\nSee two\n{LONG} 2"
+
+
+@pytest.mark.parametrize("page", [
+    "<script>if(a<!b){x()}</script><article><p>Whole</p></article><p>a</p><script>y</script>",
+    "<script>var s='<!--';</script><article><p>Whole</p></article>",
+    "<svg-icon></svg-icon><object-x></object-x><title-bar></title-bar><article><p>Whole</p></article>",
+    "<svg class=i viewBox='0 0 1 1'/><math/><article><p>Whole</p></article>",
+    "<svg><style/><title>t</title><path/></svg><article><p>Whole</p></article>",
+    "<svg><path><button><article><p>Whole</p></article>",
+    "<svg><svg>a</svg>b</svg><iframe src=x><title><article><p>Whole</p></article>",
+    "<SCRIPT>a='</scripty>'</SCRIPT\n><!--><!-- x --!><![CDATA[><article><p>Whole</p></article>",
+    "<table><tr><td><noscript><div>no</noscript><object><p>no<div></object></table><article><p>Whole</p></article>",
+    "<a title='<!-- x'></a><article><p>Whole</p></article><template><article>no</article></template>",
+])
+def test_html_scripts_comments_raw_elements(page):
+    assert "Whole" in htmltext.main_text(page).split("\n")
+    assert not {"no", "b", "x", "t"} & set(re.findall(r"\w+", htmltext.main_text(page)))
+
+
+def test_html_adversarial_pages_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for bit in ("<![CDATA[", "<script/><title>", "<div><p>", "</p></div>", "<svg>", "<li><b>", "<!-", "<p class=ad>"):
+        htmltext.main_text(bit * 20_000)
+    assert time.perf_counter() - start < 20
