@@ -7,7 +7,9 @@ from a surge point (the window sum jumps to ``surge`` or more) to the next
 dive point (the sum falls to zero) is kept, and with it the short runs that lie
 in the same element (a removed zone inside the text parts it).  Zones that markup itself names as
 boilerplate (navigation, page headers and footers, asides, forms, adverts,
-notices, comments, scripts, styles) count as removed.  Where a page marks its
+notices, comments, scripts, styles) count as removed; a form, an unclosed element
+or one that only its class, id or role names is no zone where it holds an article,
+or the page's highest window sum and the bulk of its text.  Where a page marks its
 article (``article`` or ``main``), runs end at the element's borders, link text
 in it counts like other text and its runs weigh ``surge`` times as much, so that
 all of it is kept; runs outside are kept where they surge by themselves.  Lines
@@ -23,7 +25,8 @@ from __future__ import annotations
 
 import html as _html
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +46,8 @@ ZONE_WORDS = frozenset(
     "respond share sharing social related recommended breadcrumb breadcrumbs pagination pager "
     "subscribe subscription newsletter signup login widget search searchbox toolbar skip "
     "contentinfo complementary form".split())
+#: First words of class names that say something about a page and name no zone.
+STATES = frozenset("has have no not non with without is are show hide hidden enable enabled disable disabled".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol "
@@ -72,7 +77,7 @@ _TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))|(<!\[CDATA\[)|<[!?][^>]*>"""
     r"""|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*+"|'[^']*+'|[^'"<>])*+)>""", re.S)
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW.split()}
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -162,110 +167,165 @@ def _ends(tags: list[tuple]) -> dict[int, tuple[int, bool]]:
     return ends
 
 
+def _words_of(token: str) -> set[str]:
+    """Boilerplate words that one class, id or role is named by: the whole of it, its
+    first word, or its last; none where the first word says a state (``has-sidebar``)."""
+    words = _WORD.findall(token.split("--")[0])
+    if not words or words[0] in STATES:
+        return set()
+    return {token, words[0], words[-1]} & ZONE_WORDS
+
+
 def _named_zone(tag: str, attrs: str, inside: bool) -> bool:
     if tag in ("body", "html", "article", "main") or not attrs:
         return False
     for value in _NAMED.findall(attrs):
         for token in value.strip("\"'").lower().split():
-            words = _WORD.findall(token)
-            hits = ZONE_WORDS.intersection(words)
+            hits = _words_of(token)
             if hits and not (inside and hits <= {"header", "banner"}):
                 return True
     return False
 
 
-def _zones(tags: list[tuple]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Index ranges of tags: (boilerplate zones, article elements)."""
-    close: dict[int, int] = {}
-    open_at: dict[str, list[int]] = {}
-    for i, (end, tag, _, _, _) in enumerate(tags):
-        if tag in CONTAINERS:
-            if not end:
-                open_at.setdefault(tag, []).append(i)
-            elif open_at.get(tag):
-                close[open_at[tag].pop()] = i
-    marks = [i for i, t in enumerate(tags) if not t[0] and t[1] in LANDMARKS]
-    n = len(tags)
+def _zones(tags: list[tuple]) -> tuple[list[tuple], list[tuple], list[tuple]]:
+    """(sure zones, doubtful zones, outermost article elements), each a range of tags:
+    (the first, the one that ends it, whether that is its own close tag).
 
-    def until(i: int) -> int:
-        if i in close:
-            return close[i]
-        later = bisect_right(marks, i)
-        return marks[later] if later < len(marks) else n
-
-    articles, covered = [], -1
-    for i, (end, tag, _, _, _) in enumerate(tags):
-        if not end and tag in ("article", "main") and i > covered:
-            covered = close.get(i, n)
-            articles.append((i, covered))
-    zones, skip, a = [], -1, 0
+    Sure are closed elements of ``ZONES`` other than forms.  No zone holds an article,
+    but a sure one beside an article outside all of them.  An element that nothing
+    closes ends as a zone at the next landmark."""
+    ends, n = _ends(tags), len(tags)
+    marks = [i for i, t in enumerate(tags) if not t[0] and t[1] in LANDMARKS]
+    articles, sure, doubtful, covered = [], [], [], -1
     for i, (end, tag, attrs, _, _) in enumerate(tags):
-        if end or i <= skip:
+        if end or tag not in CONTAINERS and tag not in ZONES:
             continue
-        while a < len(articles) and articles[a][1] < i:
-            a += 1
-        inside = a < len(articles) and articles[a][0] < i
-        if (tag in ZONES and not (inside and tag == "header")) or (
-                tag in CONTAINERS and _named_zone(tag, attrs, inside)):
-            skip = until(i)
-            zones.append((i, skip))
-    return zones, articles
-
-
-def _lines(page: str, window: int) -> list[list]:
-    """[text pieces, counted length, number of its article or 0, innermost holder] per
-    line; blank lines stand for block boundaries and removed zones."""
-    tags = _scan(page)
-    zones, articles = _zones(tags)
-    lines: list[list] = [[[], 0, 0, -1]]
-    blank = [[], 0, 0, -1]
+        stop, own = ends.get(i, (n, False))
+        inside = i < covered
+        if tag in ("article", "main"):
+            if not inside:
+                covered = stop
+                articles.append((i, stop, own))
+            continue
+        by_tag = tag in ZONES and not (inside and tag == "header")
+        if not (by_tag or _named_zone(tag, attrs, inside)):
+            continue
+        if not own and (later := bisect_right(marks, i)) < len(marks):
+            stop = min(stop, marks[later])
+        (sure if by_tag and own and tag != "form" else doubtful).append((i, stop, own))
+    starts = [a[0] for a in articles]
+
+    def holds(zone: tuple) -> bool:
+        return bisect_left(starts, zone[0]) < bisect_left(starts, zone[1])
+
+    if articles and sum(bisect_left(starts, z[1]) - bisect_left(starts, z[0])
+                        for z in _outermost(sure)) == len(articles):
+        sure = [z for z in sure if not holds(z)]
+    return sure, [z for z in doubtful if not holds(z)], articles
+
+
+def _outermost(zones: list[tuple]) -> list[tuple]:
+    out: list[tuple] = []
+    for zone in sorted(zones):
+        if not out or zone[0] >= out[-1][1]:
+            out.append(zone)
+    return out
+
+
+def _removed(page: str, tags: list[tuple], window: int, surge: int) -> tuple[list[tuple], list[tuple]]:
+    """(zones to remove, article elements).  A doubtful zone is none where it holds the
+    page's highest window sum and, beside it, more text than is left or twice the highest
+    sum that is left; a closed one that isn't a form only if that sum surges."""
+    sure, doubtful, articles = _zones(tags)
+    if not doubtful:
+        return _outermost(sure), articles
+    lines = _lines(page, tags, _outermost(sure), articles, window)
+    size = [x[1] * max(1, surge) if x[2] else x[1] for x in lines]
+    sums = [sum(size[j:j + window]) for j in range(len(size))]
+    best = max(range(len(sums)), key=sums.__getitem__)
+    at = lines[max(range(best, min(best + window, len(size))), key=size.__getitem__)][4]
+    around = [z for z in doubtful if z[0] <= at < z[1]]
+    if not (sums[best] and around):
+        return _outermost(sure + doubtful), articles
+    others = _outermost([z for z in doubtful if not z[0] <= at < z[1]])
+    where = [k for k, x in enumerate(lines) if x[4] >= 0]
+    place = [lines[k][4] for k in where]
+    o = 0
+    for k in where:  # what stays a zone isn't left
+        while o < len(others) and others[o][1] <= lines[k][4]:
+            o += 1
+        if o < len(others) and others[o][0] <= lines[k][4]:
+            size[k] = 0
+    left = [sum(size[j:j + window]) for j in range(len(size))]
+    upto = list(accumulate(size, initial=0))
+    before = list(accumulate(left, max, initial=0))
+    after = list(accumulate(reversed(left), max, initial=0))[::-1]
+    void = set()
+    for z in around:
+        lo, hi = where[bisect_left(place, z[0])], where[bisect_left(place, z[1]) - 1] + 1
+        inside = upto[hi] - upto[lo]
+        rest = max(before[max(0, lo - window + 1)], after[hi])
+        if (inside > upto[-1] - inside or sums[best] >= 2 * rest) and (
+                sums[best] >= surge or not z[2] or tags[z[0]][1] == "form"):
+            void.add(z)
+    return _outermost(sure + [z for z in doubtful if z not in void]), articles
+
+
+def _lines(page: str, tags: list[tuple], zones: list[tuple], articles: list[tuple],
+           window: int) -> list[list]:
+    """[text pieces, counted length, number of its article or 0, innermost holder, tag
+    before its longest piece] per line; blank lines stand for block boundaries and
+    removed zones."""
+    blank = [[], 0, 0, -1, -1]
+    lines: list[list] = [[[], 0, 0, -1, -1]]
     holders: list[tuple[str, int]] = []
-    z = a = 0
-    at, links, skipping = 0, 0, -1
-    for i in range(len(tags) + 1):
-        end, tag, _, start, stop = tags[i] if i < len(tags) else (False, "", "", len(page), 0)
-        while a < len(articles) and articles[a][1] < i:
-            a += 1
-        if skipping < 0 and at < start:
-            piece = page[at:start]
+    z = a = links = longest = 0
+    skip = None
+    n = len(tags)
+    for i in range(-1, n):
+        end, tag, _, _, at = tags[i] if i >= 0 else (False, "", "", 0, 0)
+        own = False
+        if skip is not None:
+            if i < skip[1]:
+                continue
+            own, skip = skip[2], None
+            lines += [blank] * window + [[[], 0, 0, -1, -1]]
+        if z < len(zones) and zones[z][0] == i:
+            skip = zones[z]
+            z += 1
+            continue
+        if not own:
+            if tag in HOLDERS:
+                if not end:
+                    holders.append((tag, i))
+                else:
+                    open_at = next((k for k in range(len(holders) - 1, -1, -1) if holders[k][0] == tag), None)
+                    if open_at is not None:
+                        del holders[open_at:]
+            if tag == "a":
+                links = 0 if end else 1
+            elif tag in ("br", "#"):
+                lines[-1][0].append(" ")
+            elif tag in BLOCKS:
+                links = 0
+                if lines[-1][0]:
+                    lines += [blank, [[], 0, 0, -1, -1]]
+        stop = tags[i + 1][3] if i + 1 < n else len(page)
+        if at < stop:
+            while a < len(articles) and articles[a][1] <= i:
+                a += 1
+            piece = page[at:stop]
             line = lines[-1]
+            mark = a + 1 if a < len(articles) and articles[a][0] <= i else 0
+            size = len(piece.strip())
             line[0].append(piece)
-            mark = a + 1 if a < len(articles) and articles[a][0] < i else 0
             if mark or not links:
-                line[1] += len(piece.strip())
+                line[1] += size
             line[2] = line[2] or mark
-            if piece.strip():
+            if size:
                 line[3] = holders[-1][1] if holders else -1
-        at = stop
-        if i == len(tags):
-            break
-        if 0 <= skipping <= i:
-            closes = end
-            skipping = -1
-            lines += [blank] * window + [[[], 0, 0, -1]]
-            if closes:
-                continue
-        if skipping < 0 and z < len(zones) and zones[z][0] == i:
-            skipping = zones[z][1]
-            z += 1
-            continue
-        if skipping >= 0:
-            continue
-        if tag in HOLDERS:
-            if not end:
-                holders.append((tag, i))
-            else:
-                open_at = next((k for k in range(len(holders) - 1, -1, -1) if holders[k][0] == tag), None)
-                if open_at is not None:
-                    del holders[open_at:]
-        if tag == "a":
-            links = 0 if end else 1
-        elif tag in ("br", "#"):
-            lines[-1][0].append(" ")
-        elif tag in BLOCKS:
-            links = 0
-            if lines[-1][0]:
-                lines += [blank, [[], 0, 0, -1]]
+                if line[4] < 0 or size > longest:
+                    line[4], longest = i, size
     return lines
 
 
@@ -273,7 +333,8 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
     """The main text of one page; blocks joined by one newline."""
     if not page:
         return ""
-    lines = _lines(page, window)
+    tags = _scan(page)
+    lines = _lines(page, tags, *_removed(page, tags, window, surge), window)
     texts = [" ".join(_html.unescape("".join(x[0])).split()) if x[0] else "" for x in lines]
     size = [x[1] if t else 0 for x, t in zip(lines, texts)]
     n = len(size)

@@ -263,6 +263,37 @@ def test_html_adversarial_pages_take_linear_time():
     import time
 
     start = time.perf_counter()
-    for bit in ("<![CDATA[", "<script/><title>", "<div><p>", "</p></div>", "<svg>", "<li><b>", "<!-", "<p class=ad>"):
+    for bit in ("<![CDATA[", "<script/><title>", "<div><p>", "</p></div>", "<svg>", "<li><b>", "<!-", "<p class=ad>", "<div class=ad>x"):
         htmltext.main_text(bit * 20_000)
     assert time.perf_counter() - start < 20
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='has-sidebar'", "div class=no-comments", "div class=with-header", "div class='search-page'",
+    "div id=widget", "div data-id=footer", "form id=aspnetForm", "section class='page-header--open'", "td class=nav-open"])
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_html_wrappers_are_no_zones(wrapper, inner):
+    main = f"<{inner}><p>{LONG}</p><p>{LONG} 2</p></{inner}>"
+    page = f"<div class=ad>Buy this</div><{wrapper}>{main}<div class='sidebar-left'>Side</div></{wrapper.split()[0]}><footer>f</footer>"
+    assert htmltext.main_text(page) == f"{LONG}\n{LONG} 2"
+
+
+def test_html_named_zones_still_go():
+    for name in ("ad", "ad-box", "cookie-notice", "site-footer", "main-nav", "page__sidebar--left", "comments_list"):
+        page = f"<div class='{name}'><p>{LONG[:85]}</p></div><div><p>{LONG}</p><p>{LONG} 2</p></div>"
+        assert htmltext.main_text(page) == f"{LONG}\n{LONG} 2", name
+    teaser = "<article><p>Related</p></article>"
+    page = f"<main><article><p>{LONG}</p></article><div class=comments>{teaser}</div></main><aside>{teaser}</aside>"
+    assert htmltext.main_text(page) == LONG
+
+
+def test_html_unclosed_zones_end_with_their_element():
+    rest = f"<p>{LONG}</p><p>{LONG} 2</p>"
+    want = f"{LONG}\n{LONG} 2"
+    assert htmltext.main_text(f"<article><p class=notice>a{rest}</article>") == want
+    assert htmltext.main_text(f"<article><ul><li class=share>a<li class=ad>b</ul>{rest}</article>") == want
+    assert htmltext.main_text(f"<div><div><p class=notice>a</div>{rest}</div>") == want
+    assert htmltext.main_text(f"<nav><a href=/>Home</a><article>{rest}</article>") == want
+    assert htmltext.main_text(f"<article><p class=ad>a<p>{LONG}</p><p>{LONG} 2</article><footer>f</footer>") == want
+    assert htmltext.main_text(f"<table><tr><td class=nav>a<td>{rest}</table>") == want
+    assert htmltext.main_text(f"<aside><article>{rest}</article></aside>") == want
