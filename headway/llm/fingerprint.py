@@ -8,10 +8,12 @@ without reading the others.  The vector has two bands:
 * ``identity``: 16 lanes modulo 2**64, the output of SHAKE-128 over the
   paragraph.  Equal multisets have equal sums; others agree with a chance of
   2**-1024.
-* ``sketch``: 256 lanes modulo 2**16.  Every run of three words in the paragraph
-  (in a paragraph of under 64 bytes: every run of four bytes) adds +1 or -1 to
-  one lane (a count sketch), so that the inner product of two sketches
-  estimates how much the texts share.
+* ``sketch``: 256 lanes modulo 2**32, more than a text has bytes.  Every run of
+  three words in the paragraph adds +1 or -1 to one lane (a count sketch), so that
+  the inner product of two sketches estimates how much the texts share.  Runs of
+  four bytes count instead in a paragraph of under 64 bytes or under three words,
+  and in each word whose run of three (the paragraph's last one for its last two
+  words) is over 64 bytes long: scripts without spaces, long tokens.
 
 ``likeness`` is the Tanimoto coefficient of the sketches, cut to 0..1, and 1.0
 for equal fingerprints.  Null and empty texts have one empty paragraph.  Rows
@@ -44,15 +46,17 @@ class Fingerprint:
 
     def __init__(self):
         self.identity = np.zeros(IDENTITY_LANES, np.uint64)
-        self.sketch = np.zeros(SKETCH_LANES, np.uint16)
+        self.sketch = np.zeros(SKETCH_LANES, np.uint32)
 
     def _vectors(self, paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = b"".join(hashlib.shake_128(p.encode("utf-8", "surrogatepass"))
                        .digest(8 * IDENTITY_LANES) for p in paragraphs)
         identity = np.frombuffer(raw, "<u8").reshape(-1, IDENTITY_LANES)
-        h, _ = elements([p.encode("utf-8", "surrogatepass") for p in paragraphs],
-                        bytesops.Powers())
-        return identity.sum(0, dtype=np.uint64), sketch_of(h)
+        sketch = np.zeros(SKETCH_LANES, np.uint32)
+        for h, _ in elements([p.encode("utf-8", "surrogatepass") for p in paragraphs],
+                             bytesops.Powers()):
+            sketch += sketch_of(h)
+        return identity.sum(0, dtype=np.uint64), sketch
 
     def insert(self, *paragraphs: str) -> "Fingerprint":
         if paragraphs:
@@ -73,47 +77,73 @@ class Fingerprint:
 
 
 def pack(identity: np.ndarray, sketch: np.ndarray) -> str:
-    return identity.astype("<u8").tobytes().hex() + sketch.astype("<u2").tobytes().hex()
+    return identity.astype("<u8").tobytes().hex() + sketch.astype("<u4").tobytes().hex()
 
 
 def unpack(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
     raw = bytes.fromhex(fingerprint)
     cut = 8 * IDENTITY_LANES
-    return np.frombuffer(raw[:cut], "<u8"), np.frombuffer(raw[cut:], "<u2")
+    return np.frombuffer(raw[:cut], "<u8"), np.frombuffer(raw[cut:], "<u4")
 
 
 def sketch_of(hashes: np.ndarray) -> np.ndarray:
     lane = (hashes >> np.uint64(1)) % np.uint64(SKETCH_LANES)
     sign = 1.0 - 2.0 * (hashes & np.uint64(1)).astype(float)
     total = np.bincount(lane.astype(np.int64), sign, SKETCH_LANES)
-    return total.astype(np.int64).astype(np.uint16)
+    return total.astype(np.int64).astype(np.uint32)
 
 
 def likeness(a: str, b: str) -> float:
     """Estimated shared part of two fingerprinted texts, 0 to 1."""
     if a == b:
         return 1.0
-    x, y = (unpack(f)[1].astype(np.int16).astype(float) for f in (a, b))
+    x, y = (unpack(f)[1].astype(np.int32).astype(float) for f in (a, b))
     dot = float(x @ y)
     rest = float(x @ x) + float(y @ y) - dot
     return min(1.0, max(0.0, dot / rest)) if rest > 0 else 0.0
 
 
-def elements(paragraphs: list[bytes], powers: bytesops.Powers) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of what the sketch counts, index of each one's paragraph)."""
+def elements(paragraphs: list[bytes], powers: bytesops.Powers):
+    """Blocks of (hashes of what the sketch counts, index of each one's paragraph)."""
     data = np.frombuffer(b"".join(paragraphs), np.uint8)
     size = np.array([len(p) for p in paragraphs], np.int64)
     offsets = np.concatenate(([0], np.cumsum(size)))
-    words, many = bytesops.text_shingles(data, offsets, WORDS, powers)
+    starts, ends = bytesops.word_bounds(data, offsets)
+    # No run with a word of over SHORT_BYTES counts: a part of it is enough to read.
+    words = bytesops.span_hashes(data, starts, np.minimum(ends, starts + SHORT_BYTES + 1), powers)
+    first_word = np.searchsorted(starts, offsets)
+    count = np.diff(first_word)
+    hashes, many = bytesops.shingles(words, count, WORDS)
     at = np.repeat(np.arange(len(size)), many)
-    short = size < SHORT_BYTES
-    runs = np.where(short, np.maximum(size - RUN_BYTES + 1, np.minimum(size, 1)), 0)
-    owner = np.repeat(np.arange(len(size)), runs)
-    first = offsets[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
-    last = np.minimum(first + RUN_BYTES, offsets[owner + 1])
-    grams = bytesops.span_hashes(data, first, last, powers)
-    keep = ~short[at]
-    return np.concatenate((words[keep], grams)), np.concatenate((at[keep], owner))
+    wordy = (size >= SHORT_BYTES) & (count >= WORDS)
+    # Of each word in a wordy paragraph: the first word of its run.
+    owner = np.repeat(np.arange(len(size)), count)
+    which = np.flatnonzero(wordy[owner])
+    head = np.minimum(which, first_word[owner[which] + 1] - WORDS)
+    long = ends[head + WORDS - 1] - starts[head] > SHORT_BYTES
+    keep = wordy[at]
+    keep[keep] = ~long[head == which]
+    yield hashes[keep], at[keep]
+
+    # Stretches whose bytes start runs: whole paragraphs, words in runs that are too long.
+    whole = np.flatnonzero(~wordy)
+    which, to = which[long], owner[which[long]]
+    after = np.minimum(np.append(starts, len(data))[which + 1], offsets[to + 1])
+    begin = np.concatenate((offsets[whole], starts[which]))
+    runs = np.concatenate((np.maximum(size[whole] - RUN_BYTES + 1, np.minimum(size[whole], 1)),
+                           np.maximum(np.minimum(after, offsets[to + 1] - RUN_BYTES + 1) - starts[which], 0)))
+    to = np.concatenate((whole, to))
+    order = np.lexsort((runs, begin))
+    begin, runs, to = begin[order], runs[order], to[order]
+    upto = np.concatenate(([0], np.cumsum(runs)))
+    for i in range(0, int(upto[-1]), bytesops.BLOCK_BYTES):
+        j = min(i + bytesops.BLOCK_BYTES, int(upto[-1]))
+        low, high = np.searchsorted(upto, i, "right") - 1, np.searchsorted(upto, j)
+        part = np.minimum(upto[low + 1:high + 1], j) - np.maximum(upto[low:high], i)
+        first = np.repeat(begin[low:high] - upto[low:high], part) + np.arange(i, j)
+        own = np.repeat(to[low:high], part)
+        last = np.minimum(first + RUN_BYTES, offsets[own + 1])
+        yield bytesops.span_hashes(data, first, last, powers), own
 
 
 def fingerprints(texts: list[str], powers: bytesops.Powers) -> list[str]:
@@ -128,12 +158,12 @@ def fingerprints(texts: list[str], powers: bytesops.Powers) -> list[str]:
         firsts = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1])))
         identity[owners[firsts]] += np.add.reduceat(
             np.frombuffer(raw, "<u8").reshape(-1, IDENTITY_LANES), firsts, axis=0)
-        h, at = elements(paragraphs, powers)
-        lane = ((h >> np.uint64(1)) % np.uint64(SKETCH_LANES)).astype(np.int64)
-        sign = 1.0 - 2.0 * (h & np.uint64(1)).astype(float)
         low, high = owner[0], owner[-1] + 1
-        sketch[low * SKETCH_LANES:high * SKETCH_LANES] += np.bincount(
-            (owners[at] - low) * SKETCH_LANES + lane, sign, (high - low) * SKETCH_LANES)
+        for h, at in elements(paragraphs, powers):
+            lane = ((h >> np.uint64(1)) % np.uint64(SKETCH_LANES)).astype(np.int64)
+            sign = 1.0 - 2.0 * (h & np.uint64(1)).astype(float)
+            sketch[low * SKETCH_LANES:high * SKETCH_LANES] += np.bincount(
+                (owners[at] - low) * SKETCH_LANES + lane, sign, (high - low) * SKETCH_LANES)
 
     held: list[bytes] = []
     owner: list[int] = []
@@ -148,7 +178,7 @@ def fingerprints(texts: list[str], powers: bytesops.Powers) -> list[str]:
                 held, owner, size = [], [], 0
     if held:
         add(held, owner)
-    lanes = sketch.astype(np.int64).astype(np.uint16).reshape(n, SKETCH_LANES)
+    lanes = sketch.astype(np.int64).astype(np.uint32).reshape(n, SKETCH_LANES)
     return [pack(identity[i], lanes[i]) for i in range(n)]
 
 

@@ -1,7 +1,9 @@
 """Quality network, language network, fingerprints, packing."""
 
 import hashlib
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -203,6 +205,66 @@ def test_likeness_tells_edits_from_strangers(spark):
     assert got.near_edited.median() > 0.4 and got.near_next.median() < 0.1
 
 
+def plain_elements(text):
+    """What the sketch counts, one by one."""
+    for p in text.encode().split(b"\n"):
+        words = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t\v\f\r]+", p)]
+        n = len(words)
+        if len(p) < 64 or n < 3:
+            yield from (p[i:i + 4].lower() for i in range(max(len(p) - 3, min(len(p), 1))))
+            continue
+        for i, (start, _) in enumerate(words):
+            run = words[min(i, n - 3):min(i, n - 3) + 3]
+            if run[2][1] - run[0][0] > 64:
+                after = words[i + 1][0] if i + 1 < n else len(p)
+                yield from (p[k:k + 4].lower() for k in range(start, min(after, len(p) - 3)))
+            elif i <= n - 3:
+                yield tuple(p[a:b].lower() for a, b in run)
+
+
+def exact_likeness(a, b):
+    x, y = Counter(plain_elements(a)), Counter(plain_elements(b))
+    dot = sum(n * y[k] for k, n in x.items())
+    return dot / (sum(n * n for n in x.values()) + sum(n * n for n in y.values()) - dot)
+
+
+def hanzi(n, seed):
+    return "".join(map(chr, np.random.default_rng(seed).integers(0x4E00, 0x9000, n)))
+
+
+@pytest.mark.parametrize("text, other", [
+    ("to be or " * 40_000, "not now but " * 30_000),  # one run more often than 2**15 times
+    ("z" * 100_000, "y" * 100_000),
+    (hanzi(900, 1), hanzi(900, 2)),  # no space at all
+    (f"{hanzi(300, 3)} {hanzi(300, 4)}", hanzi(600, 5)),
+    (f"see also here: {hanzi(900, 6)} and so on", hanzi(900, 7)),  # words around a long one
+    (" ".join(hanzi(20, 10 + i) for i in range(40)), hanzi(820, 8)),
+])
+def test_likeness_of_repeats_and_of_texts_without_words(text, other):
+    cut = len(text) // 3
+    edited = text[:len(text) - cut] + other[:cut]
+    a, b, c = fingerprint.fingerprints([text, edited, other], bytesops.Powers())
+    assert fingerprint.likeness(a, b) == pytest.approx(exact_likeness(text, edited), abs=0.12)
+    assert fingerprint.likeness(a, b) > 0.35 and fingerprint.likeness(a, c) < 0.2
+    assert fingerprint.Fingerprint().insert(*text.split("\n")).hex() == a
+
+
+def test_sketch_elements_brute_force(monkeypatch):
+    rng = np.random.default_rng(0)
+    sizes = [1, 3, 8, 30, 63, 64, 65, 70, 200]
+    texts = ["", " ", " " * 70, "x", "xyz", "a b", "W" * 64, "  " + "ab " * 30 + " "]
+    texts += [" ".join("".join(rng.choice(list("abÄ"), rng.choice(sizes))) for _ in range(rng.integers(1, 9)))
+              for _ in range(200)]
+    for block in (7, 1 << 20):
+        monkeypatch.setattr(bytesops, "BLOCK_BYTES", block)
+        got = [[] for _ in texts]
+        for h, at in fingerprint.elements([t.encode() for t in texts], bytesops.Powers()):
+            for x, i in zip(h.tolist(), at.tolist()):
+                got[i].append(x)
+        for t, x in zip(texts, got):
+            assert sorted(Counter(x).values()) == sorted(Counter(plain_elements(t)).values()), t
+
+
 def test_differencing_is_a_partition():
     rng = np.random.default_rng(0)
     for n in (1, 2, 7, 300):
