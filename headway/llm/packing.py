@@ -193,10 +193,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
                    capacity: int = CAPACITY, group: int = 2048, **cut) -> DataFrame:
     """(key, start, length, ids_crc32, doc_tokens, sequence_id, offset) per piece;
     offsets in a sequence run without gaps from 0."""
-    pieces = staged(token_pieces(docs, tokenizer, key, text, capacity=capacity, **cut), "pieces")
-    rest = pieces.where(F.col("length") < capacity)
+    found = token_pieces(docs, tokenizer, key, text, capacity=capacity, **cut)
+    # The row number is stored before it deals: repeated rows spread over the groups too.
+    numbered = staged(found.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    pieces = numbered.drop("_row")
+    rest = numbered.where(F.col("length") < capacity)
     groups = max(1, -(-rest.count() // group))
-    bucket = F.pmod(F.xxhash64(key, "start", "ids_crc32", F.lit(17)), F.lit(groups))
+    bucket = F.pmod(F.xxhash64(key, "start", "ids_crc32", "_row", F.lit(17)), F.lit(groups))
     fields = pieces.schema
     span = 1 << 20  # more windows than any group has
 
@@ -216,7 +219,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: s
     # A task's work is in the merges, not in its bytes: the number of tasks is
     # given, so that small partitions aren't merged at run time.
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-groups // 8))
-    packed = (rest.withColumn("_group", bucket).repartition(tasks, "_group").groupBy("_group")
+    packed = (rest.withColumn("_group", bucket).drop("_row").repartition(tasks, "_group").groupBy("_group")
               .applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
                              + ", sequence_id bigint, `offset` bigint"))
     full = pieces.where(F.col("length") == capacity).select(

@@ -313,3 +313,13 @@ def test_packing_odd_rows(odd_docs, no_docs):
     got = packing.pack_documents(odd_docs, queries.tokenizer_path(), group=5).collect()
     check_packing(odd_docs.select("doc_id", "text").collect(), got)
     assert packing.pack_documents(no_docs, queries.tokenizer_path()).count() == 0
+
+
+def test_repeated_rows_spread_over_groups(spark):
+    docs = spark.range(4000, numPartitions=4).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("word "), "id")).otherwise("the same text").alias("text"))
+    got = packing.pack_documents(docs, queries.tokenizer_path(), group=200).toPandas()
+    assert len(got) == 4000 and got.doc_id.isna().sum() == 2000
+    assert (got.sequence_id // (1 << 20)).value_counts().max() < 400
+    assert got.groupby("sequence_id").length.sum().max() <= packing.CAPACITY
