@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``docs``.  ``run`` writes each stage's rows as
 Parquet into the shared folder and reads them back as the next one's input.
 
-* language: documents without a letter, or whose likeliest language stays below
-  ``MIN_SCORE``, go.
+* language: documents go that have no letter, whose likeliest language is no more
+  than ``ABOVE_CHANCE`` of the way from 1/L (L languages) to 1, or whose familiar
+  share in it is below ``MIN_FIT`` of the median of held-out texts of the language.
 * near_duplicates: of each component of near copies (runs of five words,
   similarity 0.8) the smallest id stays; of rows that repeat an id, one.
 * secrets: every secret is masked in place; no document goes.
@@ -29,17 +30,20 @@ from headway.llm import langid, minhash, mixing, packing, secretscan
 from headway.llm.common import crc_mod, fresh_folder, small_batches, staged, table
 from headway.llm.queries import MIX_WEIGHTS, domain_of, tokenizer_path
 
-MIN_SCORE = 0.3
+ABOVE_CHANCE = 0.1
+MIN_FIT = 0.5
 BUDGET = (9, 10)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     model = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
-    names = ("_lang_pred", "_lang_score")
+    names = ("_lang_pred", "_lang_score", "_lang_fit")
+    chance = 1 / len(model.labels) if model else 0
     found = langid.predict(docs, model, names=names)
     known = F.col(names[0]) != langid.UNDETERMINED
-    return found.where(known & (F.col(names[1]) >= MIN_SCORE)).select(*docs.columns)
+    sure = (F.col(names[1]) >= chance + ABOVE_CHANCE * (1 - chance)) | F.lit(chance == 1)
+    return found.where(known & sure & (F.col(names[2]) >= MIN_FIT)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

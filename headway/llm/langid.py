@@ -228,6 +228,61 @@ class BiGRU:
         return out / np.maximum(size, 1)[:, None]
 
 
+class Familiar:
+    """How much of a text is made of the byte triples of a language's training texts.
+
+    ``usual`` is the median familiarity, per language, of every fifth training text with
+    the triples of the others; NaN for a language of under five texts."""
+
+    #: Triples that count as known in every text, so that very short ones pass.
+    GIVEN = 4
+    STEP = 1 << 20
+
+    def __init__(self, texts: list[list[list[bytes]]]):
+        self.known, self.usual = [], []
+        for own in texts:
+            self.known.append(self._triples([p for i, t in enumerate(own) if i % 5 for p in t]))
+            held = [self.of([b"".join(t)], [len(self.known) - 1])[0] for t in own[::5]]
+            self.usual.append(float(np.median(held)) if len(own) >= 5 else np.nan)
+            self.known[-1] = self._triples([p for t in own for p in t])
+
+    @staticmethod
+    def _codes(data: np.ndarray) -> np.ndarray:
+        low = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.int64)
+        return (low[:-2] << 16) | (low[1:-1] << 8) | low[2:]
+
+    def _triples(self, pieces: list[bytes]) -> np.ndarray:
+        return np.unique(np.concatenate([np.zeros(0, np.int64)] + [
+            self._codes(np.frombuffer(p, np.uint8)) for p in pieces if len(p) >= 3]))
+
+    def of(self, texts: list[bytes], label: list[int]) -> np.ndarray:
+        offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        return self.shares(np.frombuffer(b"".join(texts), np.uint8), offsets, np.array(label))
+
+    def shares(self, data: np.ndarray, offsets: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Per text: the share of its triples that its label knows."""
+        n = len(offsets) - 1
+        seen = np.zeros(n)
+        for i in range(0, len(data) - 2, self.STEP):
+            j = min(i + self.STEP, len(data) - 2)
+            at = np.arange(i, j)
+            owner = np.searchsorted(offsets, at, "right") - 1
+            inside = at + 3 <= offsets[owner + 1]
+            owner, codes = owner[inside], self._codes(data[i:j + 2])[inside]
+            for k in np.unique(label[owner]):
+                known = self.known[k]
+                if len(known):
+                    mine = np.flatnonzero(label[owner] == k)
+                    place = np.minimum(np.searchsorted(known, codes[mine]), len(known) - 1)
+                    seen += np.bincount(owner[mine[known[place] == codes[mine]]], minlength=n)
+        return (seen + self.GIVEN) / (np.maximum(np.diff(offsets) - 2, 0) + self.GIVEN)
+
+    def fit(self, data: np.ndarray, offsets: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """The shares in terms of what is usual in the language; 1 where that is unknown."""
+        usual = np.array(self.usual)[label]
+        return np.where(np.isnan(usual), 1.0, self.shares(data, offsets, label) / usual)
+
+
 def training_stretches(docs: DataFrame, text: str, label: str, sample: int, places: int,
                        chars: int) -> DataFrame:
     """(label, pieces) of about ``sample`` distinct texts per label: those with
@@ -269,18 +324,23 @@ def train(docs: DataFrame, text: str = "text", label: str = "lang", sample: int
     bytes_ = np.zeros((chars, len(pieces)), np.uint8)
     for i, (p, _) in enumerate(pieces):
         bytes_[:len(p), i] = np.frombuffer(p, np.uint8)
-    return BiGRU(labels, hidden, seed).fit(bytes_, lengths, np.array([k for _, k in pieces]), rounds)
+    model = BiGRU(labels, hidden, seed).fit(bytes_, lengths, np.array([k for _, k in pieces]), rounds)
+    model.familiar = Familiar([[[p.encode("utf-8", "surrogatepass") for p in ps] for k, ps in rows if k == x]
+                               for x in labels])
+    return model
 
 
 def predict(docs: DataFrame, model: BiGRU | None, text: str = "text",
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
     """All columns of ``docs`` (but for those of the given names) and two last
-    ones: the likeliest language and its probability."""
+    ones: the likeliest language and its probability; with a third name, also how
+    familiar the text is in that language (``Familiar.fit``), which tells texts of
+    no learned language: the probabilities of the learned ones add up to 1 there too."""
     plain = docs.drop(*names)
     given: Column = F.col(text).isNotNull() & F.col(text).rlike("\\p{L}")
     if model is None:
-        return plain.withColumns({names[0]: F.lit(UNDETERMINED), names[1]: F.lit(0.0)})
-    out = plain.withColumns({names[0]: F.lit(""), names[1]: F.lit(0.0)})
+        return plain.withColumns({names[0]: F.lit(UNDETERMINED)} | {x: F.lit(0.0) for x in names[1:]})
+    out = plain.withColumns({names[0]: F.lit("")} | {x: F.lit(0.0) for x in names[1:]})
     schema = out.schema
     at = plain.columns.index(text)
     flag = "_has_letter"
@@ -290,16 +350,20 @@ def predict(docs: DataFrame, model: BiGRU | None, text: str = "text",
         for b in batches:
             data, offsets = bytesops.flat(b.column(at))
             letter = np.array(b.column(b.num_columns - 1).to_pylist(), bool)
-            pred, score = [], []
+            pred, score, fit = [], [], []
             for i, j in bytesops.blocks(offsets):
                 p = model.document_probabilities(data[offsets[i]:offsets[j]],
                                                  offsets[i:j + 1] - offsets[i])
                 best = p.argmax(1)
                 pred += [model.labels[k] for k in best]
                 score += list(np.minimum(p[np.arange(j - i), best], 1.0))
+                if len(names) > 2:
+                    fit += list(model.familiar.fit(data[offsets[i]:offsets[j]],
+                                                   offsets[i:j + 1] - offsets[i], best))
             pred = [x if ok else UNDETERMINED for x, ok in zip(pred, letter)]
             columns = [*b.columns[:-1], pa.array(pred, pa.string()),
-                       pa.array(np.where(letter, score, 0.0), pa.float64())]
+                       *(pa.array(np.where(letter, x, 0.0), pa.float64())
+                         for x in (score, fit)[:len(names) - 1])]
             arrow = arrow or [*b.schema.names[:-1], *names]
             yield pa.RecordBatch.from_arrays(columns, names=arrow)
 

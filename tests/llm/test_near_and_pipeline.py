@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from test_text_models import brute_words, check_packing
 
 import corpus_pipeline
@@ -202,3 +203,20 @@ def test_pipeline_odd_rows(spark, odd_docs):
                 ids = [r.doc_id for r in docs.collect() if r.doc_id is not None]
                 assert len(ids) == len(set(ids))
         assert docs.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+@pytest.mark.parametrize("langs", [("de", "en", "es", "fr"), ("en", "fr")])
+def test_pipeline_language_rejects_junk_and_foreign_texts(spark, langs):
+    rng = np.random.default_rng(0)
+    letters = lambda abc, n: "".join(rng.choice(list(abc), n))
+    planted = [letters("abcdefghijklmnopqrstuvwxyz ", 600), letters("ABCDEFGHIJ0123456789+/", 900), "a" * 500,
+               "x9!! zz## qq@@ kk%% " * 30, "Быстрая коричневая лиса перепрыгнула через ленивую собаку. " * 6,
+               "我们今天去公园散步看见很多花和树木非常漂亮。" * 10,
+               "Szybki brązowy lis przeskoczył nad leniwym psem i pobiegł do ciemnego lasu. " * 6,
+               "Nopea ruskea kettu hyppäsi laiskan koiran yli ja juoksi metsään yöllä. " * 6]
+    docs = table(spark, SF_SMALL, "documents").where(F.col("lang").isin(*langs)).select("doc_id", "text", "lang")
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(planted)], docs.schema)
+    got = {r.doc_id for r in corpus_pipeline.language(spark, docs.unionByName(more), SF_SMALL).collect()}
+    assert not {k for k in got if k < 0}
+    lettered = docs.where(F.col("text").rlike("\\p{L}")).count()
+    assert len(got) >= 0.97 * lettered
