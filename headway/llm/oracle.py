@@ -124,4 +124,50 @@ SELECT c.vec_id, coalesce(n, 0) AS n_links, component_id, c.vec_id = component_i
 FROM c LEFT JOIN n USING (vec_id)
 """
 
-SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5, "op6_minhash": OP6, "op10_lattice": OP10}
+#: crc32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+    string_split(CAST({c} AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+OP11 = rf"""
+WITH t AS (SELECT conv_id AS c, turn, substr(sha256(length(r) || ':' || r || x), 1, 32) AS k,
+       len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+          WHERE conv_id IS NOT NULL)),
+o AS (SELECT c, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, k) AS s FROM t GROUP BY c),
+h AS (SELECT c, s, {_CRC.format(c='c')} % 4 AS h FROM o),
+b AS (SELECT h.c, list_concat(coalesce(o.s[1:h.h], []), h.s[h.h + 1:]) AS s
+      FROM h LEFT JOIN o ON o.c = h.c - h.c % 20),
+p AS (SELECT c, len(s) AS n, d, array_to_string(list_transform(s[1:d], lambda e: e.k), '') AS k,
+             CASE WHEN d = 0 THEN 0 ELSE s[d].w END AS w
+      FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM b)),
+m AS (SELECT k, d, min(c) AS c, count(*) AS n, any_value(w) AS w,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d), '')) AS e
+      FROM p GROUP BY k, d),
+f AS (SELECT m.*, (SELECT count(*) FROM m x WHERE x.d = m.d + 1 AND left(x.k, 32 * m.d) = m.k) AS kids FROM m),
+u AS (SELECT *, unnest(range(0, d + 1)) AS a FROM f),
+g AS (SELECT left(k, CAST(32 * a AS BIGINT)) AS k, CAST(sum(CASE WHEN kids = 0 THEN 1 ELSE 0 END) AS BIGINT) AS leaves,
+             CAST(sum((n - 1) * w) AS BIGINT) AS saved FROM u GROUP BY a, left(k, CAST(32 * a AS BIGINT)))
+SELECT f.c AS conv_id, CAST(f.d AS BIGINT) AS depth, q.c AS parent_conv_id, f.n AS n_convs, f.kids AS n_children,
+       g.leaves AS n_leaves, g.saved AS saved_tokens, f.e AS ends_sha256, nullif(right(f.k, 32), '') AS turn
+FROM f JOIN g ON g.k = f.k LEFT JOIN f q ON f.d > 0 AND q.k = left(f.k, CAST(32 * (f.d - 1) AS BIGINT)) AND q.d = f.d - 1
+"""
+
+OP13 = """
+WITH v AS (SELECT vec_id AS i, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+       list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS x
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.i AS a, b.i AS b, a.l = b.l AS same, CAST(list_dot_product(a.x, b.x) AS BIGINT) AS s
+      FROM v a JOIN v b ON a.i % 50 = 0 AND a.i <> b.i AND len(a.x) = len(b.x)),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS p, s.b AS n, p.s AS ps, s.s AS ns,
+             row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s)
+SELECT a AS anchor_id, p AS positive_id, CAST(r AS INTEGER) AS rank, n AS negative_id, ps AS positive_score,
+       ns AS negative_score FROM n WHERE r <= 3
+"""
+
+SQL = {"op2_warc": OP2, "op4_secrets": OP4, "op5_mixing": OP5, "op6_minhash": OP6, "op10_lattice": OP10, "op11_trie": OP11,
+       "op13_negatives": OP13}

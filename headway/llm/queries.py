@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headway.llm import fingerprint, htmltext, langid, lattice, minhash, mixing, packing, quality, secretscan, warc
+from headway.llm import (
+    bpe,
+    fingerprint,
+    htmltext,
+    langid,
+    lattice,
+    minhash,
+    mixing,
+    negatives,
+    packing,
+    prefixtrie,
+    quality,
+    secretscan,
+    warc,
+)
 from headway.llm.common import crc_mod, fresh_folder, small_batches, table
 
 
@@ -100,6 +114,28 @@ def op10_lattice(spark, sf_dir):
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op11_trie(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations")
+    return prefixtrie.prefix_nodes(prefixtrie.rebuilt(chats), chats.count())
+
+
+def op12_bpe(spark, sf_dir):
+    small_batches(spark)
+    path = tokenizer_path("byte_bpe_50k.json")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path)
+    back = bpe.decode(coded, path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(decimal.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), lambda key: key % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -111,4 +147,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_html": op9_html,
     "op10_lattice": op10_lattice,
+    "op11_trie": op11_trie,
+    "op12_bpe": op12_bpe,
+    "op13_negatives": op13_negatives,
 }
