@@ -12,9 +12,10 @@ the dimensions that are left out can't reach it alone, so a pair that meets in n
 posting is below t.  Partial scores are added from the last group to the first; a
 pair is given up as soon as its partial score and the norms that remain,
 multiplied, stay below t.  To a pair that is left at the end, what the omitted
-dimensions add makes the score whole.  The threshold
-begins high and is lowered for the anchors whose windows aren't full yet, down to
-the window's lower end, so a block returns its best rows and never a list of pairs.
+dimensions add makes the score whole.  The threshold begins high and is lowered for
+the anchors whose windows aren't full yet, down to the window's lower end; a full
+window raises it to its last score for the rows that follow.  So a block returns
+its best rows and never a list of pairs.
 The blocks' answers are merged by a ranking per anchor.
 
 Rows with a null key, label or vector, or with a null or non-finite component, take
@@ -26,7 +27,7 @@ are read, so other columns can't clash.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 
 from headway.llm.common import staged
 
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 8192
+#: Rows of a block that are searched at once; their best raise the thresholds for the next.
+SEARCH_ROWS = 1024
 GROUP = 8
 #: Thresholds, as shares of the largest score that the norms allow.
 LEVELS = (0.9, 0.75, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1, 0.0, -1.0)
@@ -74,59 +77,111 @@ class Block:
         return posted, rest
 
     def reach(self, index: tuple[list[np.ndarray], np.ndarray], anchors: np.ndarray,
-              least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(anchor, rows, scores) of all pairs that score ``least`` or more, which
-        is no less than the index was built for."""
+              least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchors, rows, scores) of all pairs that score ``least`` or more, which
+        is no less than the index was built for; sorted by anchor."""
         posted, left = index
         q = anchors.astype(float)[:, self.order]
         norm = self._norms(q)
         floor = least - 1e-9 * (norm[:, -1] * self.top + 1)
-        part = np.zeros((len(self.x), len(q)))
-        live = np.outer(self.norm[:, -1], norm[:, -1]) >= floor
+        part = np.zeros((len(q), len(self.x)))
+        live = np.outer(norm[:, -1], self.norm[:, -1]) >= floor[:, None]
+        who = row = None
         for g in range(len(posted) - 1, -1, -1):
             a, b = self.cuts[g], self.cuts[g + 1]
-            at, who = posted[g][live[posted[g]].any(1)], np.flatnonzero(live.any(0))
-            if not len(who):
-                return
-            spot = np.ix_(at, who)
-            now = part[spot] + self.x[at, a:b] @ q[who, a:b].T
-            part[spot] = now
-            live[spot] &= now + np.outer(self.norm[at, g], norm[who, g]) >= floor[who]
-        wide = self.top * (norm[:, -1].max() if len(q) else 0) >= EXACT
-        for i in np.flatnonzero(live.any(0)):
-            at = np.flatnonzero(live[:, i])
-            yield i, at, (self._whole(at, anchors[i]) if wide
-                          else np.rint(part[at, i] + left[at] @ q[i]).astype(np.int64))
-
-    def _whole(self, at: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+            if who is None:  # most pairs are still in: whole matrices
+                at = posted[g] if len(posted[g]) < len(self.x) else slice(None)
+                part[:, at] += q[:, a:b] @ self.x[at, a:b].T
+                live[:, at] &= part[:, at] + np.outer(norm[:, g], self.norm[at, g]) >= floor[:, None]
+                if np.count_nonzero(live) < live.size // 8:
+                    who, row = np.nonzero(live)
+                    part = part[who, row]
+            else:  # few are left: one by one
+                here = np.zeros(len(self.x), bool)
+                here[posted[g]] = True
+                here = here[row]
+                part[here] += np.einsum("ij,ij->i", q[who[here], a:b], self.x[row[here], a:b])
+                keep = ~here | (part + norm[who, g] * self.norm[row, g] >= floor[who])
+                who, row, part = who[keep], row[keep], part[keep]
+        if who is None:
+            who, row = np.nonzero(live)
+            part = part[who, row]
+        if self.top * (norm[:, -1].max() if len(q) else 0) >= EXACT:
+            return who, row, self._whole(row, anchors[who])
+        return who, row, np.rint(part + np.einsum("ij,ij->i", left[row], q[who])).astype(np.int64)
+
+    def _whole(self, at: np.ndarray, anchors: np.ndarray) -> np.ndarray:
         """Scores too large for doubles, within a long."""
-        exact = self.rows[at].astype(object) @ anchor.astype(object)
-        return np.array([max(-LONG, min(LONG, int(s))) for s in exact], np.int64)
-
-    def search(self, anchors: np.ndarray, lowest: np.ndarray,
-               take: Callable[[int, np.ndarray, np.ndarray], bool]) -> None:
-        """Lower the threshold until ``take(anchor, rows, scores)``, given all rows
-        that reach it, says that the anchor has enough, or ``lowest`` is passed."""
+        exact = [sum(a * b for a, b in zip(x.tolist(), q.tolist(), strict=True))
+                 for x, q in zip(self.rows[at], anchors, strict=True)]
+        return np.array([max(-LONG, min(LONG, s)) for s in exact], np.int64)
+
+    def search(self, anchors: np.ndarray, lowest: np.ndarray, highest: np.ndarray,
+               take: Callable[[int, np.ndarray, np.ndarray], None]) -> None:
+        """Lower the threshold of each anchor until it passes ``lowest``, which
+        ``take(anchor, rows, scores)``, given all rows that reach the threshold,
+        raises as windows fill.  Nothing above ``highest`` is of use."""
         norm = np.sqrt((anchors.astype(float) ** 2).sum(1))
-        open_, step = np.arange(len(anchors)), max(1, (1 << 18) // max(len(self.x), 1))
+        open_, step = np.flatnonzero(lowest <= highest), max(1, (1 << 18) // max(len(self.x), 1))
         for share in LEVELS:
-            still, index = [], self.index(share)
-            for lo in range(0, len(open_), step):
-                who = open_[lo:lo + step]
-                least = np.maximum(share * norm[who] * self.top * (1 + 1e-9) - (share < 0), lowest[who])
-                done = least <= lowest[who]
-                for i, at, scores in self.reach(index, anchors[who], least):
-                    near = scores >= np.ceil(least[i]) if least[i] > -EXACT else np.ones(len(at), bool)
-                    done[i] |= take(int(who[i]), at[near], scores[near])
-                still += who[~done].tolist()
-            open_ = np.array(still, int)
+            level = share * norm * self.top * (1 + 1e-9) - (share < 0)
+            useful = open_[(level[open_] <= highest[open_]) | (lowest[open_] >= level[open_])]
+            index = self.index(share) if len(useful) else None
+            for lo in range(0, len(useful), step):
+                who = useful[lo:lo + step]
+                least = np.maximum(level[who], lowest[who])
+                i, at, scores = self.reach(index, anchors[who], least)
+                cuts = np.searchsorted(i, np.arange(len(who) + 1))
+                for k in np.flatnonzero(np.diff(cuts)):
+                    take(int(who[k]), at[cuts[k]:cuts[k + 1]], scores[cuts[k]:cuts[k + 1]])
+            open_ = open_[lowest[open_] < level[open_]]
             if not len(open_):
                 return
 
 
-def first(ids: np.ndarray, scores: np.ndarray, n: int) -> np.ndarray:
-    """Places of the ``n`` best, ties by the smaller id."""
-    return np.lexsort((ids, -scores))[:n]
+class Best:
+    """The best rows found so far for one window of scores: ``n`` at most, ties by
+    the smaller id.  ``need`` is the least score that can still get in."""
+
+    def __init__(self, n: int, low: float = -np.inf, high: float = np.inf):
+        self.n, self.low, self.high = n, low, high
+        self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        fits = (scores >= self.need) & (scores <= self.high)
+        if fits.any():
+            new = ~np.isin(ids[fits], self.ids)  # a lowered threshold gives rows again
+            ids = np.concatenate((self.ids, ids[fits][new]))
+            scores = np.concatenate((self.scores, scores[fits][new]))
+            order = np.lexsort((ids, -scores))[:self.n]
+            self.ids, self.scores = ids[order], scores[order]
+
+    @property
+    def need(self) -> float:
+        if self.low > self.high:
+            return np.inf
+        return float(self.scores[-1]) if len(self.ids) == self.n else self.low
+
+
+def search_all(rows: pa.Table, anchors: pa.Table, windows: list[list[Best]], same_label: bool, most: int) -> None:
+    """Fill the anchors' windows from the rows, ``most`` rows at a time: what is
+    found in earlier rows raises the thresholds for later ones."""
+    ids, q = anchors.column("id").to_numpy(), _matrix(anchors.column("x"))
+    labels = anchors.column("label").to_numpy()
+    lowest = np.array([min(w.need for w in own) for own in windows])
+    highest = np.array([max(w.high for w in own) for own in windows])
+    for at in range(0, len(rows), most):
+        block = _block(rows.slice(at, most))
+
+        def take(i: int, found: np.ndarray, scores: np.ndarray) -> None:
+            good = (block.labels[found] == labels[i]) == same_label
+            good &= block.ids[found] != ids[i]
+            found, scores = block.ids[found[good]], scores[good]
+            for w in windows[i]:
+                w.add(found, scores)
+            lowest[i] = min(w.need for w in windows[i])
+
+        block.search(q, lowest, highest, take)
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -138,57 +193,36 @@ def _block(rows: pa.Table) -> Block:
     return Block(rows.column("id").to_numpy(), rows.column("label").to_numpy(), _matrix(rows.column("x")))
 
 
-def _positives(n: int):
+def _answer(out: list[tuple], names: list[str]) -> pa.Table:
+    return pa.table([pa.array([r[k] for r in out], pa.int64()) for k in range(len(names))], names=names)
+
+
+def _positives(n: int, most: int):
     def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple] = []
         if len(rows) and len(anchors):
-            block, ids = _block(rows), anchors.column("id").to_numpy()
-            best: dict[int, list] = {}
-
-            def take(i: int, at: np.ndarray, scores: np.ndarray) -> bool:
-                other = block.ids[at] != ids[i]
-                at, scores = at[other], scores[other]
-                pick = first(block.ids[at], scores, n)
-                best[i] = [(int(ids[i]), int(block.ids[at[p]]), int(scores[p])) for p in pick]
-                return len(pick) == n
-
-            block.search(_matrix(anchors.column("x")), np.full(len(ids), -np.inf), take)
-            out = [r for rows_ in best.values() for r in rows_]
-        return pa.table([pa.array([r[k] for r in out], pa.int64()) for k in range(3)],
-                        names=["anchor_id", "positive_id", "positive_score"])
+            windows = [[Best(n)] for _ in range(len(anchors))]
+            search_all(rows, anchors, windows, True, most)
+            out = [(i, p, s) for i, (w,) in zip(anchors.column("id").to_pylist(), windows, strict=True)
+                   for p, s in zip(w.ids.tolist(), w.scores.tolist(), strict=True)]
+        return _answer(out, ["anchor_id", "positive_id", "positive_score"])
     return run
 
 
-def _negatives(n: int, low: int, high: int):
+def _negatives(n: int, low: int, high: int, most: int):
     def run(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if len(rows) and len(anchors):
-            block = _block(rows)
-            ids, labels = anchors.column("id").to_numpy(), anchors.column("label").to_numpy()
-            windows = anchors.column("windows").to_pylist()
+            own = anchors.column("windows").to_pylist()
             # Window ends as whole scores: low * s <= 100 * x <= high * s.
-            ends = [[(-(-low * w["positive_score"] // 100), high * w["positive_score"] // 100) for w in own]
-                    for own in windows]
-            lowest = np.array([min(lo for lo, _ in own) for own in ends], float)
-            best: dict[int, list] = {}
-
-            def take(i: int, at: np.ndarray, scores: np.ndarray) -> bool:
-                other = block.labels[at] != labels[i]
-                at, scores = at[other], scores[other]
-                order = np.lexsort((block.ids[at], -scores))
-                at, scores = at[order], scores[order]
-                best[i], full = [], True
-                for w, (lo, hi) in zip(windows[i], ends[i], strict=True):
-                    a, b = (int(np.searchsorted(-scores, x, s)) for x, s in ((-hi, "left"), (-lo, "right")))
-                    best[i] += [(int(ids[i]), w["positive_id"], w["positive_score"], int(block.ids[at[p]]), int(scores[p]))
-                                for p in range(a, min(b, a + n))]
-                    full &= b - a >= n or lo > hi
-                return full
-
-            block.search(_matrix(anchors.column("x")), lowest, take)
-            out = [r for rows_ in best.values() for r in rows_]
-        return pa.table([pa.array([r[k] for r in out], pa.int64()) for k in range(5)],
-                        names=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
+            windows = [[Best(n, -(-low * w["positive_score"] // 100), high * w["positive_score"] // 100) for w in ws]
+                       for ws in own]
+            search_all(rows, anchors, windows, False, most)
+            out = [(i, p["positive_id"], p["positive_score"], x, s)
+                   for i, ps, ws in zip(anchors.column("id").to_pylist(), own, windows, strict=True)
+                   for p, w in zip(ps, ws, strict=True)
+                   for x, s in zip(w.ids.tolist(), w.scores.tolist(), strict=True)]
+        return _answer(out, ["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"])
     return run
 
 
@@ -229,8 +263,8 @@ def hard_negatives(vectors: DataFrame, is_anchor: Callable[[Column], Column], ke
     sizes = rows.groupBy(*group).agg(blocks(F.count(F.lit(1))).alias("n")).join(
         anchors.groupBy(*group).agg(blocks(F.count(F.lit(1))).alias("m")), group)
     sizes = staged(sizes, "negatives-sizes")
-    met = _meet(rows, anchors, sizes, group, here, ["id", "label", "x"], ["id", "x"])
-    found = met(_positives(positives), "anchor_id long, positive_id long, positive_score long")
+    met = _meet(rows, anchors, sizes, group, here, ["id", "label", "x"], ["id", "label", "x"])
+    found = met(_positives(positives, SEARCH_ROWS), "anchor_id long, positive_id long, positive_score long")
     rank = F.row_number().over(Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id"))
     found = staged(found.withColumn("r", rank).where(F.col("r") <= positives).drop("r"), "negatives-positives")
 
@@ -244,7 +278,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Callable[[Column], Column], ke
         anchors.groupBy("dim").agg(blocks(F.count(F.lit(1))).alias("m")), "dim")
     met = _meet(rows, anchors, staged(sizes, "negatives-sizes"), group, here, ["id", "label", "x"],
                 ["id", "label", "x", "windows"])
-    found = met(_negatives(negatives, low, high), "anchor_id long, positive_id long, positive_score long, "
+    found = met(_negatives(negatives, low, high, SEARCH_ROWS), "anchor_id long, positive_id long, positive_score long, "
                 "negative_id long, negative_score long")
     best = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives)

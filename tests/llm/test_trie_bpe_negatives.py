@@ -188,9 +188,10 @@ def plain_negatives(rows, positives=5, negatives_=3):
 VECTOR = "vec_id long, embedding array<double>, label int, id string, x string, windows string, dim string, n string"
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_negatives_on_odd_rows(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,most", [(8192, 1024), (8192, 30), (16, 1024)])
+def test_negatives_on_odd_rows(spark, monkeypatch, block, most):
     monkeypatch.setattr(negatives, "BLOCK_ROWS", block)
+    monkeypatch.setattr(negatives, "SEARCH_ROWS", most)
     rng = np.random.default_rng(4)
     near = rng.normal(size=12)
     rows = [(i, (rng.normal(size=12) + (near if i % 3 else 0)).tolist(), int(i % 4)) for i in range(300)]
@@ -218,8 +219,7 @@ def test_index_leaves_out_what_norms_cover():
     anchors = rng.integers(-200, 200, size=(9, 32))
     norm = np.sqrt((anchors.astype(float) ** 2).sum(1))
     least = 0.7 * norm * block.top
-    got = {(i, int(r), int(s)) for i, at, scores in block.reach((posted, rest), anchors, least)
-           for r, s in zip(at, scores, strict=True)}
+    got = {tuple(map(int, x)) for x in zip(*block.reach((posted, rest), anchors, least), strict=True)}
     want = {(i, r, int(rows[r] @ anchors[i])) for i in range(9) for r in range(50)
             if rows[r] @ anchors[i] >= least[i]}
     assert got >= want and all(s == int(rows[r] @ anchors[i]) for i, r, s in got)
