@@ -20,9 +20,9 @@ spaces, affixes), is refused when it is loaded.
 Nulls: a null text is empty, an empty text has no ids; null ids decode to an
 empty text.  Repeated rows give repeated rows.  Only the key and the text column
 are read, so other columns can't clash.  Strings of added tokens in a text become
-their ids, as in the tokenizers library.  Memory per task is one batch of rows and a
-trie of at most ``TRIE_NODES`` nodes: a full trie is begun anew, which repeats work
-but loses none.
+their ids, as in the tokenizers library.  Memory per task is one batch of rows, a trie
+of about ``TRIE_NODES`` nodes and ``KNOWN_WORDS`` words: what is full is begun anew,
+which repeats work but loses none.
 """
 
 from __future__ import annotations
@@ -43,7 +43,10 @@ from headway.llm.common import worker_cache
 
 #: Fixed value: the word pattern of byte-level pre-tokenizers.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-TRIE_NODES = 1_000_000
+TRIE_NODES = 300_000
+KNOWN_WORDS = 600_000
+#: Characters of texts whose words are held at once (a longer text alone).
+BLOCK_CHARS = 1 << 20
 NEVER = 1 << 60
 
 
@@ -68,17 +71,23 @@ def _refuse(spec: dict) -> None:
         raise ValueError("not a plain byte-level BPE file")
 
 
+def load(path: str) -> tuple[dict, dict[int, bytes], dict[str, int]]:
+    """(model, bytes of each id, ids of added tokens) of a ``tokenizer.json``."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    _refuse(spec)
+    letters = byte_letters()
+    raw = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+    return spec["model"], raw, {a["content"]: a["id"] for a in spec.get("added_tokens", [])}
+
+
 class Vocabulary:
     """Tokens, merges and the border test of a ``tokenizer.json`` file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            text = f.read()
-        spec = json.loads(text)
-        _refuse(spec)
-        letters = byte_letters()
-        model = spec["model"]
-        self.bytes_of = {i: bytes(letters[c] for c in t) for t, i in model["vocab"].items()}
+        self.path = path
+        model, self.bytes_of, self.added = load(path)
+        id_of = {b: i for i, b in self.bytes_of.items()}
         self.byte_id = {b[0]: i for i, b in self.bytes_of.items() if len(b) == 1}
         self.rank: dict[tuple[int, int], int] = {}
         #: (left, right, rank) of a token that its own bytes merge to.
@@ -95,21 +104,14 @@ class Vocabulary:
         self.met: dict[int, int] = {}
         self.spines: tuple[dict, dict] = {}, {}
         for (left, right), rank in self.rank.items():
-            whole = model["vocab"].get(self._name(left, right, letters))
+            whole = id_of[self.bytes_of[left] + self.bytes_of[right]]
             if whole not in self.split and self.own(left) and self.own(right) and self._meet(left, right) == rank:
                 self.split[whole] = (left, right, rank)
         self._suffixes()
-        self.added = {a["content"]: a["id"] for a in spec.get("added_tokens", [])}
         self.cut = regex.compile("(" + "|".join(
             regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.word = regex.compile(WORD)
         self.usual: set[str] = set()
-        self.text = text
-
-    def _name(self, left: int, right: int, letters: dict[str, int]) -> str:
-        if not hasattr(self, "_letter"):
-            self._letter = {b: c for c, b in letters.items()}
-        return "".join(self._letter[b] for b in self.bytes_of[left] + self.bytes_of[right])
 
     def _suffixes(self) -> None:
         """An automaton over bytes whose state knows every own token that ends
@@ -199,7 +201,7 @@ class Vocabulary:
         if not hasattr(self, "_library"):
             from tokenizers import Tokenizer
 
-            self._library = Tokenizer.from_str(self.text).pre_tokenizer
+            self._library = Tokenizer.from_file(self.path).pre_tokenizer
         return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
 
 
@@ -211,7 +213,6 @@ class WordTrie:
         self.vocabulary = vocabulary
         self.child: dict[int, int] = {}
         self.last, self.before, self.state = array("i", [-1]), array("i", [0]), array("i", [0])
-        self.ids: dict[str, list[int]] = {}
 
     def _grow(self, path: list[int], byte: int) -> int:
         """A new node below the path's end: its last token is the one that fits
@@ -231,9 +232,10 @@ class WordTrie:
                 return node
         raise AssertionError("no token ends this prefix")
 
-    def add(self, words: Iterable[str]) -> None:
-        """Walk the trie depth first along sorted words, growing new nodes."""
-        child, last, before = self.child, self.last, self.before
+    def add(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Walk the trie depth first along sorted words, growing new nodes; each
+        word's ids as 32-bit numbers."""
+        child, last, before, found = self.child, self.last, self.before, {}
         path, earlier = [0], b""
         for w in sorted(words):
             raw, same = w.encode("utf-8"), 0
@@ -249,44 +251,51 @@ class WordTrie:
             while node:
                 out.append(last[node])
                 node = before[node]
-            self.ids[w] = out[::-1]
+            found[w] = array("i", out[::-1]).tobytes()
+        return found
 
 
 class Encoder:
-    """Encodes texts; keeps one trie over the texts that it is given."""
+    """Encodes texts, into 32-bit ids.  Words are remembered, and one trie goes on
+    over the texts that it is given; each begins anew when it is full."""
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.trie = WordTrie(self.vocabulary)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out, block, size = [], [], 0
+        for t in texts:
+            if block and size + len(t) > BLOCK_CHARS:
+                out += self._block(block)
+                block, size = [], 0
+            block.append(t)
+            size += len(t)
+        return out + self._block(block)
+
+    def _block(self, texts: list[str]) -> list[bytes]:
         v = self.vocabulary
+        if len(self.known) > KNOWN_WORDS:
+            self.known = {}
         if len(self.trie.last) > TRIE_NODES:
             self.trie = WordTrie(v)
+            v.met.clear()
         # Parts between added tokens, the tokens themselves at odd places.
         parts = [v.cut.split(t) if v.cut and v.cut.search(t) else [t] for t in texts]
         words = [[[p] if i % 2 else v.words(p) for i, p in enumerate(own)] for own in parts]
-        ids = self.trie.ids
-        self.trie.add(set(chain.from_iterable(w for own in words for w in own[::2])) - ids.keys())
-        out = []
-        for own in words:
-            found: list[int] = []
-            for i, part in enumerate(own):
-                if i % 2:
-                    found.append(v.added[part[0]])
-                else:
-                    for w in part:
-                        found += ids[w]
-            out.append(found)
-        return out
+        known = self.known
+        known.update(self.trie.add(set(chain.from_iterable(w for own in words for w in own[::2])) - known.keys()))
+        return [b"".join([np.int32(v.added[part[0]]).tobytes() if i % 2 else b"".join(map(known.__getitem__, part))
+                          for i, part in enumerate(own)]) for own in words]
 
 
 class Decoder:
     """Ids to texts; an id that no token has adds nothing."""
 
     def __init__(self, path: str):
-        v = Vocabulary(path)
-        by_id = v.bytes_of | {i: t.encode("utf-8") for t, i in v.added.items()}
+        _, raw, added = load(path)
+        by_id = raw | {i: t.encode("utf-8") for t, i in added.items()}
         top = max(by_id) + 1
         self.length = np.array([len(by_id.get(i, b"")) for i in range(top)] + [0])
         self.start = np.concatenate(([0], np.cumsum(self.length)))[:-1]
@@ -316,8 +325,8 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
         encoder = _kept(Encoder, path)
         for batch in batches:
             ids = encoder.encode(batch.column(1).to_pylist())
-            flat = np.fromiter((i for x in ids for i in x), np.int32, sum(map(len, ids)))
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["key", "ids"])
 

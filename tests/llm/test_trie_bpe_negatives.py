@@ -133,10 +133,11 @@ def test_bpe_of_strange_texts(monkeypatch):
     texts += ["", "x" * 20_000, "ab" * 10_000]
     lib = library()
     want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
-    assert bpe.Encoder(BPE_FILE).encode(texts) == want
+    assert [np.frombuffer(x, np.int32).tolist() for x in bpe.Encoder(BPE_FILE).encode(texts)] == want
     monkeypatch.setattr(bpe, "TRIE_NODES", 50)
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 70)
     small, decoder = bpe.Encoder(BPE_FILE), bpe.Decoder(BPE_FILE)
-    got = [ids for i in range(0, len(texts), 100) for ids in small.encode(texts[i:i + 100])]
+    got = [np.frombuffer(ids, np.int32).tolist() for i in range(0, len(texts), 100) for ids in small.encode(texts[i:i + 100])]
     assert got == want
     for ids in want[:500]:
         assert decoder.decode(np.array(ids, int)) == lib.decode(ids, skip_special_tokens=False)
