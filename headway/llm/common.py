@@ -31,6 +31,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have (however names are compared)."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8(text: Column | str) -> Column:
     """Null texts count as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

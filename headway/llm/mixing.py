@@ -117,11 +117,13 @@ def plan(rows: DataFrame, levels: list[str], weights: dict[str, dict[str, int]],
 
 def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget: Callable[[int], int], max_epochs: int = 3,
         seed: int = 1, levels: tuple[str, ...] = ("domain", "lang", "source"), key: str = "doc_id",
-        text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """The rows that are taken, with columns ``tokens`` and ``copies`` (how many
-    epochs take the row); ``keep`` names the columns to carry (default: all)."""
+        text: str = "text", keep: tuple[str, ...] | None = None,
+        names_out: tuple[str, str] = ("tokens", "copies")) -> DataFrame:
+    """The rows that are taken, with two results: their tokens and how many epochs
+    take the row, under ``names_out``; ``keep`` names the columns to carry (default:
+    all, but for columns that have a result's name)."""
     levels = list(levels)
-    keep = [c for c in (keep or docs.columns) if c not in ("tokens", "copies")]
+    keep = [c for c in (keep or docs.columns) if c not in names_out]
     # Own columns beside the caller's: no name of theirs can clash.
     names = [f"_mix_{c}" for c in levels]
     tag = [F.coalesce(F.col(c).cast("string"), F.lit(NULL)).alias(n) for n, c in zip(names, levels)]
@@ -144,5 +146,5 @@ def mix(docs: DataFrame, weights: dict[str, dict[str, int]], budget: Callable[[i
         | ((bucket == F.col("_mix_end"))
            & F.coalesce(F.col("_mix_h") <= F.col("_mix_last"), F.lit(False))))
     copies = (F.col("_mix_passes") + once.cast("long")).cast("long")
-    return (taken.withColumn("copies", copies).where(F.col("copies") > 0)
-            .select(*keep, F.col("_mix_tokens").alias("tokens"), "copies"))
+    return (taken.withColumn("_mix_copies", copies).where(F.col("_mix_copies") > 0)
+            .select(*keep, F.col("_mix_tokens").alias(names_out[0]), F.col("_mix_copies").alias(names_out[1])))

@@ -181,10 +181,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn, key: str = "doc_id", te
     if len({y for _, y in chosen}) < 2:
         return None
     # At most 2 * sample rows of a key and a label.
-    picked = F.broadcast(spark.createDataFrame(chosen, "k bigint, y int"))
-    got = sorted((r[0].encode("utf-8", "surrogatepass"), r[1]) for r in
-                 docs.join(picked, F.col(key) == F.col("k"))
-                 .select(F.coalesce(F.col(text), F.lit("")), "y").collect())
+    kind = rows.schema["k"].dataType.simpleString()
+    picked = F.broadcast(spark.createDataFrame(chosen, f"k {kind}, y int"))
+    # Two columns under own names: no name of the caller's can clash.
+    plain = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    got = sorted((r[0].encode("utf-8", "surrogatepass"), r[1])
+                 for r in plain.join(picked, "k").select("t", "y").collect())
     y = np.array([r[1] for r in got])
     if len(set(y.tolist())) < 2:
         return None

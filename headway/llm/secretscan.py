@@ -9,12 +9,13 @@ folder of append-only Parquet tables, holds
 
 A run scans one copy of each blob, and only for the rule versions that have not
 seen it; findings are then joined back to all paths.  All of it is DataFrame
-operations.  The text is dealt once, by path, so that copies of one blob (they
-may be a third of all rows) never meet; what meets is one small row per path.
+operations.  Only texts in which some rule's pattern occurs are dealt, once and by
+path, so that copies of one blob (they may be a third of all rows) never meet; what
+meets is one small row per path.
 
 Spans count code points, end exclusive.  A null text is an empty one; a null
-path is a path; rows that share a path and a text are scanned once, rows that
-share only a path are versions of it.
+path is a path; rows that share a path and a text are scanned as often as they are
+repeated and recorded once, rows that share only a path are versions of it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headway.llm.common import staged, utf8
+from headway.llm.common import free_name, staged, utf8
 
 FOUND = "array<struct<start:int,kind:int,end:int,rule:string>>"
 
@@ -85,10 +86,21 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
             F.struct(end.alias("at"), out.alias("out")))
 
     spans = F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    return F.when(may_match(text, rule), spans)
+
+
+def may_match(text: Column, rule: Rule) -> Column:
     can = text.rlike(rule.pattern)
-    if rule.hint:
-        can = text.contains(rule.hint) & can
-    return F.when(can, spans)
+    return text.contains(rule.hint) & can if rule.hint else can
+
+
+def suspect(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a rule's pattern is in the text at all.  It is told while the text
+    is read, so that only such texts are ever dealt among the tasks."""
+    found = F.lit(False)
+    for rule in rules:
+        found = found | may_match(text, rule)
+    return found
 
 
 def table_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
@@ -117,11 +129,11 @@ def update(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text"
     rows = rows.withColumn("blob", blob_of("text"))
     run = uuid.uuid4().hex
     kind = rows.schema["path"].dataType.simpleString()
-    rows.select("path", "blob").write.parquet(f"{ledger}/paths/run={run}")
-    paths = spark.read.schema(f"path {kind}, blob binary").parquet(f"{ledger}/paths/run={run}")
+    rows.select("path", "blob", suspect(F.col("text"), rules).alias("suspect")).write.parquet(f"{ledger}/paths/run={run}")
+    paths = spark.read.schema(f"path {kind}, blob binary, suspect boolean").parquet(f"{ledger}/paths/run={run}")
 
     wanted = F.array(*[F.lit(r.id) for r in rules])
-    todo = paths.groupBy("blob").agg(F.min("path").alias("first"))
+    todo = paths.groupBy("blob", "suspect").agg(F.min("path").alias("first"))
     seen = ledger_scans(spark, ledger)
     if seen is None:
         todo = todo.withColumn("todo", wanted)
@@ -130,15 +142,18 @@ def update(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text"
         todo = (todo.join(seen, "blob", "left")
                 .withColumn("todo", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
                 .where(F.size("todo") > 0).drop("seen"))
-    todo = todo.withColumnRenamed("blob", "b")
-    unseen = rows.join(todo, F.col("path").eqNullSafe(F.col("first")) & (F.col("blob") == F.col("b")))
     none = F.array().cast(FOUND)
+    todo = staged(todo, "secret-todo")
+    clean = todo.where(~F.col("suspect")).select("blob", F.col("todo").alias("rules"), none.alias("found"))
+    todo = todo.where("suspect").select(F.col("blob").alias("b"), "first", "todo")
+    unseen = rows.where(suspect(F.col("text"), rules)).join(
+        todo, F.col("path").eqNullSafe(F.col("first")) & (F.col("blob") == F.col("b")))
     spans = [F.coalesce(F.when(F.array_contains("todo", r.id), rule_spans(F.col("text"), r, i)), none)
              for i, r in enumerate(rules)]
     (unseen.select("blob", F.col("todo").alias("rules"), F.concat(*spans).alias("found"))
-     .dropDuplicates(["blob"])
+     .dropDuplicates(["blob"]).unionByName(clean)
      .write.parquet(f"{ledger}/scans/run={run}"))
-    return paths
+    return paths.drop("suspect")
 
 
 def findings(spark: SparkSession, ledger: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -166,16 +181,19 @@ def redact(docs: DataFrame, ledger: str, key: str = "doc_id", text: str = "text"
     """``docs`` with the same columns, every span of their texts masked, and the
     column of text lengths (if there is one) set anew where a text changes."""
     update(docs, ledger, key, text, rules)
+    blob, spans, clean = (free_name(docs, x) for x in ("blob", "spans", "clean"))
     found = staged(findings(docs.sparkSession, ledger, rules)
-                   .select(F.col("blob").alias("_blob"), F.col("found").alias("_found")), "secret-findings")
-    rows = docs.withColumn("_blob", blob_of(text)).join(found, "_blob", "left")
-    clean = F.when(F.col("_found").isNull(), F.col(text)).otherwise(redacted(F.col(text), F.col("_found")))
-    rows = rows.withColumn("_clean", clean)
-    out = {text: F.col("_clean")}
+                   .select(F.col("blob").alias(blob), F.col("found").alias(spans)), "secret-findings")
+    # Texts without a match stay where they are read.
+    held = suspect(utf8(text), rules)
+    rows = docs.where(held).withColumn(blob, blob_of(text)).join(found, blob, "left")
+    rows = rows.withColumn(clean, F.when(F.col(spans).isNull(), F.col(text))
+                           .otherwise(redacted(F.col(text), F.col(spans))))
+    out = {text: F.col(clean)}
     if size in docs.columns:
         kind = docs.schema[size].dataType
-        out[size] = F.when(F.col("_found").isNull(), F.col(size)).otherwise(F.length("_clean").cast(kind))
-    return rows.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+        out[size] = F.when(F.col(spans).isNull(), F.col(size)).otherwise(F.length(clean).cast(kind))
+    return docs.where(~held).unionByName(rows.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns]))
 
 
 def spans_text(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:

@@ -195,10 +195,18 @@ def test_pipeline_stages(spark, odd_docs):
 
 
 def test_pipeline_odd_rows(spark, odd_docs):
+    extra = {c: f"mine {c}" for c in ("_domain", "_lang_pred", "_blob", "_spans", "_clean", "_tokens", "_copies",
+                                      "rep", "n_shingles", "kept", "rules", "path", "suspect")}
+    odd_docs = odd_docs.withColumns({c: F.lit(v) for c, v in extra.items()})
+    extra |= {c: c for c in odd_docs.columns if c not in extra and odd_docs.schema[c].dataType.simpleString() == "string"
+              and c not in ("text", "lang", "source")}
     for rows in (odd_docs, odd_docs.where("false")):
         docs = rows
         for name, stage in corpus_pipeline.STAGES:
             docs = staged(stage(spark, docs, SF_SMALL), "pipeline-test")
+            if name != "packing":  # the caller's own columns are as they were
+                assert docs.columns == odd_docs.columns
+                assert all(r[c] == v for r in docs.collect() for c, v in extra.items())
             if name == "near_duplicates":
                 ids = [r.doc_id for r in docs.collect() if r.doc_id is not None]
                 assert len(ids) == len(set(ids))

@@ -112,7 +112,7 @@ def test_symbols_echo_brute_force():
     for lo, hi in zip(offsets[:-1], offsets[1:]):
         for i in range(lo, hi):
             echo = any(i - p - 3 >= lo and text[i - 3:i + 1] == text[i - p - 3:i - p + 1] for p in quality.ECHO)
-            assert got[i] == data[i] + 256 * echo
+            assert got[i] == int(data[i]) + 256 * echo
 
 
 def test_quality_held_out(spark):
