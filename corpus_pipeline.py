@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import langid, minhash, mixing, packing, secretscan
-from headway.llm.common import crc_mod, fresh_folder, small_batches, staged, table
+from headway.llm.common import crc_mod, free_name, fresh_folder, small_batches, staged, table
 from headway.llm.queries import MIX_WEIGHTS, domain_of, tokenizer_path
 
 ABOVE_CHANCE = 0.1
@@ -38,7 +38,7 @@ BUDGET = (9, 10)
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     model = langid.train(docs.where(crc_mod("doc_id", 4) != 2))
-    names = ("_lang_pred", "_lang_score", "_lang_fit")
+    names = tuple(free_name(docs, x) for x in ("lang_pred", "lang_score", "lang_fit"))
     chance = 1 / len(model.labels) if model else 0
     found = langid.predict(docs, model, names=names)
     known = F.col(names[0]) != langid.UNDETERMINED
@@ -64,10 +64,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = {("_domain" if k == "domain" else k): v for k, v in MIX_WEIGHTS.items()}
-    return mixing.mix(docs.withColumn("_domain", domain_of(F.col("source"))), weights,
-                      lambda total: total * BUDGET[0] // BUDGET[1], max_epochs=1,
-                      levels=("_domain", "lang", "source"), keep=tuple(docs.columns)).select(*docs.columns)
+    domain, tokens, copies = (free_name(docs, x) for x in ("domain", "tokens", "copies"))
+    weights = {(domain if k == "domain" else k): v for k, v in MIX_WEIGHTS.items()}
+    return mixing.mix(docs.withColumn(domain, domain_of(F.col("source"))), weights,
+                      lambda total: total * BUDGET[0] // BUDGET[1], max_epochs=1, levels=(domain, "lang", "source"),
+                      keep=tuple(docs.columns), names_out=(tokens, copies)).select(*docs.columns)
 
 
 def windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
