@@ -107,18 +107,50 @@ def route_status(trip_windows: DataFrame, as_of=None, minutes: int | None = None
 
 
 def route_trend(trip_windows: DataFrame, as_of=None, minutes: int = 15,
-                buckets: int = 10) -> DataFrame:
+                buckets: int = 10, every_bucket: bool = False) -> DataFrame:
     """Average delay per route in ``buckets`` equal slices of the last
     ``minutes`` before ``as_of`` (the sparkline), one row per (route,
-    agency, bucket)."""
+    agency, bucket).
+
+    ``every_bucket=True`` gives each route of the span its full series: a bucket
+    without rows has none (``trip_windows`` 0) and carries the last average
+    forward, null before the first one."""
     start = _ts(as_of) - F.expr(f"INTERVAL {int(minutes)} MINUTES")
     width_us = minutes * 60 * 1_000_000 // buckets
     b = F.floor((F.unix_micros(F.col("window_start")) - F.unix_micros(start)) / width_us)
     src = trip_windows.filter((F.col("window_start") >= start)
                               & (F.col("window_start") < _ts(as_of)))
-    return src.groupBy("route_id", "agency", b.cast("int").alias("bucket")).agg(
+    found = src.groupBy("route_id", "agency", b.cast("int").alias("bucket")).agg(
         round_dec(F.avg("max_arrival_delay_sec"), 9).alias("avg_delay_sec"),
         F.count(F.lit(1)).alias("trip_windows"))
+    if not every_bucket:
+        return found
+    # One row per route holds its few buckets: the grid needs no join, and null
+    # routes are routes of their own.
+    slots = found.groupBy("route_id", "agency").agg(F.map_from_entries(F.collect_list(F.struct(
+        "bucket", F.struct("avg_delay_sec", "trip_windows")))).alias("have"))
+    grid = slots.select("route_id", "agency", "have", F.explode(
+        F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
+    had = F.filter(F.sequence(F.col("bucket"), F.lit(0), F.lit(-1)),
+                   lambda i: F.try_element_at("have", i)["avg_delay_sec"].isNotNull())
+    last = F.try_element_at("have", F.try_element_at(had, F.lit(1)))["avg_delay_sec"]
+    here = F.try_element_at("have", F.col("bucket"))["trip_windows"]
+    return grid.select("route_id", "agency", "bucket", last.alias("avg_delay_sec"),
+                       F.coalesce(here, F.lit(0)).alias("trip_windows"))
+
+
+def vehicle_sketches(vehicles: DataFrame, size: str = "1 minute") -> DataFrame:
+    """(minute, sketch): a mergeable distinct-count sketch of the vehicles of each
+    minute.  Stored once, it answers every horizon (:func:`active_vehicles`)."""
+    return vehicles.groupBy(F.window("event_ts", size).alias("w")).agg(
+        F.hll_sketch_agg("vehicle_id").alias("sketch")).select(F.col("w.start").alias("minute"), "sketch")
+
+
+def active_vehicles(sketches: DataFrame, as_of=None, minutes: int = 15) -> DataFrame:
+    """One row: about how many vehicles reported in the last ``minutes``, from the
+    stored sketches; whole minutes from ``as_of`` back."""
+    recent = sketches.filter(_since("minute", as_of, minutes))
+    return recent.agg(F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("sketch")), F.lit(0)).alias("active_vehicles"))
 
 
 def reliability_latest(mart: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ from headway.operators.models import (
 )
 from headway.operators.ingest import ingest_counts
 from headway.operators.parse import feed_entities
+from headway.operators.sketches import delay_sketches, quantile_estimates
 from headway.operators.state import latest_route_state
 from headway.plans.refresh import refresh_models
 from headway.session import hadoop_fs, staging_folder
@@ -284,6 +285,43 @@ def route_trend_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dash.route_trend(trip_delay_windows(spark, sf_dir), AS_OF, minutes=24 * 60)
 
 
+def route_trend_full_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dash.route_trend(trip_delay_windows(spark, sf_dir), AS_OF, minutes=24 * 60, every_bucket=True)
+
+
+def active_vehicles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active vehicles of several horizons from one table of sketches, with the
+    exact counts and whether the estimate is within 5 %."""
+    stored = shared(dash.vehicle_sketches(vehicles(spark, sf_dir)))
+    none = F.lit(None).cast("long")
+    rows = None
+    for minutes in (60, 24 * 60, 7 * 24 * 60):
+        recent = vehicles(spark, sf_dir).filter(dash._since("event_ts", AS_OF, minutes))
+        exact = recent.agg(F.count_distinct("vehicle_id").alias("exact")).select(none.alias("about"), "exact")
+        about = dash.active_vehicles(stored, AS_OF, minutes).select(F.col("active_vehicles").alias("about"), none.alias("exact"))
+        both = about.unionByName(exact).withColumn("horizon_minutes", F.lit(minutes))
+        rows = both if rows is None else rows.unionByName(both)
+    one = rows.groupBy("horizon_minutes").agg(F.max("about").alias("about"), F.max("exact").alias("vehicles"))
+    near = F.abs(F.col("about") - F.col("vehicles")) <= 0.05 * F.col("vehicles") + 1
+    return one.select("horizon_minutes", "vehicles", near.alias("within"))
+
+
+def sketched_percentiles_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily medians and 95th percentiles per route merged from hourly sketches;
+    each checked by its rank among the day's delays (within 2 %)."""
+    stg = shared(stg_trips(spark, sf_dir))
+    keys = ["route_id", "event_date"]
+    days = quantile_estimates(shared(delay_sketches(stg, keys + ["hour_of_day"])), keys)
+    d = F.col("max_arrival_delay_sec")
+    ranks = stg.join(days, keys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(d < F.col(c)).alias(f"{c}_lo") for c in ("p50", "p95")],
+        *[F.count_if(d <= F.col(c)).alias(f"{c}_hi") for c in ("p50", "p95")])
+    near = [((F.col(f"{c}_lo") <= (q + 0.02) * F.col("n") + 1) & (F.col(f"{c}_hi") >= (q - 0.02) * F.col("n") - 1))
+            .alias(f"{c}_within") for c, q in (("p50", 0.5), ("p95", 0.95))]
+    return ranks.select(*keys, "n", *near)
+
+
 def reliability_latest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dash.reliability_latest(reliability(spark, sf_dir))
 
@@ -368,8 +406,8 @@ def refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/mart_route_reliability")
 
 
-def replayed(spark: SparkSession, messages: DataFrame, topic: str, start, slices: int = 4) -> str:
-    """Replay a topic through streaming queries; returns the output folder.
+def replayed(spark: SparkSession, messages: DataFrame, topic: str | None, start, slices: int = 4) -> str:
+    """Replay a topic (None: all topics of the messages) through streaming queries; returns the output folder.
 
     The messages are landed in one pass, partitioned into ``slices`` equal
     spans of their own time range.  One slice after the other is made visible to

@@ -8,7 +8,7 @@ DuckDB twins of :mod:`headway.plans.oracle`.
 from __future__ import annotations
 
 from headway.functions.columns import round_dec
-from headway.plans import batch
+from headway.plans import batch, live, oracle_live
 from headway.plans import oracle as duck_sql
 
 
@@ -74,9 +74,19 @@ QUERIES = {
                                        "typical_p95_delay_sec"),
     "table_freshness": batch.table_freshness_q,
     "score_metrics": batch.score_metrics_q,
+    "trip_delay_stream": live.trips_stream_q,
+    "running_cascades_stream": live.running_cascades_q,
+    "cascade_features_stream": live.features_stream_q,
+    "cascade_labels_stream": live.labels_stream_q,
+    "ingest_counts_stream": live.counts_in_flight_q,
+    "quality_stream": live.quality_in_flight_q,
+    "ingest_totals_stream": live.totals_stream_q,
+    "route_trend_full": batch.route_trend_full_q,
+    "active_vehicles_sketch": batch.active_vehicles_q,
+    "delay_percentiles_sketch": batch.sketched_percentiles_q,
 }
 
 
 def oracle() -> dict[str, str]:
-    sql = duck_sql.all_sql()
+    sql = duck_sql.all_sql() | oracle_live.all_sql()
     return {k: v for k, v in sql.items() if k in QUERIES}

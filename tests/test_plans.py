@@ -9,7 +9,9 @@ from headway.plans import registry
 
 # Queries that run actions while being built (a streaming replay, a model fit).
 EAGER = {"cascade_flags_stream", "route_speed_stream", "model_metrics", "refresh_models",
-         "upsert_table_state", "upsert_profiles"}
+         "upsert_table_state", "upsert_profiles", "trip_delay_stream", "running_cascades_stream",
+         "cascade_features_stream", "cascade_labels_stream", "ingest_counts_stream", "quality_stream",
+         "ingest_totals_stream"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 
