@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables: ``spark.checkpoint.dir``.
 
@@ -41,8 +44,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="headway-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # A core setting can't be changed in a running session; the folder is kept
+        # by the application that it was made for.
+        app = spark.sparkContext.applicationId
+        root = _SCRATCH.get(app) or _SCRATCH.setdefault(app, tempfile.mkdtemp(prefix="headway-ckpt-"))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root

@@ -173,3 +173,18 @@ def test_sketches_within_their_error(spark, n):
     about = dashboard.active_vehicles(dashboard.vehicle_sketches(vehicles), at(5).replace(tzinfo=None)).first()[0]
     exact = len(set(values))
     assert abs(about - exact) <= 0.05 * exact + 1
+
+
+def test_scratch_folder_where_none_is_set(monkeypatch):
+    """A local session without ``spark.checkpoint.dir`` gets one folder, once."""
+    from types import SimpleNamespace
+
+    from headway import session
+
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    context = SimpleNamespace(master="local[2]", applicationId="app-1", getCheckpointDir=lambda: "there")
+    bare = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, other: other))
+    assert session.checkpoint_root(bare) == session.checkpoint_root(bare)
+    context.master = "spark://host:7077"
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(bare)
