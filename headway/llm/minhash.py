@@ -14,11 +14,15 @@ confirmed on full sets in two steps that never list the pairs of a group:
 
 1. per key, every member against one member (the first in a hashed order);
    confirmed links make components;
-2. keys whose members lie in several components: all members outside the first
-   one's component against all members, in blocks of bounded size, inside
-   which intersections are counted by matrix products; only links between
-   components leave a block.  Members of whose shingles too many (for 80 %, over
-   a fifth) occur in no other such text are left out: they have no link.
+2. keys whose members lie in several components.  Members of whose shingles too
+   many (for 80 %, over a fifth) occur in no other such text are left out: they
+   have no link.  While a key has more members outside its first one's component
+   than a block holds, its members are tested against a few others of other
+   components (hashed anew in each round) and components join; rounds go on as
+   long as each takes away a quarter of the blocks that are left.  Then all
+   members outside the first one's component meet all members, in blocks of
+   bounded size, inside which intersections are counted by matrix products;
+   only links between components leave a block.
 
 So every pair that meets is either tested or already connected.
 
@@ -42,6 +46,10 @@ from headway.llm.graph import components
 CHUNKS, SYMBOLS = 8, 4
 SIGNATURE = [f"s{i}" for i in range(CHUNKS)]
 SETTLED = np.uint64(0x2545F4914F6CDD1D)
+#: Shingles that take as much of a block as a member itself does.
+MEMBER_WEIGHT = 512
+#: Members of a crowded key that the others are tested against in one round.
+PIVOTS = 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int,
@@ -154,11 +162,55 @@ def pairs_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
                                       names=["a", "b"])
 
 
+def crowds_joined(placed: DataFrame, confirmed, percent: int,
+                  block: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """The rounds of step 2 over (tag, part, rep, n, comp, main), rows of keys and
+    members with the member's component and the key's main one.
+
+    Returns the rows with their components joined, (tag, part, rows, cols) of the
+    blocks that are left in keys of several components, and the links found, pairs
+    of components.  The driver gets one number per round."""
+    key, edges, before = ["tag", "part"], [], None
+    weight = 1 + F.col("n") / MEMBER_WEIGHT
+    while True:
+        sizes = staged(placed.groupBy(*key).agg(
+            F.ceil(F.sum(F.when(F.col("comp") != F.col("main"), weight)) / block).cast("int").alias("rows"),
+            F.ceil(F.sum(weight) / block).cast("int").alias("cols")).where("rows > 0"), "minhash-sizes")
+        crowded = sizes.where("rows > 1")
+        blocks = crowded.agg(F.sum(F.col("rows").cast("long") * F.col("cols"))).first()[0]
+        if not blocks or before is not None and blocks * 4 > before * 3:
+            return placed, sizes, edges
+        before = blocks
+        crowd = placed.join(crowded.select(*key), key)
+        seeds = [F.lit(PIVOTS * len(edges) + i + 1) for i in range(PIVOTS)]
+        pivots = staged(crowd.groupBy(*key).agg(*[
+            F.min(F.struct(F.xxhash64("rep", x).alias("order"), "rep", "n", "comp")).alias(f"p{i}")
+            for i, x in enumerate(seeds)]), "minhash-pivots")
+        pivots = pivots.select(*key, F.explode(F.array_distinct(F.array(
+            *[f"p{i}" for i in range(PIVOTS)]))).alias("p"))
+        # The hashed order is that of all keys, so keys of the same group have the
+        # same pivots, and a pair is tested once.
+        tests = (crowd.join(pivots, key)
+                 .where((F.col("comp") != F.col("p.comp")) & _similar_size(F.col("n"), F.col("p.n"), percent))
+                 .select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b"),
+                         F.least("comp", "p.comp").alias("x"), F.greatest("comp", "p.comp").alias("y")))
+        tests = staged(tests.distinct(), "minhash-tests")
+        found = staged(confirmed(tests).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
+                       "minhash-round")
+        edges.append(found)
+        top = staged(components(found, "minhash-round"), "minhash-tops")
+        for c in ("comp", "main"):
+            placed = (placed.join(top.select(F.col("id").alias(c), F.col("root").alias("_top")), c, "left")
+                      .withColumn(c, F.coalesce("_top", c)).drop("_top"))
+        placed = staged(placed, "minhash-open")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5,
-                    percent: int = 80, block: int = 256) -> DataFrame:
+                    percent: int = 80, block: int = 2048) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row: components of the
     links with a Jaccard similarity of ``percent`` % or more; a row is kept if
-    its id is its component's smallest."""
+    its id is its component's smallest.  A block's side holds about ``block``
+    members, fewer of long texts: ``block`` times ``MEMBER_WEIGHT`` shingles."""
     sets = staged(signatures(docs, key, text, width), "minhash-sets")
     same = ["h1", "h2", "n"]
     reps = staged(sets.where("n > 0 and id is not null").groupBy(*same).agg(
@@ -191,17 +243,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text)).join(wanted, "id")
     full = staged(texts.mapInArrow(hashes, "id bigint, hashes array<bigint>"), "minhash-full")
-    a, b = (full.select(F.col("id").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    linked = (pairs.join(b, "b").join(a, "a")
-              .where(100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared))
-              .select("a", "b"))
-    joined = staged(components(linked, "minhash-step1"), "minhash-joined")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        a, b = (full.select(F.col("id").alias(c), F.col("hashes").alias(f"set_{c}")) for c in "ab")
+        shared = F.size(F.array_intersect("set_a", "set_b"))
+        return (pairs.join(b, "b").join(a, "a")
+                .where(100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared))
+                .drop("set_a", "set_b"))
+
+    joined = staged(components(confirmed(pairs), "minhash-step1"), "minhash-joined")
 
     # Step 2: keys whose members lie in several components.
     comp = F.coalesce("root", "rep").alias("comp")
     placed = (members.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
-              .select("tag", "part", "rep", "first", comp))
+              .select("tag", "part", "rep", "n", "first", comp))
     own = F.max(F.when(F.col("rep") == F.col("first"), F.col("comp"))).alias("main")
     # Aggregates are stored before they are joined back: with a plain shuffle on
     # both sides, the rows of a key that very many documents share are split.
@@ -209,8 +264,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                    .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), own)
                    .where("low <> high").select("tag", "part", "main"), "minhash-several")
     placed = staged(placed.join(mixed, ["tag", "part"])
-                    .select("tag", "part", "rep", "comp", (F.col("comp") != F.col("main")).alias("other")),
-                    "minhash-mixed")
+                    .select("tag", "part", "rep", "n", "comp", "main"), "minhash-mixed")
     # A text can't be linked with anything if more of it than a link may miss
     # occurs in no other text here: what it shares is at most the rest.
     alone = (full.join(placed.select(F.col("rep").alias("id")).distinct(), "id")
@@ -222,10 +276,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                   .where((F.col("n") - F.coalesce("own", F.lit(0))) * 100 >= F.col("n") * percent)
                   .select(F.col("id").alias("rep")).distinct(), "minhash-able")
     placed = staged(placed.join(able, "rep"), "minhash-open")
-    sizes = staged(placed.groupBy("tag", "part").agg(
-        F.ceil(F.sum(F.col("other").cast("int")) / block).cast("int").alias("rows"),
-        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("cols")), "minhash-sizes")
-    placed = placed.join(sizes, ["tag", "part"])
+    placed, sizes, edges = crowds_joined(placed, confirmed, percent, block)
+    placed = (placed.withColumn("other", F.col("comp") != F.col("main"))
+              .join(sizes, ["tag", "part"]))
     row = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rows")).cast("int")
     col = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("cols")).cast("int")
     left = placed.where("other").select(
@@ -256,6 +309,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     across = (dealt.select(*block_of, "side", "comp", "hashes").repartition(*block_of)
               .sortWithinPartitions(*block_of).mapInArrow(links, "a bigint, b bigint").distinct())
+    for found in edges:
+        across = across.unionByName(found)
     merged = components(across, "minhash-step2")
 
     final = (joined.join(merged.select(F.col("id").alias("root"), F.col("root").alias("top")), "root", "left")

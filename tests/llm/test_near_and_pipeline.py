@@ -10,7 +10,7 @@ from test_text_models import brute_words, check_packing
 
 import corpus_pipeline
 from odd_rows import no_docs, odd_docs  # noqa: F401
-from headway.llm import e8, lattice, minhash
+from headway.llm import e8, graph, lattice, minhash
 from headway.llm.common import staged, table
 from headway.llm.graph import components
 
@@ -39,6 +39,17 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("tail", [0, 4, 1024])
+def test_components_however_many_edges_are_left(spark, monkeypatch, tail):
+    monkeypatch.setattr(graph, "TAIL", tail)
+    rng = random.Random(tail)
+    edges = [(i, i + 1) for i in range(300, 380)] + [(5, i) for i in range(600, 640)]
+    edges += [(rng.randrange(100), rng.randrange(100)) for _ in range(60)]
+    got = {r.id: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    want = closure({x for e in edges if e[0] != e[1] for x in e}, edges)
+    assert got == want
+
+
 def shingle_set(text, width):
     w = brute_words(text)
     return ({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width
@@ -75,7 +86,7 @@ def groups():
     return rows
 
 
-@pytest.mark.parametrize("block", [4, 256])
+@pytest.mark.parametrize("block", [4, 2048])
 def test_minhash_brute_force(spark, groups, block):
     docs = spark.createDataFrame(groups, "doc_id bigint, text string")
     got = minhash.near_duplicates(docs, width=4, block=block).collect()
@@ -86,6 +97,23 @@ def test_minhash_brute_force(spark, groups, block):
     assert {r.id: r.n_shingles for r in got} == size
 
 
+def test_crowded_keys_are_joined_in_rounds(spark):
+    """One key of 95 members: 30 of one component, 60 that belong to it, five that are
+    linked with nothing; rounds join the 60, and blocks are left for the rest."""
+    rows = [(0, 0, i, 10, 0 if i < 30 else i, 0) for i in range(95)]
+    placed = spark.createDataFrame(rows, "tag int, part bigint, rep bigint, n bigint, comp bigint, main bigint")
+
+    def confirmed(pairs):  # all but the last five documents are linked with one another
+        return pairs.where("a < 90 and b < 90")
+
+    left, sizes, edges = minhash.crowds_joined(placed, confirmed, 80, 4)
+    assert len(edges) >= 1
+    comps = {r.rep: r.comp for r in left.collect()}
+    assert {comps[i] for i in range(90)} == {0} and all(comps[i] == i for i in range(90, 95))
+    (size,) = sizes.collect()
+    assert size.rows == 2 and size.cols >= 24
+
+
 def test_minhash_odd_rows(odd_docs, no_docs):
     got = minhash.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
