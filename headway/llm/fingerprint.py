@@ -27,18 +27,22 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from headway.llm import bytesops
-from headway.llm.common import utf8
+from headway.llm.common import staged, utf8
 
 IDENTITY_LANES = 16
 SKETCH_LANES = 256
 WORDS = 3
 SHORT_BYTES = 64
 RUN_BYTES = 4
+#: Marks of a range's first and last row among its results.
+HEAD, TAIL = 1, 2
+_HASH, _PLACE = "_text_hash", "_place"
 
 
 class Fingerprint:
@@ -207,111 +211,115 @@ def pieces(batch: pa.RecordBatch, at: int, limit: int = bytesops.BLOCK_BYTES):
         yield batch.slice(i, j - i)
 
 
-def constants(numbers: list[int]) -> Column:
-    """A constant array, given as one literal."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+def dealt_by_range(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text): the rows by descending key, dealt in ranges among the tasks and
+    sorted within each; a null text counts as empty.
 
-
-def lower_bound(ascending: list[int], key: Column) -> Column:
-    """How many of the numbers lie below the key, by binary search."""
-    at = constants(ascending)
-    halves = F.array(*[F.lit(0)] * len(ascending).bit_length())
-
-    def step(acc, _):
-        low, high = acc["low"], acc["high"]
-        mid = F.floor((low + high) / 2).cast("int")
-        right = (low < high) & (F.get(at, mid) < key)
-        return F.struct(F.when(right, mid + 1).otherwise(low).alias("low"),
-                        F.when(right | (low >= high), high).otherwise(mid).alias("high"))
-
-    return F.aggregate(halves, F.struct(F.lit(0).alias("low"), F.lit(len(ascending)).alias("high")),
-                       step, lambda acc: acc["low"])
-
-
-def dealt_by_range(docs: DataFrame, key: str, text: str, rows_per_range: int) -> DataFrame:
-    """(r, c, _k, key, text): the rows in ranges ``r`` by descending key, sorted
-    within; the first row of each range comes once more (c = 1) at the end of
-    the range before it, and that of the first range at the end of the last.
-
-    The keys are cut at approximate quantiles; only the ranges' largest keys,
-    one number per range, pass the driver.  Rows without a key come last.
+    Rows of one key (those without a key come last) are ordered by their text's
+    hash, and repeated rows by their place in the input, so neither a repeated
+    key nor a null one holds a range together.  The ranges are Spark's own.
     """
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_k"),
-                       F.col(key), utf8(text).alias(text))
-    keys = rows.select("_k")
-    ranges = max(1, -(-keys.count() // rows_per_range))
-    found = keys.agg(F.percentile_approx(
-        "_k", [i / ranges for i in range(1, ranges)] or [0.5], 100 * ranges)).first()[0]
-    cuts = sorted({int(c) for c in found or [0]})
-    # The number of cuts at or above the key: range 0 holds the largest keys.
-    rows = rows.withColumn("_r", F.lit(len(cuts)) - lower_bound(cuts, F.col("_k")))
-    heads = {r[0]: r[1] for r in rows.groupBy("_r").agg(F.max("_k")).collect()}
-    order = sorted(heads)
-    before = {r: order[i - 1] for i, r in enumerate(order)}
-    every = range(len(cuts) + 1)
-    head = constants([heads.get(r, 0) for r in every])[F.col("_r")]
-    extra = F.when(head == F.col("_k"), constants([before.get(r, 0) for r in every])[F.col("_r")].cast("int"))
-    place = F.struct(F.col("_r").alias("r"), F.lit(0).alias("c"))
-    again = F.struct(extra.alias("r"), F.lit(1).alias("c"))
-    return (rows.withColumn("_to", F.explode(F.when(extra.isNull(), F.array(place))
-                                             .otherwise(F.array(place, again))))
-            .select("_to.r", "_to.c", "_k", key, text)
-            .repartition("r")
-            .sortWithinPartitions("r", "c", F.desc("_k"), F.xxhash64(text)))
+    rows = docs.select(F.col(key), utf8(text).alias(text))
+    rows = rows.select(key, text, F.xxhash64(text).alias(_HASH), F.monotonically_increasing_id().alias(_PLACE))
+    order = [F.col(key).desc_nulls_last(), F.col(_HASH).asc(), F.col(_PLACE).asc()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(key, text)
 
 
 def neighbours(batches, limit: int = bytesops.BLOCK_BYTES):
-    """Runs of (keys, texts, next texts) of about ``limit`` characters, from the
-    rows of ``dealt_by_range``."""
-    held = None  # the row that waits for its neighbour: (range, key, text)
+    """Runs of (keys, texts, next texts) of about ``limit`` characters from sorted
+    (key, text) rows; at the end ("ends", first text, last key, last text), if
+    there was a row.  The last row has no neighbour here."""
+    held = first = None
     keys, texts, later, size = [], [], [], 0
     for b in batches:
-        for part in pieces(b, 4, limit):
-            for r, c, k, t in zip(*(part.column(i).to_pylist() for i in (0, 1, 3, 4))):
-                if held is not None and held[0] == r:
-                    keys.append(held[1])
-                    texts.append(held[2])
+        for part in pieces(b, 1, limit):
+            for k, t in zip(*(c.to_pylist() for c in part.columns)):
+                if held is None:
+                    first = t
+                else:
+                    keys.append(held[0])
+                    texts.append(held[1])
                     later.append(t)
                     size += len(t)
-                held = (r, k, t) if not c else None
+                held = (k, t)
                 if size >= limit:
                     yield keys, texts, later
                     keys, texts, later, size = [], [], [], 0
     if keys:
         yield keys, texts, later
+    if held is not None:
+        yield "ends", first, *held
 
 
-def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                        rows_per_range: int = 5_000) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next); in the edited text, the last third of the code
     points is replaced by the start of the next document by descending key
-    (after the last: the first; a single document is its own neighbour)."""
-    kind = docs.select(key).schema[0].dataType
+    (after the last: the first; a single document is its own neighbour).
 
-    def run(batches):
+    Every task pairs the rows of its range.  What crosses a border, one first and
+    one last row per range, is stored with the results and joined by the ranges'
+    order; nothing of it reaches the driver.
+    """
+    kind = docs.select(key).schema[0].dataType
+    key_type = to_arrow_type(kind)
+    results = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    kinds = ["bigint", "string", "string", "string", "double", "double"]
+    arrow = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+    def compared(texts, later, powers) -> list[list]:
+        edited = [t[:len(t) - len(t) // 3] + s[:len(t) // 3] for t, s in zip(texts, later)]
+        own = fingerprints(texts, powers)
+        changed = fingerprints(edited, powers)
+        # A row's neighbour is the row after it, but at a border.
+        if texts[1:] == later[:-1]:
+            following = own[1:] + fingerprints(later[-1:], powers)
+        else:
+            following = fingerprints(later, powers)
+        return [[len(t) for t in texts],
+                [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited],
+                own, changed,
+                [likeness(x, y) for x, y in zip(own, changed)],
+                [likeness(x, y) for x, y in zip(own, following)]]
+
+    def in_range(batches):
         powers = bytesops.Powers()
-        for keys, texts, later in neighbours(batches):
-            edited = [t[:len(t) - len(t) // 3] + s[:len(t) // 3] for t, s in zip(texts, later)]
-            own = fingerprints(texts, powers)
-            changed = fingerprints(edited, powers)
-            # A row's neighbour is the row after it, but at the end of a range.
-            if texts[1:] == later[:-1]:
-                following = own[1:] + fingerprints(later[-1:], powers)
+        at = TaskContext.get().partitionId()
+        for keys, *more in neighbours(batches):
+            if keys == "ends":
+                first, last, tail = more
+                keys, found, ends, texts = [None, last], [[None, None]] * 6, [HEAD, TAIL], [first, tail]
             else:
-                following = fingerprints(later, powers)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys, key_type), pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest()
-                          for t in edited]),
-                pa.array(own), pa.array(changed),
-                pa.array([likeness(x, y) for x, y in zip(own, changed)], pa.float64()),
-                pa.array([likeness(x, y) for x, y in zip(own, following)], pa.float64()),
-            ], names=names)
+                found, ends, texts = compared(*more, powers), [0] * len(keys), [None] * len(keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([at] * len(keys), pa.int32()), pa.array(ends, pa.int32()),
+                 pa.array(texts, pa.string()), pa.array(keys, key_type),
+                 *(pa.array(x, t) for x, t in zip(found, arrow))], names=stored)
+
+    stored = ["range", "end", "text", "key", *results]
+    fields = ", ".join(f"{n} {k}" for n, k in zip(results, kinds))
+    out = staged(dealt_by_range(docs, key, text).mapInArrow(
+        in_range, f"range int, end int, text string, key {kind.simpleString()}, {fields}"), "fingerprint-ranges")
+
+    # One number per range goes through this window: ranges may be empty.
+    ranges = out.where(F.col("end") == HEAD).select("range")
+    after = staged(ranges.select("range", F.coalesce(
+        F.lead("range").over(Window.orderBy("range")),
+        F.min("range").over(Window.orderBy("range").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing))).alias("later")), "fingerprint-order")
+    tails = out.where(F.col("end") == TAIL).select("range", "key", "text").join(after, "range")
+    heads = out.where(F.col("end") == HEAD).select(F.col("range").alias("later"), F.col("text").alias("next"))
+
+    def across(batches):
+        powers = bytesops.Powers()
+        for b in batches:
+            for part in pieces(b, 1):
+                keys, texts, later = (part.column(i) for i in range(3))
+                found = compared(texts.to_pylist(), later.to_pylist(), powers)
+                yield pa.RecordBatch.from_arrays(
+                    [keys, *(pa.array(x, t) for x, t in zip(found, arrow))], names=["key", *results])
 
-    key_type = to_arrow_type(kind)
-    names = [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-             "near_edited", "near_next"]
-    return dealt_by_range(docs, key, text, rows_per_range).mapInArrow(
-        run, f"`{key}` {kind.simpleString()}, n_chars bigint, edited_sha256 string, "
-             "fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    borders = tails.join(heads, "later").select("key", "text", "next").mapInArrow(
+        across, f"key {kind.simpleString()}, {fields}")
+    return (out.where(F.col("end") == 0).select("key", *results).unionByName(borders)
+            .withColumnRenamed("key", key))

@@ -170,10 +170,40 @@ def test_fingerprint_insert_delete_order():
     assert fp.insert("x").hex() != text
 
 
-@pytest.mark.parametrize("size", [1, 3, 1000])
-def test_edited_fingerprints_brute_force(spark, odd_docs, size):
+@pytest.fixture
+def ranges(spark):
+    """Sets how many ranges rows are dealt to."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+
+    def deal(number):
+        spark.conf.set(names[0], str(number))
+        spark.conf.set(names[1], "false")
+
+    yield deal
+    for n, v in before.items():
+        spark.conf.set(n, v)
+
+
+def test_edited_fingerprints_of_repeated_and_null_keys(spark, ranges):
+    """Rows of one key and rows that repeat as a whole go to several ranges, and
+    each row's neighbour is the next one's text; keys may be texts."""
+    ranges(4)
+    rows = [(None, "null one two three")] * 40 + [("b", "same four five six")] * 40 + [("a", f"x {i} y") for i in range(9)]
+    docs = spark.createDataFrame(rows, "id string, text string").repartition(3)
+    dealt = fingerprint.dealt_by_range(docs, "id", "text")
+    parts = dealt.select(F.spark_partition_id().alias("p"), "id").distinct().collect()
+    assert all(len({r.p for r in parts if r.id == k}) > 1 for k in (None, "b"))
+    got = fingerprint.edited_fingerprints(docs, key="id").collect()
+    assert len(got) == len(rows) and sum(r.near_next == 1.0 for r in got) == 39 + 39
+    assert [r.id for r in got].count(None) == 40
+
+
+@pytest.mark.parametrize("size", [1, 3, 40])
+def test_edited_fingerprints_brute_force(spark, odd_docs, ranges, size):
+    ranges(size)
     rows = odd_docs.where("doc_id <> 7")
-    got = fingerprint.edited_fingerprints(rows, rows_per_range=size).collect()
+    got = fingerprint.edited_fingerprints(rows).collect()
     low = -(1 << 63)
     ordered = sorted(((-(r.doc_id if r.doc_id is not None else low), r.text or "") for r in rows.collect()),
                      key=lambda x: x[0])
