@@ -1,19 +1,21 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines (one per block element; a blank line stands for
-every block boundary, several for a removed zone).  The text lengths of the
-lines, without link text, are summed over sliding windows; a run of lines
-from a surge point (the window sum jumps to ``surge`` or more) to the next
-dive point (the sum falls to zero) is kept, and with it the short runs that lie
-in the same element (a removed zone inside the text parts it).  Zones that markup itself names as
+every block boundary, one more for each element in between that holds others,
+several for a removed zone).  The text lengths of the lines, without link text,
+are summed over sliding windows; a run of lines goes from a surge point (the sum
+leaves zero) to the next dive point (it falls to zero: so many boundaries, or a
+zone, follow one another).  Runs whose sums reach both ``surge`` and one
+``share``-th of the page's highest are kept, and with them the short runs that
+lie in the same element, in one within, or in the innermost element around all
+kept runs.  Zones that markup itself names as
 boilerplate (navigation, page headers and footers, asides, forms, adverts,
 notices, comments, scripts, styles) count as removed; a form, an unclosed element
 or one that only its class, id or role names is no zone where it holds an article,
 or the page's highest window sum and the bulk of its text.  Where a page marks its
 article (``article`` or ``main``), runs end at the element's borders, link text
-in it counts like other text and its runs weigh ``surge`` times as much, so that
-all of it is kept; runs outside are kept where they surge by themselves.  Lines
-of links alone between two kept lines stay.
+in it counts like other text and all of its runs are kept; runs outside are kept
+where they surge by themselves.  Lines of links alone between two kept lines stay.
 
 Null and empty pages give an empty text.  Where nothing surges, the run with
 the highest window sum that isn't all links is kept, so that short pages keep
@@ -272,11 +274,12 @@ def _removed(page: str, tags: list[tuple], window: int, surge: int) -> tuple[lis
 
 
 def _lines(page: str, tags: list[tuple], zones: list[tuple], articles: list[tuple],
-           window: int) -> list[list]:
+           window: int, parents: dict[int, int] | None = None) -> list[list]:
     """[text pieces, counted length, number of its article or 0, innermost holder, tag
     before its longest piece] per line; blank lines stand for block boundaries and
     removed zones."""
     blank = [[], 0, 0, -1, -1]
+    parents = {} if parents is None else parents
     lines: list[list] = [[[], 0, 0, -1, -1]]
     holders: list[tuple[str, int]] = []
     z = a = links = longest = 0
@@ -297,6 +300,7 @@ def _lines(page: str, tags: list[tuple], zones: list[tuple], articles: list[tupl
         if not own:
             if tag in HOLDERS:
                 if not end:
+                    parents[i] = holders[-1][1] if holders else -1
                     holders.append((tag, i))
                 else:
                     open_at = next((k for k in range(len(holders) - 1, -1, -1) if holders[k][0] == tag), None)
@@ -310,6 +314,8 @@ def _lines(page: str, tags: list[tuple], zones: list[tuple], articles: list[tupl
                 links = 0
                 if lines[-1][0]:
                     lines += [blank, [[], 0, 0, -1, -1]]
+                if tag in HOLDERS:
+                    lines.insert(-1, blank)
         stop = tags[i + 1][3] if i + 1 < n else len(page)
         if at < stop:
             while a < len(articles) and articles[a][1] <= i:
@@ -329,12 +335,32 @@ def _lines(page: str, tags: list[tuple], zones: list[tuple], articles: list[tupl
     return lines
 
 
-def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
+def _inside(within: set[int], parents: dict[int, int], tags: list[tuple]) -> set[int]:
+    """The given holders, all holders in them (the page's body is none), and all in
+    the innermost holder around every one of them."""
+    held = dict.fromkeys(parents, 0)
+    for h in within:
+        if h in held:
+            held[h] = 1
+    for h in reversed(parents):  # an element opens after those around it
+        if parents[h] in held:
+            held[parents[h]] += held[h]
+    common = max((h for h, n in held.items() if n == len(within)), default=-1)
+    out = set(within)
+    for h, around in parents.items():
+        wraps = around >= 0 and around in out and tags[around][1] != "body"
+        if tags[h][1] != "body" and (h == common or wraps):
+            out.add(h)
+    return out
+
+
+def main_text(page: str | None, window: int = 3, surge: int = 80, share: int = 3) -> str:
     """The main text of one page; blocks joined by one newline."""
     if not page:
         return ""
     tags = _scan(page)
-    lines = _lines(page, tags, *_removed(page, tags, window, surge), window)
+    parents: dict[int, int] = {}
+    lines = _lines(page, tags, *_removed(page, tags, window, surge), window, parents)
     texts = [" ".join(_html.unescape("".join(x[0])).split()) if x[0] else "" for x in lines]
     size = [x[1] if t else 0 for x, t in zip(lines, texts)]
     n = len(size)
@@ -355,13 +381,15 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
         while j < edge and (block := sum(size[j:min(j + window, edge)])) > 0:  # the dive point ends the run
             peak = max(peak, block)
             j += 1
-        runs.append((peak * max(1, surge) if lines[i][2] else peak, i, j))
+        runs.append((peak, i, j))
         i = j
-    kept = {r for r in runs if r[0] >= surge} or set(
+    least = max(surge, max((r[0] for r in runs), default=0) / share)
+    kept = {r for r in runs if r[0] >= (1 if lines[r[1]][2] else least)} or set(
         [max(runs, key=lambda r: (r[0], -r[1]))] if runs else ())
     within = {lines[k][3] for _, i, j in kept for k in range(i, j) if texts[k]}
+    inside = _inside(within, parents, tags)
     chosen = [k for r in runs for k in range(r[1], r[2])
-              if texts[k] and (r in kept or lines[k][3] in within)]
+              if texts[k] and (r in kept or lines[k][3] in inside)]
     if not chosen:
         return ""
     stay = set(chosen)
@@ -370,12 +398,13 @@ def main_text(page: str | None, window: int = 3, surge: int = 80) -> str:
 
 
 def extract_main_text(pages: DataFrame, key: str = "page_id", url: str = "url",
-                      html: str = "html", window: int = 3, surge: int = 80) -> DataFrame:
+                      html: str = "html", window: int = 3, surge: int = 80,
+                      share: int = 3) -> DataFrame:
     """(key, url, text, n_chars) for every row; nothing is shuffled."""
 
     def run(batches):
         for b in batches:
-            texts = [main_text(x, window, surge) for x in b.column(2).to_pylist()]
+            texts = [main_text(x, window, surge, share) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=names)

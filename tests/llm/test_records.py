@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 
 import pytest
@@ -220,12 +221,89 @@ def article_blocks(page):
 
 
 def test_html_on_the_tables_without_articles(spark):
-    """The same pages with a plain div: windows and runs alone find the same blocks."""
+    """The same pages with a plain div for the article; other zones keep their names."""
     for r in table(spark, SF_CHECK, "pages").collect():
         page = r.html.replace("<article>", "<div>").replace("</article>", "</div>")
         assert htmltext.main_text(page) == article_blocks(r.html), r.page_id
 
 
+def unmarked(page):
+    """The page with plain divs for its landmarks, and no class, id or role."""
+    page = re.sub(r"<(/?)(article|nav|header|footer|aside|section)\b", r"<\1div", page)
+    return re.sub(r"""\s(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+
+
+def test_html_windows_alone_drop_boilerplate(spark):
+    """Without any zone's name, adverts and copyright lines go on nine pages of ten or
+    more, and no block of an article is lost."""
+    import html
+
+    rows = table(spark, SF_CHECK, "pages").collect()
+    adverts = rights = 0
+    for r in rows:
+        got = htmltext.main_text(unmarked(r.html)).split("\n")
+        assert set(article_blocks(r.html).split("\n")) <= set(got), r.page_id
+        ad = re.search(r'<div class="ad">(.*?)</div>', r.html, re.S)
+        adverts += bool(ad) and " ".join(html.unescape(ad[1]).split()) in got
+        rights += any(x.startswith("©") for x in got)
+    assert adverts <= len(rows) / 10 and rights <= len(rows) / 10
+
+
+def plain_windows(page, window, surge, share):
+    """The method line by line, for pages of div, p, h1 and text alone."""
+    lines, path, number = [("", ())], [], 0
+    for piece in re.findall(r"<[^>]*>|[^<]+", page):
+        if piece[0] != "<":
+            lines[-1] = (piece.strip(), tuple(path))
+            continue
+        if lines[-1][0]:
+            lines += [("", ()), ("", ())]
+        if "div" in piece:
+            lines.append(("", ()))
+            number += 1
+            if piece == "<div>":
+                path.append(number)
+            else:
+                path.pop()
+    size = [len(t) for t, _ in lines]
+    runs, k = [], 0
+    while k < len(size):
+        first, peak = k, 0
+        while k < len(size) and size[first] and sum(size[k:k + window]):
+            peak = max(peak, sum(size[k:k + window]))
+            k += 1
+        if peak:
+            runs.append((peak, range(first, k)))
+        k += not size[first]
+    top = max((r[0] for r in runs), default=0)
+    kept = [r for r in runs if r[0] >= max(surge, top / share)] or [r for r in runs if r[0] == top][:1]
+    chosen = {k for _, r in kept for k in r if size[k]}
+    homes = {lines[k][1] for k in chosen}
+    common = ()
+    while homes and all(len(h) > len(common) and h[:len(common) + 1] == min(homes)[:len(common) + 1] for h in homes):
+        common = min(homes)[:len(common) + 1]
+    for k, (t, home) in enumerate(lines):
+        if t and (home in homes or any(h and home[:len(h)] == h for h in [*homes, common])):
+            chosen.add(k)
+    return "\n".join(lines[k][0] for k in sorted(chosen))
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_html_windows_against_plain_loops(seed):
+    rng = random.Random(seed)
+
+    def element(depth):
+        if depth == 4 or rng.random() < 0.5:
+            name = rng.choice(["p", "p", "h1"])
+            return f"<{name}>{'x' * rng.choice([1, 5, 20, 60, 90, 200, 700])}</{name}>"
+        return f"<div>{''.join(element(depth + 1) for _ in range(rng.randrange(4)))}</div>"
+
+    for _ in range(25):
+        page = "".join(element(0) for _ in range(rng.randrange(1, 6)))
+        args = (rng.choice([1, 2, 3, 4]), rng.choice([0, 40, 80]), rng.choice([2, 3, 5]))
+        assert htmltext.main_text(page, *args) == plain_windows(page, *args), (page, args)
+
+
 LONG = "A sentence of the main text that goes on for long enough to be a surge on any page at all."
 
 
