@@ -69,8 +69,8 @@ def shared(df: DataFrame) -> DataFrame:
     computed once.  It is written as a Parquet table under the session's
     ``spark.checkpoint.dir``: that cuts the lineage (an executor lost later
     does not replay the JSON parsing), and the branches' own filters and
-    projections push down into its scan.  The folder expires (see
-    ``staging_folder``)."""
+    projections push down into its scan.  The folder goes with the run
+    (see ``run_folder``)."""
     path = staging_folder(df.sparkSession, "shared")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import time
@@ -63,15 +65,53 @@ def hadoop_fs(spark: SparkSession, path: str):
     return obj.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), obj
 
 
-def staging_folder(spark: SparkSession, name: str, keep_hours: int = 48) -> str:
-    """A fresh folder for a staged table.  Folders are filed by the hour they
-    were asked for; hours older than ``keep_hours`` are deleted on the way."""
-    top = scratch_path(spark, "headway-staging")
-    hour = int(time.time() // 3600)
-    fs, obj = hadoop_fs(spark, top)
-    if fs.exists(obj):
-        for status in fs.listStatus(obj):
-            old = status.getPath().getName()
-            if old.isdigit() and int(old) < hour - keep_hours:
-                fs.delete(status.getPath(), True)
-    return f"{top}/{hour}/{name}-{uuid.uuid4().hex}"
+_RUN = uuid.uuid4().hex[:12]
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this run's staged tables.  It goes when the run's JVM ends
+    (by Hadoop's delete-on-exit), however long that takes; no other run's age
+    rule touches it.  What a killed driver leaves is for ``expire_runs``."""
+    path = scratch_path(spark, "headway-staging", f"{spark.sparkContext.applicationId}-{_RUN}")
+    fs, obj = hadoop_fs(spark, path)
+    if not fs.exists(obj):
+        fs.mkdirs(obj)
+        fs.deleteOnExit(obj)
+    return path
+
+
+_SCOPE: contextvars.ContextVar[str] = contextvars.ContextVar("headway_staging_scope", default="")
+
+
+def staging_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a staged table of this run."""
+    return f"{run_folder(spark)}/{_SCOPE.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def staging_scope(spark: SparkSession, name: str):
+    """What is staged in the ``with`` block (of this thread) is deleted at its end:
+    for steps whose result is written elsewhere before."""
+    scope = f"{_SCOPE.get()}{name}-{uuid.uuid4().hex}/"
+    token = _SCOPE.set(scope)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        fs, obj = hadoop_fs(spark, f"{run_folder(spark)}/{scope}")
+        fs.delete(obj, True)
+
+
+def expire_runs(spark: SparkSession, hours: float) -> list[str]:
+    """Delete the folders of other runs that staged nothing for ``hours``; only
+    to be called with more hours than any run can take.  Returns their names."""
+    own = run_folder(spark)
+    fs, obj = hadoop_fs(spark, os.path.dirname(own))
+    gone = []
+    for run in fs.listStatus(obj):
+        name = run.getPath().getName()
+        last = max([run.getModificationTime(), *(s.getModificationTime() for s in fs.listStatus(run.getPath()))])
+        if name != os.path.basename(own) and last < (time.time() - hours * 3600) * 1000:
+            fs.delete(run.getPath(), True)
+            gone.append(name)
+    return gone
