@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from headway.llm import langid, minhash, mixing, packing, secretscan
 from headway.llm.common import crc_mod, free_name, fresh_folder, small_batches, staged, table
 from headway.llm.queries import MIX_WEIGHTS, domain_of, tokenizer_path
+from headway.session import staging_scope
 
 ABOVE_CHANCE = 0.1
 MIN_FIT = 0.5
@@ -91,5 +92,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = fresh_folder(spark, f"pipeline-{name}")
+        with staging_scope(spark, name):  # a stage's own tables go when its rows are written
+            rows = stage(spark, docs, sf_dir)
+            schema = rows.schema
+            rows.write.parquet(path)
+        docs = spark.read.schema(schema).parquet(path)
     return docs

@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder that driver and executors share (it expires)."""
+    """A fresh folder that driver and executors share (it goes with the run)."""
     return staging_folder(spark, f"llm-{name}")
 
 
