@@ -7,7 +7,7 @@ engine rounds a binary tie.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from headway.functions.columns import clamp_score, is_rush_hour, round_dec, safe_ratio
@@ -153,28 +153,7 @@ def route_reliability(hourly: DataFrame, frame: str = "rows", by_agency: bool =
     The window input is one row per route-day, so partitioning it by route
     stays small whatever the event volume.
     """
-    rush = F.col("is_rush_hour")
-    daily = hourly.groupBy("route_id", "agency", "event_date").agg(
-        F.sum("total_trips").alias("daily_trips"),
-        F.sum("severe_trips").alias("daily_severe"),
-        F.sum("on_time_trips").alias("daily_on_time"),
-        F.avg("avg_delay_sec").alias("daily_avg_delay_sec"),
-        F.max("max_delay_sec").alias("daily_max_delay_sec"),
-        F.percentile("p95_delay_sec", 0.5).alias("typical_p95_delay_sec"),
-        F.max(F.col("had_cascade").cast("int")).alias("had_cascade_event"),
-        F.sum("cascade_count").alias("total_cascade_windows"),
-        F.sum(F.when(rush, F.col("severe_trips")).otherwise(0)).alias("rush_hour_severe"),
-        F.sum(F.when(rush, F.col("total_trips")).otherwise(0)).alias("rush_hour_trips"),
-    )
-    part = ["route_id"] + (["agency"] if by_agency else [])
-    if frame == "rows":
-        w = Window.partitionBy(*part).orderBy("event_date", "agency").rowsBetween(-6, 0)
-    elif frame == "range":
-        day = F.datediff(F.col("event_date"), F.lit("1970-01-01").cast("date"))
-        daily = daily.withColumn("_day", day)
-        w = Window.partitionBy(*part).orderBy("_day").rangeBetween(-6, 0)
-    else:
-        raise ValueError(f"frame must be 'rows' or 'range', not {frame!r}")
+    daily, w = _daily(hourly), _last_7(frame, by_agency)
     on_time_pct = round_dec(safe_ratio("daily_on_time", "daily_trips") * 100, 1)
     rolling = daily.select(
         "*",
@@ -196,3 +175,43 @@ def route_reliability(hourly: DataFrame, frame: str = "rows", by_agency: bool =
         "rolling_7d_on_time_pct", "rolling_7d_avg_delay_sec", "rolling_7d_cascade_count",
         clamp_score(score, null_score).alias("reliability_score"),
     )
+
+
+def _daily(hourly: DataFrame) -> DataFrame:
+    rush = F.col("is_rush_hour")
+    return hourly.groupBy("route_id", "agency", "event_date").agg(
+        F.sum("total_trips").alias("daily_trips"),
+        F.sum("severe_trips").alias("daily_severe"),
+        F.sum("on_time_trips").alias("daily_on_time"),
+        F.avg("avg_delay_sec").alias("daily_avg_delay_sec"),
+        F.max("max_delay_sec").alias("daily_max_delay_sec"),
+        F.percentile("p95_delay_sec", 0.5).alias("typical_p95_delay_sec"),
+        F.max(F.col("had_cascade").cast("int")).alias("had_cascade_event"),
+        F.sum("cascade_count").alias("total_cascade_windows"),
+        F.sum(F.when(rush, F.col("severe_trips")).otherwise(0)).alias("rush_hour_severe"),
+        F.sum(F.when(rush, F.col("total_trips")).otherwise(0)).alias("rush_hour_trips"),
+    )
+
+
+def _last_7(frame: str, by_agency: bool, back: int = 6, ahead: int = 0) -> WindowSpec:
+    part = ["route_id"] + (["agency"] if by_agency else [])
+    if frame == "rows":
+        return Window.partitionBy(*part).orderBy("event_date", "agency").rowsBetween(-back, ahead)
+    if frame == "range":
+        day = F.datediff(F.col("event_date"), F.lit("1970-01-01").cast("date"))
+        return Window.partitionBy(*part).orderBy(day).rangeBetween(-back, ahead)
+    raise ValueError(f"frame must be 'rows' or 'range', not {frame!r}")
+
+
+def reliability_reach(days: DataFrame, frame: str = "rows", by_agency: bool = False) -> DataFrame:
+    """What a change of some days can reach in :func:`route_reliability`.
+
+    ``days``: one row per (route_id, agency, event_date) with a boolean
+    ``changed`` (a day that is new counts as changed).  Returns them with
+    ``affected`` (a changed day lies in the row's frame) and ``needed`` (the
+    row lies in the frame of an affected one).  The mart over the needed days
+    alone has the right values on the affected ones."""
+    behind = _last_7(frame, by_agency)
+    before = _last_7(frame, by_agency, back=0, ahead=6)
+    return (days.withColumn("affected", F.max("changed").over(behind))
+            .withColumn("needed", F.max("affected").over(before)))

@@ -66,28 +66,45 @@ def test_upsert_null_keys_and_null_partition(spark, tmp_dir):
     assert got == [("a", 2), ("b", 2), ("c", 2), ("d", 3)]
 
 
-def test_upsert_crash_keeps_the_last_commit(spark, tmp_dir, monkeypatch):
+def test_upsert_crash_keeps_the_last_state(spark, tmp_dir, monkeypatch):
     from headway.sinks import tables
 
     path = f"{tmp_dir}/crash"
-    upsert_table(spark, path, spark.createDataFrame([Row(k=1, v=1), Row(k=2, v=1)]), ["k"], partition_col=None)
 
     def crash(*_):
         raise RuntimeError("crash")
 
-    with monkeypatch.context() as m:
-        m.setattr(tables, "_commit", crash)  # after the data is written
-        with pytest.raises(RuntimeError):
-            upsert_table(spark, path, spark.createDataFrame([Row(k=2, v=2)]), ["k"], partition_col=None)
-    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == {(1, 1), (2, 1)}
-    upsert_table(spark, path, spark.createDataFrame([Row(k=2, v=2)]), ["k"], partition_col=None)
-    want = {(1, 1), (2, 2)}
-    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == want
-    tables.vacuum_table(spark, path, keep=1)
-    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == want
-    assert len([f for f in os.listdir(f"{path}/data") if f.startswith("version=")]) == 1
-    with pytest.raises(RuntimeError):
-        tables._commit(spark, path, 2, {})
+    def put(*rows, **options):
+        upsert_table(spark, path, spark.createDataFrame([Row(k=k, v=v) for k, v in rows]), ["k"],
+                     partition_col=None, **options)
+
+    for first in (True, False):
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_point", crash)  # after the data is written
+            with pytest.raises(RuntimeError):
+                put((1, 1), (2, 1)) if first else put((2, 2))
+        if first:
+            assert tables.table_state(spark, path) is None
+            put((1, 1), (2, 1))
+        assert {(r.k, r.v) for r in read_table(spark, path).collect()} == {(1, 1), (2, 1)}
+    put((2, 2))
+    assert {(r.k, r.v) for r in read_table(spark, path).collect()} == {(1, 1), (2, 2)}
+    assert [f for f in os.listdir(path) if f.endswith(".json")] == ["current.json"]
+
+
+def test_upsert_keeps_earlier_states_for_readers(spark, tmp_dir):
+    path = f"{tmp_dir}/states"
+
+    def put(v):
+        upsert_table(spark, path, spark.createDataFrame([Row(k=1, v=v)]), ["k"], partition_col=None, keep_states=2)
+
+    put(0)
+    early = read_table(spark, path)
+    put(1), put(2)
+    assert early.first().v == 0  # a reader of two states ago
+    put(3)
+    assert len([f for f in os.listdir(f"{path}/data") if f.startswith("version=")]) == 3
+    assert [r.v for r in read_table(spark, path).collect()] == [3]
 
 
 def test_upsert_rejects_keys_that_can_move(spark, tmp_dir):
@@ -132,6 +149,127 @@ def test_incremental_mark_survives_a_repeated_hour(spark):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_interleaved_layout_skips_on_both_columns(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    # Of many values each; with the five routes of this table the plain order is as good.
+    stg = batch.stg_trips(spark, SF_SMALL).select("trip_id", "event_date", "max_arrival_delay_sec").cache()
+    columns = ["trip_id", "event_date"]
+    for name, interleave in (("plain", False), ("mixed", True)):
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            write_table(stg, f"{tmp_dir}/{name}", cluster_by=columns, interleave=interleave)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        back = spark.read.parquet(f"{tmp_dir}/{name}")
+        assert back.columns == stg.columns
+        assert back.exceptAll(stg).count() == 0 and stg.exceptAll(back).count() == 0
+
+    def groups_read(name, column):
+        """Row groups whose statistics admit a value, on average over the values."""
+        stats = []
+        for f in glob.glob(f"{tmp_dir}/{name}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(column)
+            stats += [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        values = [r[0] for r in stg.select(column).distinct().collect()]
+        return sum(s.min <= v <= s.max for v in values for s in stats) / len(values), len(stats)
+
+    found = {(n, c): groups_read(n, c) for n in ("plain", "mixed") for c in columns}
+    for c in columns:  # either filter skips most groups
+        read, total = found["mixed", c]
+        assert read <= total / 3, found
+    assert max(found["mixed", c][0] for c in columns) < 0.7 * max(found["plain", c][0] for c in columns), found
+    assert sum(found["mixed", c][0] for c in columns) < sum(found["plain", c][0] for c in columns), found
+
+
+def test_interleaved_key_on_odd_columns(spark):
+    from headway.sinks.tables import with_interleaved_key
+
+    rows = [(None, None), ("b", 2.0), ("a", None), ("a", float("nan")), ("", -1.0)] * 2
+    df = spark.createDataFrame(rows, "s string, x double")
+    keyed = with_interleaved_key(df, ["s", "x"], "z", bits=2).collect()
+    assert len(keyed) == 10 and all(0 <= r.z < 16 for r in keyed)
+    by_s = {r.s: r.z >> 3 for r in keyed}  # the highest bit is of s
+    assert by_s[None] <= by_s[""] <= by_s["a"] <= by_s["b"]
+    empty = with_interleaved_key(df.where("false"), ["s", "x"], "z")
+    assert empty.collect() == [] and empty.columns == ["s", "x", "z"]
+
+
+@pytest.mark.parametrize("options", [{}, {"by_agency": True}, {"frame": "range"}, {"by_agency": True, "frame": "range"}])
+def test_needed_days_give_affected_rows(spark, options):
+    """The mart over the needed days equals the whole mart on the affected rows, and
+    what a changed day does not affect is as it was."""
+    import random
+
+    from headway.operators.models import reliability_reach, route_reliability
+
+    rng = random.Random(7)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in range(40)]
+    keys = [(r, a, d) for r in ("1", "2") for a in ("x", None) for d in days if rng.random() < 0.6]
+    changed = set(rng.sample(keys, 5))
+
+    def hours(shift):
+        rows = []
+        for k in keys:
+            rng_k = random.Random(str(k))
+            late = rng_k.randrange(10) + (shift if k in changed else 0)
+            rows.append((*k, 7, True, 10 + late, late, 5, 60.0 * late, 100.0, 300 + late, int(late > 5), 1))
+        return spark.createDataFrame(rows, "route_id string, agency string, event_date date, hour_of_day int, "
+                                     "is_rush_hour boolean, total_trips long, severe_trips long, on_time_trips long, "
+                                     "avg_delay_sec double, p95_delay_sec double, max_delay_sec int, "
+                                     "had_cascade int, cascade_count long")
+
+    grain = ["route_id", "agency", "event_date"]
+    marked = spark.createDataFrame([(*k, k in changed) for k in keys], "route_id string, agency string, "
+                                   "event_date date, changed boolean")
+    reach = {tuple(r[c] for c in grain): r for r in reliability_reach(marked, **options).collect()}
+    old, new = ({tuple(r[c] for c in grain): r for r in route_reliability(hours(s), **options).collect()} for s in (0, 20))
+    needed = spark.createDataFrame([k for k, r in reach.items() if r.needed], "route_id string, agency string, event_date date")
+    part = hours(20).alias("h").join(needed.alias("n"), [F.col(f"h.{c}").eqNullSafe(F.col(f"n.{c}")) for c in grain], "left_semi")
+    some = {tuple(r[c] for c in grain): r for r in route_reliability(part, **options).collect()}
+    for k, r in reach.items():
+        if r.affected:
+            assert some[k] == new[k]
+        else:
+            assert old[k] == new[k]
+    assert any(not r.affected for r in reach.values()) and len(some) < len(keys)
+
+
+def test_refresh_touches_only_what_new_windows_reach(spark, tmp_dir):
+    from headway.plans.refresh import refresh_models
+    from headway.sinks.tables import table_state
+
+    td, flags = batch.trip_delay_windows(spark, SF_SMALL).cache(), batch.cascade_windows(spark, SF_SMALL).cache()
+    one = td.where("route_id is not null").agg(F.min("route_id")).first()[0]
+    day = F.to_date("window_start")
+    # All but one route's one day, whose rows come late and from the middle of the span.
+    missing = (F.col("route_id") == one) & (day == F.lit("2024-01-12"))
+    held = (F.col("route_id") != one) | (day != F.lit("2024-01-12")) | F.col("route_id").isNull()
+    assert td.where(missing).count() > 0
+    root, whole = f"{tmp_dir}/two", f"{tmp_dir}/one"
+    refresh_models(spark, root, td.where(held), flags.where(held))
+    before = {n: table_state(spark, f"{root}/{n}")["folders"] for n in ("int_route_delay_hourly", "mart_route_reliability")}
+    refresh_models(spark, root, td.where(missing), flags.where(missing), lookback="400 days")
+    refresh_models(spark, whole, td, flags)
+    for name in ("int_route_delay_hourly", "mart_route_reliability"):
+        a, b = (read_table(spark, f"{x}/{name}") for x in (root, whole))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    after = {n: table_state(spark, f"{root}/{n}")["folders"] for n in before}
+    moved = {n: {d for d in after[n] if after[n][d] != before[n].get(d)} for n in before}
+    assert moved["int_route_delay_hourly"] == {"event_date=2024-01-12"}
+    mart = moved["mart_route_reliability"]
+    assert "event_date=2024-01-12" in mart and len(mart) <= 7
+    assert min(mart) == "event_date=2024-01-12"
+    # A run with nothing new writes nothing.
+    refresh_models(spark, root, td.where("false"), flags.where("false"))
+    assert {n: table_state(spark, f"{root}/{n}")["folders"] for n in before} == after
+
+
 def test_refresh_models_twice_equals_a_full_build(spark, tmp_dir):
     from headway.plans.refresh import refresh_models
 
