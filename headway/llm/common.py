@@ -20,14 +20,14 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return staging_folder(spark, f"llm-{name}")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to a fresh shared folder and read it back:
     cuts the lineage, survives lost executors, and gives later joins a size
     known from the files."""
     spark = df.sparkSession
     path = fresh_folder(spark, name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
