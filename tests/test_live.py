@@ -89,6 +89,17 @@ def test_labels_wait_for_the_later_window(spark, tmp_dir):
     assert run() == {("a", 0): 1.0, ("a", 2): 0.0, ("b", 0): 0.0, ("c", 0): 0.0}
 
 
+def test_labels_compare_a_window_with_one_window(spark, tmp_dir):
+    """The shifted start is an equi key: no row meets its route's whole state."""
+    trips, flags = f"{tmp_dir}/trips", f"{tmp_dir}/flags"
+    land(spark, trips, [("a", "r", "x", at(0), 1)], TRIP, 0)
+    land(spark, flags, [("r", "x", at(10), 3, True)], FLAG, 0)
+    joined = joins.label_stream(follow(spark, trips, TRIP), follow(spark, flags, FLAG))
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    condition = [x for x in plan.splitlines() if "Join LeftOuter" in x]
+    assert len(condition) == 1 and "window_start" in condition[0] and ">=" not in condition[0]
+
+
 def test_features_of_two_streams(spark, tmp_dir):
     trips, flags, out, ck = (f"{tmp_dir}/{x}" for x in ("trips", "flags", "out", "ck"))
     land(spark, trips, [("a", "r", "x", at(0), 360), ("b", "s", "x", at(0), 1), ("e", "r", "x", at(60), 0)], TRIP, 0)
