@@ -296,6 +296,23 @@ def test_score_metrics_brute_force(spark):
     assert none.first().auc_roc is None and not ml.model_gate(none).first().promote
 
 
+def test_score_ranges_are_searched_per_distinct_score(spark):
+    """No filter below the counts per score searches the cuts for every row."""
+    rows = spark.range(100).select((F.col("id") % 7 / 3).alias("s"), (F.col("id") % 2).cast("double").alias("label"))
+    plan = ml.score_metrics(rows, "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter " in x and "lambda" in x]
+
+
+def test_model_scores_are_computed_once_per_row(spark):
+    """The model's score is in the counts per score, in no filter beside them."""
+    from pyspark.ml.linalg import Vectors
+
+    rows = spark.createDataFrame([(Vectors.dense([1 - i / 9, i / 9]), float(i % 2)) for i in range(9)],
+                                 ["probability", "label"])
+    plan = ml.model_metrics(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter " in x and "UDF" in x]
+
+
 def test_last_write_and_freshness(spark, tmp_dir):
     path = f"{tmp_dir}/fresh"
     spark.range(3).write.parquet(path)
