@@ -67,6 +67,35 @@ def test_running_cascades_come_before_the_window_closes(spark, tmp_dir):
     assert left[-1] <= left[1]
 
 
+def test_running_cascades_send_a_row_once_per_stretch(spark, tmp_dir):
+    """Not once per window: nothing expands the rows to their five windows."""
+    src = f"{tmp_dir}/src"
+    land(spark, src, [("a", "r", "v", "x", at(0), 200)], STOP, 0)
+    stops = follow(spark, src, STOP).withWatermark("event_ts", "5 minutes")
+    with running.rocksdb(spark):
+        plan = running.running_cascades(stops)._jdf.queryExecution().analyzed().toString()
+    assert "Expand" not in plan and "sequence" in plan
+
+
+def test_replay_takes_more_slices_of_more_messages(spark, monkeypatch):
+    from headway.plans import batch
+
+    rows = [(b"k", b"v", "t", at(i)) for i in range(10)]
+    seen = []
+
+    def start(src, out, checkpoints):
+        seen.append(spark.read.parquet(f"{out[:-len('/out')]}/topic").count())
+        return {}
+
+    messages = spark.createDataFrame(rows, MESSAGE)
+    batch.replayed(spark, messages, None, start, slices=2)
+    assert seen == [5, 10]
+    seen.clear()
+    monkeypatch.setattr(batch, "SLICE_MESSAGES", 3)
+    batch.replayed(spark, messages, None, start, slices=2)
+    assert seen[-1] == 10 and len(seen) == 4
+
+
 TRIP = "trip_id string, route_id string, agency string, window_start timestamp, max_arrival_delay_sec int"
 FLAG = "route_id string, agency string, window_start timestamp, total_trips long, is_cascade boolean"
 
