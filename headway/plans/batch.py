@@ -406,24 +406,32 @@ def refresh_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/mart_route_reliability")
 
 
+#: Messages of a replay's slice, about; a trip update is up to 5 windows of state.
+SLICE_MESSAGES = 3_000_000
+
+
 def replayed(spark: SparkSession, messages: DataFrame, topic: str | None, start, slices: int = 4) -> str:
     """Replay a topic (None: all topics of the messages) through streaming queries; returns the output folder.
 
-    The messages are landed in one pass, partitioned into ``slices`` equal
-    spans of their own time range.  One slice after the other is made visible to
-    the stream (a rename) and run to its end on one checkpoint, as one
-    micro-batch without a file cap.  Lateness is judged between micro-batches,
-    so it depends on neither the number of files nor their order.
-    ``start(source, out, checkpoints)`` starts the queries.
+    The messages are landed in one pass, partitioned into ``slices`` equal spans
+    of their own time range, or more of them where a slice would hold over
+    ``SLICE_MESSAGES`` on average: a stateful query keeps all windows of a
+    micro-batch, so its state follows the slice and not the topic.  One slice
+    after the other is made visible to the stream (a rename) and run to its end
+    on one checkpoint, as one micro-batch without a file cap.  Lateness is judged
+    between micro-batches, and no message of a slice is older than one of an
+    earlier slice, so it depends on neither the number of slices nor that of the
+    files or their order.  ``start(source, out, checkpoints)`` starts the queries.
     """
     root = staging_folder(spark, "stream-replay")
-    landed = shared(messages)
-    low, high = landed.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    stamp = F.unix_micros("timestamp")
+    low, high, n = messages.agg(F.min(stamp), F.max(stamp), F.count(F.lit(1))).first()
     if low is None:
         low = high = 0
+    slices = max(slices, -(-n // SLICE_MESSAGES))
     width = (high - low) // slices + 1
-    where = F.floor((F.unix_micros("timestamp") - F.lit(low)) / F.lit(width)).cast("int")
-    landed.withColumn("slice", where).write.partitionBy("slice").parquet(f"{root}/landing")
+    where = F.floor((stamp - F.lit(low)) / F.lit(width)).cast("int")
+    messages.withColumn("slice", where).write.partitionBy("slice").parquet(f"{root}/landing")
     fs, top = hadoop_fs(spark, f"{root}/topic")
     fs.mkdirs(top)
     for i in range(slices):
