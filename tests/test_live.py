@@ -129,6 +129,51 @@ def test_labels_compare_a_window_with_one_window(spark, tmp_dir):
     assert len(condition) == 1 and "window_start" in condition[0] and ">=" not in condition[0]
 
 
+def test_labels_keep_a_row_of_state_per_window_and_route(spark, tmp_dir):
+    """Not one per trip; every trip comes out, those with null keys and copies too."""
+    trips, flags, out, ck = (f"{tmp_dir}/{x}" for x in ("trips", "flags", "out", "ck"))
+    rows = [(f"t{i}", "r", "x", at(0), i) for i in range(2500)] + [("n", None, "x", at(0), None)] * 2
+    land(spark, trips, rows, TRIP, 0)
+    land(spark, flags, [("r", "x", at(10), 3, True), ("r", "x", at(40), 3, True)], FLAG, 0)
+    q = write_stream_table(joins.label_stream(follow(spark, trips, TRIP), follow(spark, flags, FLAG)), out, ck, NOW)
+    q.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress) <= 3 + 1 + 2
+    land(spark, trips, [("late", "z", "x", at(60), 1)], TRIP, 1)
+    land(spark, flags, [("z", "x", at(60), 3, False)], FLAG, 1)
+    q = write_stream_table(joins.label_stream(follow(spark, trips, TRIP), follow(spark, flags, FLAG)), out, ck, NOW)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.columns == ["trip_id", "route_id", "agency", "window_start", "max_arrival_delay_sec", "label"]
+    want = [(*r, 1.0 if r[1] else 0.0) for r in rows]
+    have = [(r[0], r[1], r[2], r[4], r[5]) for r in got.where("trip_id != 'late'").collect()]
+    assert sorted(have, key=str) == sorted([(a, b, c, e, f) for a, b, c, _, e, f in want], key=str)
+
+
+@pytest.mark.parametrize("among", [1, 7, 1000])
+def test_packed_rows_are_the_rows(spark, among):
+    rows = [(f"t{i}", [None, "r", "s"][i % 3], ["x", None][i % 2], at(i % 4), i or None) for i in range(300)]
+    df = spark.createDataFrame(rows, TRIP).coalesce(1)
+    keys = ["route_id", "agency", "window_start"]
+    got = joins.packed(df, keys, most=5, among=among)
+    assert got.agg(F.max(F.size("_rows"))).first()[0] <= 5
+    flat = got.select("*", F.inline("_rows")).select(*df.columns)
+    assert sorted(map(str, flat.collect())) == sorted(map(str, df.collect()))
+    only_keys = joins.packed(df.select(*keys), keys).select(F.inline("_rows"))
+    assert sorted(map(str, only_keys.collect())) == sorted(map(str, df.select(*keys).collect()))
+    assert joins.packed(df.limit(0), keys).count() == 0
+
+
+def test_labels_replay_takes_smaller_slices(spark, monkeypatch):
+    from headway.plans import live
+
+    seen = []
+    monkeypatch.setattr(live, "trip_topic", lambda *a: None)
+    monkeypatch.setattr(live, "replayed", lambda *a, **kw: seen.append(kw["most"]))
+    live._joined(spark, "", joins.label_stream, live.JOINED_MESSAGES)
+    live._joined(spark, "", joins.feature_stream)
+    assert seen == [live.JOINED_MESSAGES, None]
+
+
 def test_features_of_two_streams(spark, tmp_dir):
     trips, flags, out, ck = (f"{tmp_dir}/{x}" for x in ("trips", "flags", "out", "ck"))
     land(spark, trips, [("a", "r", "x", at(0), 360), ("b", "s", "x", at(0), 1), ("e", "r", "x", at(60), 0)], TRIP, 0)
